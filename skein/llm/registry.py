@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import bpe, packing
+from skein.llm import bpe, fingerprint, langid, packing, toxicity
 from skein.session import prepare
 
 
@@ -27,8 +27,31 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _held_out(fold: int, folds: int):
+    """Whether crc32 of the id as text falls into one fold."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprint.edited_neighbours(table(spark, sf_dir, "documents"))
+    return out.withColumns({c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")})
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.train(docs.select("doc_id", "text").where(~_held_out(1, 3)).join(marks, "doc_id"))
+    return toxicity.score(docs, model).select("doc_id", _held_out(1, 3).alias("held_out"), "score", "predicted")
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~_held_out(2, 4)))
+    return langid.predict(docs, model).select("doc_id", _held_out(2, 4).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing, "op4_bpe": op4_bpe}
+    return {"op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op8_langid": op8_langid}
 
 
 def oracle_sql() -> dict[str, str]:
