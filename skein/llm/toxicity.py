@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW, STEP, LEVEL = 64, 48, 9
+WINDOW, STEP, LEVEL = 64, 48, 8
 
 
 def _windows(text: bytes) -> list[bytes]:
@@ -53,13 +53,15 @@ class CompressionClassifier:
         gain = np.sort(np.fromiter((len(ordinary(w)) - len(toxic(w)) for w in _windows(text)), float))[::-1]
         return np.array([gain[0], gain[:3].sum() / 3, gain.mean(), np.log(len(gain)), (gain >= 3).mean(), (gain >= 5).mean(), np.maximum(gain - 2, 0).sum()])
 
-    def calibrate(self, texts: list[bytes], labels: np.ndarray) -> None:
+    def calibrate(self, texts: list[bytes], labels: np.ndarray, prevalence: float) -> None:
+        """Logistic regression with the classes weighted to their share among all labelled rows."""
         x = np.array([self.features(t) for t in texts])
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-9
         x = np.c_[(x - self.mean) / self.scale, np.ones(len(x))]
+        each = np.where(labels == 1, prevalence / labels.mean(), (1 - prevalence) / (1 - labels.mean())) / len(labels)
         for _ in range(4000):
             p = 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
-            self.weights -= 0.3 * (x.T @ (p - labels) / len(labels) + 1e-3 * self.weights)
+            self.weights -= 0.5 * (x.T @ ((p - labels) * each) + 1e-4 * self.weights)
 
     def score(self, text: bytes) -> float:
         if self.constant is not None:
@@ -69,7 +71,7 @@ class CompressionClassifier:
 
 
 def _grams(texts: list[bytes], n: int, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Byte n-grams (n up to 8) and in how many different surroundings each stands.
+    """Byte n-grams (n up to 8; those of the sorted keep only) and in how many different surroundings each stands.
 
     Counting surroundings (the 8 bytes before) and not documents makes a text and
     its copies count once.
@@ -77,11 +79,12 @@ def _grams(texts: list[bytes], n: int, keep: np.ndarray | None = None) -> tuple[
     found = []
     for text in texts:
         b = np.frombuffer(b"\0" * 8 + text + b"\0" * 8, np.uint8)
-        at = np.lib.stride_tricks.sliding_window_view(b, 8)
-        whole = np.ascontiguousarray(at).view("<u8").ravel()
+        whole = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(b, 8)).view("<u8").ravel()
         gram = whole[8 : 8 + max(0, len(text) - n + 1)] & np.uint64((1 << 8 * n) - 1)
         pairs = np.stack([gram, whole[: len(gram)]], 1)
-        found.append(pairs if keep is None else pairs[np.isin(gram, keep)])
+        if keep is not None:
+            pairs = pairs[keep[np.minimum(np.searchsorted(keep, gram), len(keep) - 1)] == gram] if len(keep) else pairs[:0]
+        found.append(pairs)
     pairs = np.concatenate(found) if found else np.zeros((0, 2), np.uint64)
     pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
     new = np.ones(len(pairs), bool)
@@ -89,30 +92,56 @@ def _grams(texts: list[bytes], n: int, keep: np.ndarray | None = None) -> tuple[
     return np.unique(pairs[new, 0], return_counts=True)
 
 
-def _fragments(toxic: list[bytes], ordinary: list[bytes], size: int, least: int = 8, odds: float = 8.0) -> bytes:
-    """The byte strings that set toxic texts apart, strongest last (nearest to the window)."""
-    scored: dict[bytes, float] = {}
+def _grown(fragment: bytes, text: bytes, share: float = 0.7, longest: int = 24) -> bytes:
+    """The fragment with the neighbours that stand beside most of its occurrences."""
+    at, places = text.find(fragment), []
+    while at >= 0:
+        places.append(at)
+        at = text.find(fragment, at + 1)
+    for side in (-1, 1):
+        reach = 0
+        while len(fragment) < longest:
+            seen: dict[int, int] = {}
+            for p in places:
+                i = p - 1 - reach if side < 0 else p + len(fragment)
+                if 0 <= i < len(text):
+                    seen[text[i]] = seen.get(text[i], 0) + 1
+            byte, count = max(seen.items(), key=lambda x: (x[1], -x[0]), default=(0, 0))
+            if count < share * len(places) or byte == 0:
+                break
+            keep = [p for p in places if 0 <= (i := p - 1 - reach if side < 0 else p + len(fragment)) < len(text) and text[i] == byte]
+            fragment, places = (bytes([byte]) + fragment, [p - 1 for p in keep]) if side < 0 else (fragment + bytes([byte]), keep)
+    return fragment
+
+
+def _fragments(toxic: list[bytes], ordinary: list[bytes], size: int, least: int = 4, odds: float = 8.0, cut: float = 0.15) -> bytes:
+    """The byte strings that set toxic texts apart, strongest last (nearest to the window).
+
+    Six-byte strings in at least `least` surroundings and `odds` times as frequent
+    as in ordinary text are ranked by count times log odds, grown to the longest
+    string around them, and taken until their weight falls below `cut` of the best.
+    """
     volume = sum(map(len, toxic)) / max(1, sum(map(len, ordinary)))
-    for n in (6, 8):
-        gram, count = _grams(toxic, n)
-        gram, count = gram[count >= least], count[count >= least]
-        other, theirs = _grams(ordinary, n, gram)
-        at = np.searchsorted(other, gram)
-        there = np.where((at < len(other)) & (np.append(other, 0)[np.minimum(at, len(other))] == gram), np.append(theirs, 0)[np.minimum(at, len(other))], 0)
-        ratio = count / ((there + 0.5) * volume)
-        for g, c, r in zip(gram, count, ratio, strict=True):
-            if r >= odds:
-                scored[int(g).to_bytes(8, "little")[:n]] = float(c * np.log(r) * (1.2 if n == 8 else 1))
+    gram, count = _grams(toxic, 6)
+    gram, count = gram[count >= least], count[count >= least]
+    other, theirs = _grams(ordinary, 6, gram)
+    there = np.zeros(len(gram))
+    there[np.searchsorted(gram, other)] = theirs
+    ratio = count / ((there + 0.5) * volume)
+    weight = np.where(ratio >= odds, count * np.log(np.maximum(ratio, 1)), 0)
     kept: list[bytes] = []
-    for g in sorted(scored, key=lambda g: (-scored[g], g)):
-        if sum(map(len, kept)) >= size:
+    joined = b"\0".join(toxic)
+    for i in np.argsort(-weight, kind="stable"):
+        g = int(gram[i]).to_bytes(8, "little")[:6]
+        if weight[i] <= cut * weight.max() or sum(map(len, kept)) >= size:
             break
         if not any(g in f for f in kept):
+            g = _grown(g, joined)
             kept = [f for f in kept if f not in g] + [g]
     return b"".join(kept[::-1])
 
 
-def train(labelled: DataFrame, docs_per_class: int = 2500, sample_chars: int = 4000, dictionary_bytes: int = 400, common_bytes: int = 2000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> CompressionClassifier:
+def train(labelled: DataFrame, docs_per_class: int = 2500, sample_chars: int = 4000, dictionary_bytes: int = 400, common_bytes: int = 12000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> CompressionClassifier:
     """Fit on a bounded sample: docs_per_class texts of each label by hash of the id, sample_chars of each.
 
     Half of the toxic sample builds the dictionary, the other half calibrates.
@@ -130,7 +159,8 @@ def train(labelled: DataFrame, docs_per_class: int = 2500, sample_chars: int = 4
     common = b" ".join(t[:300] for t in texts[0][:40])[:common_bytes]
     model = CompressionClassifier((fragments + common) or b" " * 8, common or b" " * 8)
     check = texts[1][half:] + texts[0][calm:]
-    model.calibrate(check, np.array([1.0] * (len(texts[1]) - half) + [0.0] * (len(texts[0]) - calm)))
+    counts = {r["y"]: r["count"] for r in rows.where("y in (0, 1)").groupBy("y").count().collect()}
+    model.calibrate(check, np.array([1.0] * (len(texts[1]) - half) + [0.0] * (len(texts[0]) - calm)), counts[1] / (counts[0] + counts[1]))
     return model
 
 
