@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import bpe, embeddings, fingerprint, langid, minhash, packing, repeats, toxicity
+from skein.llm import bpe, embeddings, fingerprint, langid, minhash, packing, repeats, suffix_tree, toxicity
 from skein.session import prepare
 
 
@@ -48,6 +48,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", _held_out(1, 3).alias("held_out"), "score", "predicted")
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", _held_out(0, 10).alias("held_out"))
+    return suffix_tree.score_texts(docs)
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~_held_out(2, 4)))
@@ -64,7 +69,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_embeddings": op1_embeddings, "op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op8_langid": op8_langid, "op9_repeats": op9_repeats, "op10_minhash": op10_minhash}
+    return {"op1_embeddings": op1_embeddings, "op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_lm": op6_lm, "op8_langid": op8_langid, "op9_repeats": op9_repeats, "op10_minhash": op10_minhash}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -174,12 +174,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, k: int = 20, id_col: str =
     document with a smaller doc_id; strings are judged on the input, and never
     cross documents. A null or shorter text loses nothing. Rows with the same
     doc_id do not count as smaller than each other; a null doc_id neither loses
-    bytes nor makes others lose any. row holds all columns of docs.
+    bytes nor makes others lose any. row holds the other columns of docs.
     """
     if not k < length <= 120:
         raise ValueError("length must be over k and at most 120")
     left, n = chunked(docs, id_col, text_col, chunk_bytes)
     buckets = n
+    kind = left.schema["row"].dataType
     left = left.groupBy("chunk")
     ask_schema = "bucket int, chunk int, keys binary, several binary"
 
@@ -297,7 +298,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, k: int = 20, id_col: str =
         return _table(out, fields).append_column("row", group.column("row"))
 
     replies = known.unionByName(built).groupBy("chunk")
-    schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").add("row", docs.schema)
+    schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").add("row", kind)
     return left.cogroup(replies).applyInArrow(cut, schema)
 
 
