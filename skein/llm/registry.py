@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import bpe, embeddings, fingerprint, langid, minhash, packing, repeats, suffix_tree, toxicity
+from skein.llm import bpe, embeddings, fingerprint, langid, lines, minhash, packing, repeats, suffix_tree, toxicity
 from skein.session import prepare
 
 
@@ -43,8 +43,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    marks = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = toxicity.train(docs.select("doc_id", "text").where(~_held_out(1, 3)).join(marks, "doc_id"))
+    model = toxicity.train(docs, labels.where(~_held_out(1, 3)))
     return toxicity.score(docs, model).select("doc_id", _held_out(1, 3).alias("held_out"), "score", "predicted")
 
 
@@ -53,6 +52,11 @@ def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_texts(docs)
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.drop_near_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~_held_out(2, 4)))
@@ -69,7 +73,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_embeddings": op1_embeddings, "op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_lm": op6_lm, "op8_langid": op8_langid, "op9_repeats": op9_repeats, "op10_minhash": op10_minhash}
+    return {"op1_embeddings": op1_embeddings, "op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_lm": op6_lm, "op7_lines": op7_lines, "op8_langid": op8_langid, "op9_repeats": op9_repeats, "op10_minhash": op10_minhash}
 
 
 def oracle_sql() -> dict[str, str]:

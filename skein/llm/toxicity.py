@@ -141,15 +141,23 @@ def _fragments(toxic: list[bytes], ordinary: list[bytes], size: int, least: int
     return b"".join(kept[::-1])
 
 
-def train(labelled: DataFrame, docs_per_class: int = 2500, sample_chars: int = 4000, dictionary_bytes: int = 400, common_bytes: int = 12000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> CompressionClassifier:
-    """Fit on a bounded sample: docs_per_class texts of each label by hash of the id, sample_chars of each.
-
-    Half of the toxic sample builds the dictionary, the other half calibrates.
-    Rows with a null label or text teach nothing; without both labels the score
-    is constant: 1.0 when only toxic texts were seen, else 0.0.
+def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = 2500, sample_chars: int = 4000, dictionary_bytes: int = 400, common_bytes: int = 12000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> CompressionClassifier:
+    """Fit on a bounded sample: docs_per_class labelled ids of each class by a hash of the id, sample_chars of each text.
+
+    The sample is drawn from labels alone and only then sent to docs, so no text
+    is shuffled. Half of the toxic sample builds the dictionary, the other half
+    calibrates. An id labelled twice counts as toxic if any label says so; null
+    labels and ids teach nothing, nor do ids without a text. Without both
+    classes the score is constant: 1.0 when only toxic texts were seen, else 0.0.
     """
-    rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(label_col).cast("int").alias("y"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.substring(F.col(text_col).cast("string"), 1, sample_chars).alias("t"))
-    texts = {y: list(dict.fromkeys(r["t"].encode() for r in rows.where(F.col("y") == y).orderBy("h", "t").limit(docs_per_class).collect())) for y in (1, 0)}
+    marks = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("i")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
+    counts = {0: 0, 1: 0} | {r["y"]: r["count"] for r in marks.groupBy("y").count().collect()}
+    order = F.xxhash64(F.col("i").cast("string"))
+    picked = [marks.where(F.col("y") == y).orderBy(order, "i").limit(docs_per_class) for y in (0, 1)]
+    sample = F.broadcast(picked[0].unionByName(picked[1]))  # at most twice docs_per_class rows
+    found = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.substring(F.col(text_col).cast("string"), 1, sample_chars).alias("t")).join(sample, "i").select("y", order.alias("h"), "t").collect()
+    found.sort(key=lambda r: (r["h"], r["t"]))
+    texts = {y: list(dict.fromkeys(r["t"].encode() for r in found if r["y"] == y)) for y in (1, 0)}
     if not texts[0] or len(texts[1]) < 2:
         model = CompressionClassifier(b"", b"")
         model.constant = 1.0 if texts[1] and not texts[0] else 0.0
@@ -159,7 +167,6 @@ def train(labelled: DataFrame, docs_per_class: int = 2500, sample_chars: int = 4
     common = b" ".join(t[:300] for t in texts[0][:40])[:common_bytes]
     model = CompressionClassifier((fragments + common) or b" " * 8, common or b" " * 8)
     check = texts[1][half:] + texts[0][calm:]
-    counts = {r["y"]: r["count"] for r in rows.where("y in (0, 1)").groupBy("y").count().collect()}
     model.calibrate(check, np.array([1.0] * (len(texts[1]) - half) + [0.0] * (len(texts[0]) - calm)), counts[1] / (counts[0] + counts[1]))
     return model
 
