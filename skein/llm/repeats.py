@@ -167,8 +167,8 @@ def _pieces(texts: list[bytes], ids: list, length: int, k: int, known: dict[int,
         yield doc, text, [(int(x), text[x : y + length], int(z)) for x, y, z in zip(a[keep], b[keep], h[keep], strict=True)]
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, k: int = 20, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20) -> DataFrame:
-    """Rows (doc_id, n_bytes, n_removed, n_spans, kept binary, row struct): texts without what smaller documents hold.
+def remove_repeats(docs: DataFrame, length: int = 50, k: int = 20, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False, chunk_bytes: int = 4 << 20) -> DataFrame:
+    """Rows (doc_id, n_bytes, n_removed, n_spans, kept, row struct): texts without what smaller documents hold.
 
     A byte goes when a string of `length` bytes over it also starts in a
     document with a smaller doc_id; strings are judged on the input, and never
@@ -262,7 +262,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, k: int = 20, id_col: str =
 
     sent = left.cogroup(known.groupBy("chunk")).applyInArrow(send, "bucket int, chunk int, pieces binary, sizes binary, docs binary")
     built = sent.groupBy("bucket").applyInArrow(build, "chunk int, kind int, bucket int, payload binary")
-    fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]
+    fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.string() if as_text else pa.binary())]
 
     def cut(group: pa.Table, replies: pa.Table) -> pa.Table:
         if not group.num_rows:
@@ -294,11 +294,11 @@ def remove_repeats(docs: DataFrame, length: int = 50, k: int = 20, id_col: str =
             gone = np.cumsum(over[:-1]) > 0
             spans = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1])) if len(gone) else 0
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if spans else text
-            out.append((doc, len(text), int(gone.sum()), spans, kept))
+            out.append((doc, len(text), int(gone.sum()), spans, kept.decode(errors="ignore") if as_text else kept))
         return _table(out, fields).append_column("row", group.column("row"))
 
     replies = known.unionByName(built).groupBy("chunk")
-    schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").add("row", kind)
+    schema = T.StructType.fromDDL(f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}").add("row", kind)
     return left.cogroup(replies).applyInArrow(cut, schema)
 
 

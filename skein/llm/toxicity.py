@@ -184,3 +184,14 @@ def score(docs: DataFrame, model: CompressionClassifier, threshold: float = 0.7,
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def reject(docs: DataFrame, model: CompressionClassifier, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of docs that score below threshold, with all their columns; nothing is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = [model.score((x.as_py() or "").encode()) < threshold for x in batch.column("_text")]
+            yield batch.filter(pa.array(s, pa.bool_())).drop_columns(["_text"])
+
+    return docs.withColumn("_text", F.col(text_col).cast("string")).mapInArrow(run, docs.schema)
