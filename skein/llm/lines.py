@@ -316,8 +316,9 @@ def drop_near_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
         return found.groupBy("bucket").applyInArrow(_answer, _REPLY_DDL)
 
     def settle(again: DataFrame | None, first: int | None) -> DataFrame:
+        repeated = again is not None
         known = asked(True) if again is None else asked(True).unionByName(again)
-        entries = left.cogroup(known.groupBy("chunk")).applyInArrow(lambda g, r: _entries(g, r, n, percent, again is not None), "bucket int, chunk int, words binary, lines binary, sizes binary, places binary, maps binary, probes binary")
+        entries = left.cogroup(known.groupBy("chunk")).applyInArrow(lambda g, r: _entries(g, r, n, percent, repeated), "bucket int, chunk int, words binary, lines binary, sizes binary, places binary, maps binary, probes binary")
         pairs = entries.groupBy("bucket").applyInArrow(lambda g: _candidates(g, percent, first), "chunk int, pairs binary, more boolean")
         sent = left.cogroup(pairs.groupBy("chunk")).applyInArrow(_attach, "chunk int, late binary, which binary, sizes binary, words binary, more boolean")
         return left.cogroup(sent.groupBy("chunk")).applyInArrow(lambda g, s: _verify(g, s, percent), "chunk int, removed binary, unsettled binary")
