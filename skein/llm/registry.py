@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import bpe, embeddings, fingerprint, langid, lines, minhash, packing, repeats, suffix_tree, toxicity
+from skein.llm import bpe, embeddings, fingerprint, langid, lines, minhash, oracle, packing, repeats, suffix_tree, toxicity
 from skein.session import prepare
 
 
@@ -78,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_embeddings": oracle.OP1, "op7_lines": oracle.OP7, "op9_repeats": oracle.OP9, "op10_minhash": oracle.OP10}
