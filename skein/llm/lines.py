@@ -28,7 +28,7 @@ from skein.session import materialize
 _REPLY = [("chunk", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())]
 _REPLY_DDL = "chunk int, kind int, bucket int, payload binary"
 #: Earlier candidates of a line that one bucket reports at first; lines with more that all fail are asked about again without it.
-FIRST = 8
+FIRST = 64
 
 
 class Lines:
@@ -294,7 +294,7 @@ def drop_near_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     spark = docs.sparkSession
     text, doc = F.col(text_col).cast("string"), F.col(id_col).cast("long")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    n = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // chunk_bytes))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // chunk_bytes))
     ids = docs.select(doc.alias("id")).where("id IS NOT NULL")
     edges = sorted(set(ids.approxQuantile("id", [i / n for i in range(1, n)], 1 / (4 * n)))) if n > 1 else []
     edges = np.array(edges or [0.0])
@@ -319,7 +319,7 @@ def drop_near_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
         repeated = again is not None
         known = asked(True) if again is None else asked(True).unionByName(again)
         entries = left.cogroup(known.groupBy("chunk")).applyInArrow(lambda g, r: _entries(g, r, n, percent, repeated), "bucket int, chunk int, words binary, lines binary, sizes binary, places binary, maps binary, probes binary")
-        pairs = entries.groupBy("bucket").applyInArrow(lambda g: _candidates(g, percent, first), "chunk int, pairs binary, more boolean")
+        pairs = entries.repartition(n, "bucket").groupBy("bucket").applyInArrow(lambda g: _candidates(g, percent, first), "chunk int, pairs binary, more boolean")
         sent = left.cogroup(pairs.groupBy("chunk")).applyInArrow(_attach, "chunk int, late binary, which binary, sizes binary, words binary, more boolean")
         return left.cogroup(sent.groupBy("chunk")).applyInArrow(lambda g, s: _verify(g, s, percent), "chunk int, removed binary, unsettled binary")
 
