@@ -22,16 +22,16 @@ def components(edges: DataFrame) -> DataFrame:
     labels = nodes.withColumn("component", F.col("node"))
     while not left.isEmpty():
         up = materialize(left.groupBy("v").agg(F.min("u").alias("p")), "parents")
-        while True:
-            far = up.select(F.col("v").alias("q"), F.col("p").alias("pp"))
-            jumped = up.join(far, up.p == far.q, "left").select("v", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("moved"))
-            jumped = materialize(jumped, "parents")
-            up = jumped.select("v", "p")
-            if jumped.where("moved").isEmpty():
-                break
+        far = up.select(F.col("v").alias("q"), F.col("p").alias("pp"))
+        for _ in range(2):  # trees are shallow after few jumps; what is left is contracted in the next round
+            up = up.join(far, up.p == far.q, "left").select("v", F.coalesce("pp", "p").alias("p"))
+        up = materialize(up, "parents")
         labels = materialize(labels.join(up, labels.component == up.v, "left").select("node", F.coalesce("p", "component").alias("component")), "labels")
+        # a node whose tree was deeper still points at one that is no root: keep that as an edge
+        above = up.select(F.col("v").alias("k"), F.col("p").alias("kp"))
+        deep = up.join(above, up.p == above.k).select(F.col("p").alias("u"), F.col("kp").alias("v"))
         for end in ("u", "v"):
             one = up.select(F.col("v").alias("k"), F.col("p").alias("kp"))
             left = left.join(one, F.col(end) == one.k, "left").withColumn(end, F.coalesce("kp", end)).drop("k", "kp")
-        left = materialize(left.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
+        left = materialize(left.unionByName(deep).where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
     return labels

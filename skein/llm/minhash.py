@@ -14,6 +14,10 @@ from skein.llm.text import mix, shingle_hashes, utf8, word_hashes
 from skein.session import materialize
 
 
+#: Bits of a set's bitmap; members of a bucket that one task compares; rounds of proposals before all that is left is decided.
+BITS, BLOCK, TURNS = 2048, 4096, 8
+
+
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     words, at = word_hashes(*utf8(column))
@@ -55,7 +59,7 @@ class MinMax:
         return key.view(np.int64)
 
 
-def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 40, rows: int = 5, star_rounds: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 40, rows: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept): groups of near-duplicate texts.
 
     A text's set holds its distinct k-word shingles (A-Z folded); a text of
@@ -67,10 +71,13 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     doc_id links with nothing (component_id null, kept false).
 
     Candidates are the classes that share a band (at similarity 0.8, 40 bands
-    of 5 miss one pair in ten million). A bucket first compares its members
-    with one representative at a time, so a group of copies costs its size;
-    then every pair of a bucket that still lies in two components is confirmed,
-    so no link between candidates is lost.
+    of 5 miss one pair in ten million). First every member of a bucket is held
+    against its least member. Then, as long as a bucket holds several
+    components, it proposes a forest of the closest pairs between them that a
+    bitmap of the sets cannot rule out, and full sets decide; proposals that
+    failed are not made again. It ends when no pair is left that could link, so
+    no link between candidates is lost, and what is written grows with the
+    members of a bucket, not with their pairs.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
@@ -83,10 +90,10 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
                 one = np.array([np.bitwise_xor.reduce(mix(s)) if len(s) else 0 for s in sets], np.uint64)
                 two = np.array([np.add.reduce(mix(s + np.uint64(9))) if len(s) else 0 for s in sets], np.uint64)
                 keys = [maker.keys(s) if len(s) else None for s in sets]
-                cols = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(cols, ["id", "n", "h1", "h2", "keys"])
+                cols = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array([bitmap(s) for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["id", "n", "h1", "h2", "keys", "bits"])
 
-    signs = materialize(source.mapInArrow(signed, "id long, n long, h1 long, h2 long, keys array<long>"), "signatures")
+    signs = materialize(source.mapInArrow(signed, "id long, n long, h1 long, h2 long, keys array<long>, bits binary"), "signatures")
     usable = signs.where("n > 0 AND id IS NOT NULL")
     classes = usable.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"))
     same_id = usable.groupBy("id", "h1", "h2", "n").agg(F.count("*").alias("times"))  # an id with several texts ties them
@@ -95,46 +102,152 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     entries = materialize(leaders.select(F.col("id").alias("rep"), "n", F.explode("keys").alias("key")), "bands")
     shared = entries.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select(F.col("key").alias("k"))
     buckets = materialize(entries.join(shared, F.col("key") == F.col("k")).select("key", "rep", "n"), "buckets")
-
-    def agree(small: str, large: str):
-        return 100 * F.least(small, large) >= percent * F.greatest(small, large)
-
     wanted = buckets.select("rep").distinct()
     sets = materialize(_packed_sets(source.join(wanted, F.col("id") == F.col("rep"), "left_semi"), k), "sets")
-    links = None
-    labels = None
-    tested = None
-    for turn in range(star_rounds + 1):
-        if labels is None:
-            now = buckets.withColumn("label", F.col("rep"))
-        else:
-            kept = labels.select(F.col("node"), F.col("component"))
-            now = buckets.join(kept, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("label"))
-            mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(F.col("key").alias("k"))
-            now = materialize(now.join(mixed, F.col("key") == F.col("k"), "left_semi"), "mixed")
-            if now.isEmpty():
-                break
-        if turn < star_rounds:
-            order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-            chosen = now.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rep", "n", "label")).alias("c")).select(F.col("key").alias("k"), F.col("c.rep").alias("a"), F.col("c.n").alias("an"), F.col("c.label").alias("al"))
-            pairs = now.join(chosen, F.col("key") == F.col("k")).where("label <> al").withColumnRenamed("rep", "b").where(agree("n", "an")).select("a", "b")
-        else:
-            x, y = now.select(F.col("key").alias("k"), F.col("rep").alias("a"), F.col("n").alias("an"), F.col("label").alias("al")), now
-            pairs = x.join(y, F.col("key") == F.col("k")).where((F.col("al") < F.col("label")) & agree("n", "an")).select("a", F.col("rep").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
+    maps = materialize(usable.select("id", "bits").join(wanted, F.col("id") == F.col("rep"), "left_semi").dropDuplicates(["id"]).withColumnRenamed("id", "who"), "bitmaps")
+
+    least = buckets.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("c")).select(F.col("key").alias("k"), F.col("c.rep").alias("a"), F.col("c.n").alias("an"))
+    pairs = buckets.join(least, F.col("key") == F.col("k")).where(F.col("rep") > F.col("a")).where(100 * F.least("n", "an") >= percent * F.greatest("n", "an")).select("a", F.col("rep").alias("b"))
+    pairs = materialize(pairs.distinct(), "pairs")
+    found = materialize(_confirmed(pairs, sets, percent), "confirmed")
+    failed, turn = materialize(pairs.join(found, ["a", "b"], "left_anti"), "failed"), 0
+    labels = components(found.unionByName(tied))
+    while True:
+        known = labels.select(F.col("node"), F.col("component"))
+        now = buckets.join(known, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("label"))
+        mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(F.col("key").alias("k"))
+        now = materialize(now.join(mixed, F.col("key") == F.col("k"), "left_semi").join(maps, F.col("rep") == F.col("who")).drop("who"), "mixed")
+        turn += 1
+        pairs = materialize(_proposed(now, failed, percent, turn > TURNS), "pairs")
+        if pairs.isEmpty():
+            break
         found = materialize(_confirmed(pairs, sets, percent), "confirmed")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found.unionByName(tied) if links is None else links.unionByName(found)
-        labels = components(links)
+        failed = failed.unionByName(materialize(pairs.join(found, ["a", "b"], "left_anti"), "failed"))
+        if not found.isEmpty():
+            labels = _merged(labels, found)
+        if turn > TURNS:
+            break
     ids = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.col("n").alias("cn"), F.coalesce("component", "rep").alias("component"))
     out = signs.join(ids, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("n") == F.col("cn")) & F.col("id").isNotNull(), "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels after more links: only the components that the links touch are worked on."""
+    ends = links
+    for end in ("a", "b"):
+        known = labels.select(F.col("node").alias("k"), F.col("component").alias("c"))
+        ends = ends.join(known, F.col(end) == F.col("k"), "left").withColumn(end, F.coalesce("c", end)).drop("k", "c")
+    more = components(ends).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    fresh = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().join(labels, "node", "left_anti").select("node", F.col("node").alias("component"))
+    both = labels.unionByName(fresh).join(more, F.col("component") == F.col("old"), "left")
+    return materialize(both.select("node", F.coalesce("new", "component").alias("component")), "labels")
+
+
+def bitmap(shingles: np.ndarray) -> bytes:
+    """Parity of the shingles that fall on each of BITS bits: two sets' bitmaps differ in no more bits than the sets in shingles."""
+    at = (mix(shingles) >> np.uint64(64 - (BITS - 1).bit_length())).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=BITS) & 1).astype(bool)).tobytes()
+
+
+def _proposed(members: DataFrame, failed: DataFrame, percent: int, everything: bool) -> DataFrame:
+    """Pairs (a, b) for the full sets to decide: a forest of the closest pairs between a bucket's components, or all.
+
+    members are rows (key, rep, n, label, bits) of buckets with several
+    components. Pairs that failed before, and those whose sizes or bitmaps
+    prove them too different, are left out. Buckets over BLOCK members are cut
+    into pairs of blocks.
+    """
+    size = members.groupBy("key").count().where(F.col("count") > BLOCK).select(F.col("key").alias("k"), F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    cut = members.join(size, F.col("key") == F.col("k"), "left").drop("k").withColumn("block", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("rep"), F.col("blocks"))).cast("int"))
+    other = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.withColumn("other", other).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    cut = cut.select("key", "low", "high", "block", "rep", "n", "label", "bits")
+    bad = failed.join(members.select("key", "rep"), F.col("a") == F.col("rep")).select("key", "a", "b").join(members.select(F.col("key").alias("k2"), F.col("rep").alias("r2")), (F.col("key") == F.col("k2")) & (F.col("b") == F.col("r2"))).select("key", "a", "b")
+    place = lambda c: F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64(c), F.col("blocks"))).cast("int")
+    bad = bad.join(size, F.col("key") == F.col("k"), "left").withColumn("x", place("a")).withColumn("y", place("b"))
+    bad = bad.select("key", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"), F.lit(-1).alias("block"), F.col("a").alias("rep"), F.col("b").alias("n"), F.lit(None).cast("long").alias("label"), F.lit(None).cast("binary").alias("bits"))
+    dealt = cut.unionByName(bad).repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "label", "rep")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            key = np.stack([t.column(c).to_numpy() for c in ("key", "low", "high")], 1)
+            differs = np.flatnonzero((key != key[-1]).any(1))
+            end = int(differs[-1]) + 1 if len(differs) else 0
+            held = t.slice(end)  # the last bucket may go on
+            if end:
+                yield _closest(t.slice(0, end), percent, everything)
+        if held is not None and held.num_rows:
+            yield _closest(held, percent, everything)
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _closest(t: pa.Table, percent: int, everything: bool) -> pa.RecordBatch:
+    key = np.stack([t.column(c).to_numpy() for c in ("key", "low", "high")], 1)
+    block, rep, n = (t.column(c).to_numpy() for c in ("block", "rep", "n"))
+    label = t.column("label").fill_null(0).to_numpy()
+    bits = t.column("bits").to_pylist()
+    begin = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
+    out_a, out_b = [], []
+    for lo, hi in zip(begin, np.append(begin[1:], len(rep)), strict=True):
+        rows = np.arange(lo, hi)
+        bad = rows[block[lo:hi] < 0]
+        rows = rows[block[lo:hi] >= 0]
+        if len(rows) < 2:
+            continue
+        size, mine, who, side = n[rows], label[rows], rep[rows], block[rows]
+        maps = np.frombuffer(b"".join(bits[i] for i in rows), "<u8").reshape(len(rows), -1)
+        names, groups = np.unique(mine, return_inverse=True)
+        if len(names) < 2:
+            continue
+        lone = np.flatnonzero(groups != np.bincount(groups).argmax())  # every mixed pair has an end outside the largest component
+        at = {int(w): i for i, w in enumerate(who)}
+        banned = {(at[a], at[b]) for a, b in zip(rep[bad].tolist(), n[bad].tolist(), strict=True) if a in at and b in at}
+        banned |= {(b, a) for a, b in banned}
+        row_of = {int(x): i for i, x in enumerate(lone)}
+        stop = np.array([(row_of[a], b) for a, b in banned if a in row_of], np.int64).reshape(-1, 2)
+        near_i, near_j, near_d = [], [], []  # pairs that only the full sets can decide
+        for s in range(0, len(lone), 256):
+            x = lone[s : s + 256]
+            both = size[x][:, None] + size[None]
+            room = both - 2 * -(-percent * both // (100 + percent))
+            ok = (groups[x][:, None] != groups[None]) & (100 * np.minimum(size[x][:, None], size[None]) >= percent * np.maximum(size[x][:, None], size[None]))
+            if key[lo, 1] != key[lo, 2]:
+                ok &= side[x][:, None] != side[None]
+            here = stop[(stop[:, 0] >= s) & (stop[:, 0] < s + 256)]
+            ok[here[:, 0] - s, here[:, 1]] = False
+            i, j = np.nonzero(ok)
+            apart = np.zeros(len(i), np.int32)
+            for w in range(maps.shape[1]):
+                apart += np.bitwise_count(maps[x[i], w] ^ maps[j, w])
+            fits = apart <= room[i, j]
+            near_i.append(x[i[fits]])
+            near_j.append(j[fits])
+            near_d.append(apart[fits])
+        i, j, d = (np.concatenate(v) for v in (near_i, near_j, near_d))
+        if not everything:  # a forest of the closest pairs over the components
+            keep, roots = [], list(range(len(names)))
+            for e in np.argsort(d, kind="stable").tolist():
+                p, q = int(groups[i[e]]), int(groups[j[e]])
+                while roots[p] != p:
+                    p = roots[p]
+                while roots[q] != q:
+                    q = roots[q]
+                if p != q:
+                    roots[max(p, q)] = min(p, q)
+                    keep.append(e)
+            i, j = i[keep], j[keep]
+        out_a.append(who[i])
+        out_b.append(who[j])
+    a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (out_a, out_b))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
 def _packed_sets(docs: DataFrame, k: int) -> DataFrame:
     """Rows (id, shingles): the full set of each text, packed."""
 
