@@ -15,7 +15,7 @@ from skein.session import materialize
 
 
 #: Bits of a set's bitmap; members of a bucket that one task compares; rounds of proposals before all that is left is decided.
-BITS, BLOCK, TURNS = 2048, 4096, 8
+BITS, BLOCK, TURNS = 2048, 4096, 3
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -163,12 +163,9 @@ def _proposed(members: DataFrame, failed: DataFrame, percent: int, everything: b
     cut = members.join(size, F.col("key") == F.col("k"), "left").drop("k").withColumn("block", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("rep"), F.col("blocks"))).cast("int"))
     other = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.withColumn("other", other).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    cut = cut.select("key", "low", "high", "block", "rep", "n", "label", "bits")
-    bad = failed.join(members.select("key", "rep"), F.col("a") == F.col("rep")).select("key", "a", "b").join(members.select(F.col("key").alias("k2"), F.col("rep").alias("r2")), (F.col("key") == F.col("k2")) & (F.col("b") == F.col("r2"))).select("key", "a", "b")
-    place = lambda c: F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64(c), F.col("blocks"))).cast("int")
-    bad = bad.join(size, F.col("key") == F.col("k"), "left").withColumn("x", place("a")).withColumn("y", place("b"))
-    bad = bad.select("key", F.least("x", "y").alias("low"), F.greatest("x", "y").alias("high"), F.lit(-1).alias("block"), F.col("a").alias("rep"), F.col("b").alias("n"), F.lit(None).cast("long").alias("label"), F.lit(None).cast("binary").alias("bits"))
-    dealt = cut.unionByName(bad).repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "label", "rep")
+    banned = failed.groupBy(F.col("b").alias("fb")).agg(F.collect_set("a").alias("no"))  # the larger id knows: at most one per bucket and round
+    cut = cut.join(banned, F.col("rep") == F.col("fb"), "left").select("key", "low", "high", "block", "rep", "n", "label", "bits", F.coalesce("no", F.array().cast("array<long>")).alias("no"))
+    dealt = cut.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "label", "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -190,14 +187,12 @@ def _proposed(members: DataFrame, failed: DataFrame, percent: int, everything: b
 def _closest(t: pa.Table, percent: int, everything: bool) -> pa.RecordBatch:
     key = np.stack([t.column(c).to_numpy() for c in ("key", "low", "high")], 1)
     block, rep, n = (t.column(c).to_numpy() for c in ("block", "rep", "n"))
-    label = t.column("label").fill_null(0).to_numpy()
-    bits = t.column("bits").to_pylist()
+    label = t.column("label").to_numpy()
+    bits, refused = t.column("bits").to_pylist(), t.column("no").to_pylist()
     begin = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
     out_a, out_b = [], []
     for lo, hi in zip(begin, np.append(begin[1:], len(rep)), strict=True):
         rows = np.arange(lo, hi)
-        bad = rows[block[lo:hi] < 0]
-        rows = rows[block[lo:hi] >= 0]
         if len(rows) < 2:
             continue
         size, mine, who, side = n[rows], label[rows], rep[rows], block[rows]
@@ -207,7 +202,7 @@ def _closest(t: pa.Table, percent: int, everything: bool) -> pa.RecordBatch:
             continue
         lone = np.flatnonzero(groups != np.bincount(groups).argmax())  # every mixed pair has an end outside the largest component
         at = {int(w): i for i, w in enumerate(who)}
-        banned = {(at[a], at[b]) for a, b in zip(rep[bad].tolist(), n[bad].tolist(), strict=True) if a in at and b in at}
+        banned = {(at[int(b)], at[a]) for b, no in zip(who, refused[lo:hi], strict=True) for a in no if a in at}
         banned |= {(b, a) for a, b in banned}
         row_of = {int(x): i for i, x in enumerate(lone)}
         stop = np.array([(row_of[a], b) for a, b in banned if a in row_of], np.int64).reshape(-1, 2)
