@@ -20,11 +20,11 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = 4 <<
     """Rows (chunk, id, text, row) and the number of chunks: documents dealt by a hash of the whole text and id.
 
     row holds the other columns of docs. Chunks hold about chunk_bytes of text; a
-    small table has as many chunks as two for each shuffle partition.
+    small table has one chunk for each shuffle partition.
     """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
-    n = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // chunk_bytes))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // chunk_bytes))
     doc, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
     chunk = F.pmod(F.xxhash64(doc, text), F.lit(n)).cast("int")
     return docs.select(chunk.alias("chunk"), doc.alias("id"), text.alias("text"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]).alias("row")), n
