@@ -27,6 +27,8 @@ from skein.llm.text import _TABLE, mix, powers
 NOWHERE = np.iinfo(np.int64).max
 _LOW = np.uint64((1 << 20) - 1)
 SLICE = 1 << 19
+#: Bytes of segments that one transform is built over, where one minimiser does not hold more.
+COLLECTION = 1 << 19
 
 
 def anchors(text: bytes, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,23 +95,27 @@ def collection_order(segments: list[bytes], most: int) -> tuple[np.ndarray, np.n
     first[base[:-1]] = True
     m = len(segments)
     files = _Columns()
-    files.put(at=base[1:].astype(np.int32), more=size > 0, sym=text[np.maximum(base[1:] - 1, 0)] if len(text) else np.zeros(m, np.uint8), lcp=np.zeros(m, np.uint8), age=np.zeros(m, np.uint8))
+    ends = base[1:].astype(np.int32)
+    files.put(at=ends, lcp=np.zeros(m, np.uint8), age=np.zeros(m, np.uint8))
     for turn in range(1, int(size.max(initial=0)) + 1):
-        at, more, sym, lcp, age = (files.get(n) for n in ("at", "more", "sym", "lcp", "age"))
+        at, lcp, age = (files.get(n) for n in ("at", "lcp", "age"))
+        more = ~first[at]
+        more[:m] = size > 0
         alive = np.flatnonzero(more)
-        order = alive[np.argsort(sym[alive], kind="stable")]
-        starts = at[order] - 1
-        fresh = age[order] == turn - 1  # their tails came in the last round
-        changed = fresh.copy()
-        changed[1:] |= fresh[:-1]
+        sym = text[at[alive] - 1]
+        rank = np.argsort(sym, kind="stable")
+        order, sym = alive[rank], sym[rank]
+        grown = age[order] + np.uint8(1)  # the length of each suffix
+        fresh = grown == turn  # their tails came in the last round
         new = np.zeros(len(order), np.uint8)
         new[~fresh] = lcp[m:]
-        pick = np.flatnonzero(changed)
-        pick = pick[pick > 0]
-        same = sym[order[pick]] == sym[order[pick - 1]]
+        pick = np.flatnonzero(fresh)
+        pick = np.unique(np.concatenate([pick, pick + 1]))
+        if len(pick) and pick[0] == 0:
+            new[0], pick = 0, pick[1:]
+        pick = pick[pick < len(order)]
+        same = sym[pick] == sym[pick - 1]
         new[pick[~same]] = 0
-        if len(changed) and changed[0]:
-            new[0] = 0
         pick = pick[same]
         if len(pick):
             lo, hi = order[pick - 1] + 1, order[pick]
@@ -120,15 +126,8 @@ def collection_order(segments: list[bytes], most: int) -> tuple[np.ndarray, np.n
                 low[here] = np.minimum(table[lo[here]], table[hi[here] - (1 << d) + 1])
                 if d < int(level.max()):
                     table = np.minimum(table[: -(1 << d)], table[1 << d :])
-            new[pick] = np.minimum(low.astype(np.int64) + 1, most)
-        empty = np.arange(m)
-        files.put(
-            at=np.concatenate([base[1:].astype(np.int32), starts]),
-            more=np.concatenate([size > 0, ~first[starts]]),
-            sym=np.concatenate([text[np.maximum(base[1:] - 1, 0)], text[np.maximum(starts - 1, 0)]]),
-            lcp=np.concatenate([np.zeros(len(empty), np.uint8), new]),
-            age=np.concatenate([np.zeros(m, np.uint8), age[order] + 1]).astype(np.uint8),
-        )
+            new[pick] = np.minimum(low, most - 1) + 1
+        files.put(at=np.concatenate([ends, at[order] - 1]), lcp=np.concatenate([np.zeros(m, np.uint8), new]), age=np.concatenate([np.zeros(m, np.uint8), grown]))
     at, lcp = files.get("at")[m:], files.get("lcp")[m:]
     files.close()
     return at, lcp
@@ -149,22 +148,17 @@ def least_documents(segments: list[bytes], docs: np.ndarray, length: int) -> lis
     return [out[b : b + n - length + 1] for b, n in zip(base[:-1], size, strict=True)]
 
 
-def _pieces(texts: list[bytes], ids: list, length: int, k: int, known: dict[int, np.ndarray], buckets: int):
+def _pieces(texts: list[bytes], ids: list, length: int, k: int, known: np.ndarray, buckets: int):
     """Segments of a chunk whose minimiser repeats: per text (first window, bytes, minimiser)."""
     for text, doc in zip(texts, ids, strict=True):
         h, a, b = anchors(text, length, k)
-        keep = np.zeros(len(h), bool)
-        where = bucket_of(h, buckets).astype(np.int64)
-        low = h.astype(np.uint32)
-        order = np.argsort(where, kind="stable")
-        start, end = runs(where[order])
-        for s, e in zip(start, end, strict=True):
-            rows = order[s:e]
-            have = known.get(int(where[rows[0]]))
-            if have is not None and len(have):
-                i = np.minimum(np.searchsorted(have, low[rows]), len(have) - 1)
-                keep[rows] = have[i] == low[rows]
-        yield doc, text, [(int(x), text[x : y + length], int(z)) for x, y, z in zip(a[keep], b[keep], h[keep], strict=True)]
+        if len(h) and len(known):
+            key = (bucket_of(h, buckets) << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
+            keep = known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
+            h, a, b = h[keep].tolist(), a[keep].tolist(), b[keep].tolist()
+        else:
+            h = a = b = []
+        yield doc, text, [(x, text[x : y + length], z) for x, y, z in zip(a, b, h, strict=True)]
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, k: int = 20, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False, chunk_bytes: int = 4 << 20) -> DataFrame:
@@ -239,29 +233,51 @@ def remove_repeats(docs: DataFrame, length: int = 50, k: int = 20, id_col: str =
         chunk, rows = group.column("chunk")[0].as_py(), []
         for s, e in zip(*runs(where[order]), strict=True):
             mine = order[s:e]
-            rows.append((int(where[mine[0]]), chunk, b"".join(names[i] for i in mine), np.array([len(names[i]) for i in mine], np.uint8).tobytes(), np.array([least[names[i]] for i in mine], "<i8").tobytes()))
+            rows.append((int(where[mine[0]]), chunk, b"".join(names[i] for i in mine), np.array([len(names[i]) for i in mine], np.uint8).tobytes(), np.array([least[names[i]] for i in mine], "<i8").tobytes(), h[mine].astype("<u4").tobytes()))
         return _table(rows, _SENT)
 
     def build(group: pa.Table) -> pa.Table:
         least: dict[bytes, int] = {}
+        mark: dict[bytes, int] = {}
         asked_by = []
-        for chunk, blob, sizes, docs_ in zip(*(group.column(c).to_pylist() for c in ("chunk", "pieces", "sizes", "docs")), strict=True):
+        for chunk, blob, sizes, docs_, marks in zip(*(group.column(c).to_pylist() for c in ("chunk", "pieces", "sizes", "docs", "marks")), strict=True):
             ends = np.cumsum(np.frombuffer(sizes, np.uint8).astype(np.int64)).tolist()
             names, at = [], 0
-            for e, d in zip(ends, np.frombuffer(docs_, "<i8").tolist(), strict=True):
+            for e, d, m in zip(ends, np.frombuffer(docs_, "<i8").tolist(), np.frombuffer(marks, "<u4").tolist(), strict=True):
                 piece = blob[at:e]
                 names.append(piece)
                 if d < least.get(piece, NOWHERE) or piece not in least:
                     least[piece] = d
+                    mark[piece] = m
                 at = e
             asked_by.append((chunk, names))
-        segments = list(least)
-        answers = dict(zip(segments, least_documents(segments, np.array([least[s] for s in segments], np.int64), length), strict=True))
+        answers: dict[bytes, np.ndarray] = {}
+        under: dict[int, list[bytes]] = {}
+        for piece, m in mark.items():
+            under.setdefault(m, []).append(piece)
+        part: list[bytes] = []
+
+        def settle() -> None:
+            answers.update(zip(part, least_documents(part, np.array([least[s] for s in part], np.int64), length), strict=True))
+            part.clear()
+
+        room = 0
+        for pieces in under.values():  # equal windows share their minimiser, so collections are cut between minimisers
+            if len(pieces) == 1:
+                answers[pieces[0]] = np.full(len(pieces[0]) - length + 1, least[pieces[0]], np.int64)
+                continue
+            part.extend(pieces)
+            room += sum(map(len, pieces))
+            if room >= COLLECTION:
+                settle()
+                room = 0
+        if part:
+            settle()
         bucket = group.column("bucket")[0].as_py()
         return _table([(chunk, 1, bucket, zlib.compress(np.concatenate([answers[x] for x in names]).astype("<i8").tobytes(), 1)) for chunk, names in asked_by], _REPLY)
 
-    sent = left.cogroup(known.groupBy("chunk")).applyInArrow(send, "bucket int, chunk int, pieces binary, sizes binary, docs binary")
-    built = sent.groupBy("bucket").applyInArrow(build, "chunk int, kind int, bucket int, payload binary")
+    sent = left.cogroup(known.groupBy("chunk")).applyInArrow(send, "bucket int, chunk int, pieces binary, sizes binary, docs binary, marks binary")
+    built = sent.repartition(n, "bucket").groupBy("bucket").applyInArrow(build, "chunk int, kind int, bucket int, payload binary")
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.string() if as_text else pa.binary())]
 
     def cut(group: pa.Table, replies: pa.Table) -> pa.Table:
@@ -303,7 +319,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, k: int = 20, id_col: str =
 
 
 _REPLY = [("chunk", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())]
-_SENT = [("bucket", pa.int32()), ("chunk", pa.int32()), ("pieces", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary())]
+_SENT = [("bucket", pa.int32()), ("chunk", pa.int32()), ("pieces", pa.binary()), ("sizes", pa.binary()), ("docs", pa.binary()), ("marks", pa.binary())]
 
 
 def _table(rows: list[tuple], fields: list) -> pa.Table:
@@ -311,5 +327,7 @@ def _table(rows: list[tuple], fields: list) -> pa.Table:
     return pa.table([pa.array(c, t) for c, (_, t) in zip(cols, fields, strict=True)], [n for n, _ in fields])
 
 
-def _known(replies: pa.Table) -> dict[int, np.ndarray]:
-    return {b: np.frombuffer(p, "<u4") for kind, b, p in zip(*(replies.column(c).to_pylist() for c in ("kind", "bucket", "payload")), strict=True) if kind == 0}
+def _known(replies: pa.Table) -> np.ndarray:
+    """The repeating minimisers of a chunk: bucket and low half in one sorted array."""
+    found = sorted((b, p) for kind, b, p in zip(*(replies.column(c).to_pylist() for c in ("kind", "bucket", "payload")), strict=True) if kind == 0)
+    return np.concatenate([np.zeros(0, np.uint64), *[(np.uint64(b) << np.uint64(32)) | np.frombuffer(p, "<u4").astype(np.uint64) for b, p in found]])
