@@ -18,18 +18,44 @@ from skein.session import materialize
 _END = mix(np.array([0xE2D], np.uint64))[0]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 DISCOUNT = 0.75
-_ASK = "bucket int, chunk int, contexts binary, sizes binary, entries binary, counts binary, parents binary"
+_ASK = "bucket int, chunk int, contexts binary, times binary, sizes binary, entries binary, counts binary, parents binary"
 _REPLY = "chunk int, level int, bucket int, payload binary"
-_ASK_FIELDS = [("bucket", pa.int32()), ("chunk", pa.int32())] + [(x, pa.binary()) for x in ("contexts", "sizes", "entries", "counts", "parents")]
+_ASK_FIELDS = [("bucket", pa.int32()), ("chunk", pa.int32())] + [(x, pa.binary()) for x in ("contexts", "times", "sizes", "entries", "counts", "parents")]
 _REPLY_FIELDS = [("chunk", pa.int32()), ("level", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())]
 
 
+#: Bytes of an entry's hash. It tells the successors of one context apart, of which a common word has millions.
+_WIDTH = 5
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second bytes and so on: high bytes are alike, and compress away."""
+    x = np.ascontiguousarray(x)
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def _values(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 def _pack(x: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(x).tobytes(), 1)
+    return zlib.compress(_planes(x), 1)
 
 
 def _open(x: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(x), kind)
+    return _values(zlib.decompress(x), kind)
+
+
+def _narrow(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :_WIDTH].tobytes()
+
+
+def _wide(x: bytes) -> np.ndarray:
+    raw = np.frombuffer(x, np.uint8).reshape(-1, _WIDTH)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :_WIDTH] = raw
+    return out.view("<u8").ravel()
 
 
 class Chunk:
@@ -86,10 +112,9 @@ class Chunk:
         name, rows = self.hash[named], []
         for s, e in zip(*runs(bucket_of(name, buckets)), strict=True):
             a, b = np.searchsorted(head, [s, e])
-            entry = mix(name[head[a:b]] * _STEP + self.names[token[a:b]]).astype("<u4")
-            contexts = np.stack([name[s:e], self.count[named[s:e]].astype(np.uint64)], 1)
+            entry = mix(name[head[a:b]] * _STEP + self.names[token[a:b]])
             sizes = np.bincount(head[a:b] - s, minlength=e - s)
-            rows.append((int(bucket_of(name[s : s + 1], buckets)[0]), chunk, contexts.astype("<u8").tobytes(), _pack(sizes.astype("<u4")), entry.tobytes(), _pack(own[a:b].astype("<u4")), _pack(np.log2(parent[a:b]).astype("<f4"))))
+            rows.append((int(bucket_of(name[s : s + 1], buckets)[0]), chunk, name[s:e].astype("<u8").tobytes(), _pack(self.count[named[s:e]].astype("<i8")), _pack(sizes.astype("<u4")), _narrow(entry), _pack(own[a:b].astype("<u4")), _pack(np.log2(parent[a:b]).astype("<f4"))))
         return _table(rows, _ASK_FIELDS)
 
     def learn_level(self, level: int, payloads: list[bytes]) -> None:
@@ -113,13 +138,13 @@ class Chunk:
 
 
 def _pack_level(flags: np.ndarray, weights: np.ndarray, counts: np.ndarray) -> bytes:
-    return _pack(np.frombuffer(np.array([len(flags), len(counts)], "<i8").tobytes() + flags.astype("u1").tobytes() + weights.astype("<f4").tobytes() + counts.astype("<i8").tobytes(), np.uint8))
+    return zlib.compress(np.array([len(flags), len(counts)], "<i8").tobytes() + flags.astype("u1").tobytes() + _planes(weights.astype("<f4")) + _planes(counts.astype("<i8")), 1)
 
 
 def _unpack_level(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = zlib.decompress(payload)
     n, m = np.frombuffer(raw, "<i8", 2)
-    return np.frombuffer(raw, "u1", n, 16), np.frombuffer(raw, "<f4", n, 16 + n).astype(float), np.frombuffer(raw, "<i8", m, 16 + 5 * n)
+    return np.frombuffer(raw, "u1", n, 16), _values(raw[16 + n : 16 + 5 * n], "<f4").astype(float), _values(raw[16 + 5 * n :], "<i8")
 
 
 def _ordered(replies: pa.Table, level: int) -> list[bytes]:
@@ -127,7 +152,7 @@ def _ordered(replies: pa.Table, level: int) -> list[bytes]:
     return [p for _, p in found]
 
 
-def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 5e-6, penalty: float = 0.5, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "held_out", chunk_bytes: int = 8 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 0.0, penalty: float = 0.5, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "held_out", chunk_bytes: int = 8 << 20) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     Tokens are words (A-Z folded) and one end per text; a null or empty text is
@@ -135,15 +160,17 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 5e-6, penalty: f
     any, all probabilities are those of unseen words. base_score sums log10 of
     the add-0.1 word probabilities, score the log10 probabilities under the tree.
 
-    States are contexts of up to depth words whose empirical probability reaches
-    p_min, retained when their successors diverge from the shorter context's:
+    States are contexts of up to depth words that occur twice or more, whatever
+    the size of the corpus, retained when their successors that occur twice or
+    more after them diverge from the shorter context's:
     the gain in log likelihood (count times divergence) must exceed penalty
     times the number of successors kept times the log of the count. A state
     gives each kept successor its discounted share and the rest of the mass to
     the next shorter suffix's distribution, so every state sums to one over the
     vocabulary and one unseen word. Counts of all words and of all grams whose
-    parts reach p_min are gathered over the whole corpus; no successor that
-    reaches p_min with its context is left out.
+    parts occur twice are gathered over the whole corpus; no successor that
+    occurs twice with its context is left out. A caller that wants a smaller
+    model can ask for an empirical probability of p_min besides.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(held_out_col), F.lit(False)).alias("held_out"))
     left, buckets = chunked(rows, "id", "text", chunk_bytes)
@@ -188,16 +215,16 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 5e-6, penalty: f
 
     def counter(level: int):
         def count(group: pa.Table) -> pa.Table:
-            heads = [np.frombuffer(x, "<u8").reshape(-1, 2) for x in group.column("contexts").to_pylist()]
+            heads = [np.frombuffer(x, "<u8") for x in group.column("contexts").to_pylist()]
             sizes = [_open(x, "<u4").astype(np.int64) for x in group.column("sizes").to_pylist()]
-            context, owner = np.unique(np.concatenate([h[:, 0] for h in heads]), return_inverse=True)
+            context, owner = np.unique(np.concatenate(heads), return_inverse=True)
             times = np.zeros(len(context))
-            times[owner] = np.concatenate([h[:, 1] for h in heads])
-            key = (np.repeat(owner, np.concatenate(sizes)).astype(np.uint64) << np.uint64(32)) | np.concatenate([np.frombuffer(x, "<u4") for x in group.column("entries").to_pylist()])
+            times[owner] = np.concatenate([_open(x, "<i8") for x in group.column("times").to_pylist()])
+            key = (np.repeat(owner, np.concatenate(sizes)).astype(np.uint64) << np.uint64(8 * _WIDTH)) | np.concatenate([_wide(x) for x in group.column("entries").to_pylist()])
             value, first, inverse = np.unique(key, return_index=True, return_inverse=True)
             total = np.bincount(inverse, weights=np.concatenate([_open(x, "<u4") for x in group.column("counts").to_pylist()]), minlength=len(value))
             parent = np.exp2(np.concatenate([_open(x, "<f4") for x in group.column("parents").to_pylist()]).astype(float)[first])
-            state = (value >> np.uint64(32)).astype(np.int64)
+            state = (value >> np.uint64(8 * _WIDTH)).astype(np.int64)
             enough = total >= least
             share = np.where(enough, total - DISCOUNT, 0) / times[state]
             back = np.clip(1 - np.bincount(state, weights=share, minlength=len(context)), 1e-6, 1)

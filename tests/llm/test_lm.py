@@ -67,3 +67,13 @@ def test_scores_odd(odd, nothing):
     assert suffix_tree.score_texts(nothing.withColumn("held_out", F.lit(True))).count() == 0
     alone = suffix_tree.score_texts(odd.withColumn("held_out", F.lit(True))).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in alone)
+
+
+def test_rare_pairs_count_in_a_large_corpus(spark):
+    """A pair that occurs twice bears on the scores, however many other words the corpus has."""
+    rare = "quenby vostok"
+    rows = [(i, " ".join("w%d" % (k * k % 997 + i) for k in range(20_000)), False) for i in range(30)]
+    rows += [(i, rare, False) for i in range(1000, 1003)] + [(2000, rare, True)]
+    got = {r.doc_id: r for r in suffix_tree.score_texts(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")).collect()}
+    assert got[2000].train_tokens * 5e-6 > 3
+    assert got[2000].score > got[2000].base_score + 5
