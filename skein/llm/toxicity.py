@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, STEP, LEVEL = 64, 48, 8
+#: Windows of a passage: features are taken by passage, so they mean the same in a text of any length.
+PASSAGE = 32
 
 
 def _windows(text: bytes) -> list[bytes]:
@@ -22,9 +24,11 @@ class CompressionClassifier:
     Both dictionaries hold the same ordinary passages; the toxic one holds
     besides the fragments that mark toxic text, so the difference of the two
     compressed lengths of a window is what those fragments save. The document
-    features (largest, mean of the three largest, mean, share of windows above
-    two thresholds, sum above a threshold) are turned into a calibrated
-    probability by logistic regression.
+    features (largest gain; mean and share of windows above a threshold over the
+    text; three largest, mean, share and excess of the passage of 32 windows
+    that has most of each) are turned into a calibrated probability by logistic
+    regression. None of them adds up over a text, so all keep their range
+    however long it is.
     """
 
     def __init__(self, toxic: bytes, ordinary: bytes):
@@ -50,8 +54,11 @@ class CompressionClassifier:
 
     def features(self, text: bytes) -> np.ndarray:
         ordinary, toxic = self._compressors()
-        gain = np.sort(np.fromiter((len(ordinary(w)) - len(toxic(w)) for w in _windows(text)), float))[::-1]
-        return np.array([gain[0], gain[:3].sum() / 3, gain.mean(), np.log(len(gain)), (gain >= 3).mean(), (gain >= 5).mean(), np.maximum(gain - 2, 0).sum()])
+        gain = np.fromiter((len(ordinary(w)) - len(toxic(w)) for w in _windows(text)), float)
+        starts = sorted({*range(0, max(1, len(gain) - PASSAGE + 1), PASSAGE // 2), max(0, len(gain) - PASSAGE)})
+        block = np.lib.stride_tricks.sliding_window_view(gain, min(PASSAGE, len(gain)))[starts]
+        top = np.sort(block, 1)[:, -3:].sum(1) / 3
+        return np.array([gain.max(), gain.mean(), (gain >= 3).mean(), top.max(), block.mean(1).max(), (block >= 5).mean(1).max(), np.maximum(block - 2, 0).sum(1).max()])
 
     def calibrate(self, texts: list[bytes], labels: np.ndarray, prevalence: float) -> None:
         """Logistic regression with the classes weighted to their share among all labelled rows."""
@@ -141,8 +148,19 @@ def _fragments(toxic: list[bytes], ordinary: list[bytes], size: int, least: int
     return b"".join(kept[::-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = 2500, sample_chars: int = 4000, dictionary_bytes: int = 400, common_bytes: int = 12000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> CompressionClassifier:
-    """Fit on a bounded sample: docs_per_class labelled ids of each class by a hash of the id, sample_chars of each text.
+def fit(toxic: list[bytes], ordinary: list[bytes], prevalence: float, dictionary_bytes: int, common_bytes: int) -> CompressionClassifier:
+    """Dictionaries from half of the toxic and two thirds of the ordinary texts, calibrated on the others."""
+    half, calm = len(toxic) // 2, len(ordinary) * 2 // 3
+    fragments = _fragments(toxic[:half], ordinary[:calm], dictionary_bytes)
+    common = b" ".join(t[:300] for t in ordinary[:40])[:common_bytes]
+    model = CompressionClassifier((fragments + common) or b" " * 8, common or b" " * 8)
+    check = toxic[half:] + ordinary[calm:]
+    model.calibrate(check, np.array([1.0] * (len(toxic) - half) + [0.0] * (len(ordinary) - calm)), prevalence)
+    return model
+
+
+def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = 2500, dictionary_bytes: int = 400, common_bytes: int = 12000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> CompressionClassifier:
+    """Fit on a bounded sample of rows: docs_per_class labelled ids of each class by a hash of the id, with their whole texts.
 
     The sample is drawn from labels alone and only then sent to docs, so no text
     is shuffled. Half of the toxic sample builds the dictionary, the other half
@@ -155,20 +173,14 @@ def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = 2500, sample
     order = F.xxhash64(F.col("i").cast("string"))
     picked = [marks.where(F.col("y") == y).orderBy(order, "i").limit(docs_per_class) for y in (0, 1)]
     sample = F.broadcast(picked[0].unionByName(picked[1]))  # at most twice docs_per_class rows
-    found = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.substring(F.col(text_col).cast("string"), 1, sample_chars).alias("t")).join(sample, "i").select("y", order.alias("h"), "t").collect()
+    found = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).join(sample, "i").select("y", order.alias("h"), "t").collect()
     found.sort(key=lambda r: (r["h"], r["t"]))
     texts = {y: list(dict.fromkeys(r["t"].encode() for r in found if r["y"] == y)) for y in (1, 0)}
     if not texts[0] or len(texts[1]) < 2:
         model = CompressionClassifier(b"", b"")
         model.constant = 1.0 if texts[1] and not texts[0] else 0.0
         return model
-    half, calm = len(texts[1]) // 2, len(texts[0]) * 2 // 3
-    fragments = _fragments(texts[1][:half], texts[0][:calm], dictionary_bytes)
-    common = b" ".join(t[:300] for t in texts[0][:40])[:common_bytes]
-    model = CompressionClassifier((fragments + common) or b" " * 8, common or b" " * 8)
-    check = texts[1][half:] + texts[0][calm:]
-    model.calibrate(check, np.array([1.0] * (len(texts[1]) - half) + [0.0] * (len(texts[0]) - calm)), counts[1] / (counts[0] + counts[1]))
-    return model
+    return fit(texts[1], texts[0], counts[1] / (counts[0] + counts[1]), dictionary_bytes, common_bytes)
 
 
 def score(docs: DataFrame, model: CompressionClassifier, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

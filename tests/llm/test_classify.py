@@ -72,3 +72,31 @@ def test_toxicity(spark, docs, nothing, odd):
     assert toxicity.score(odd, model).count() == odd.count()
     assert toxicity.score(nothing, model).count() == 0
     assert {r.score for r in toxicity.score(odd, toxicity.train(nothing, labels.where("doc_id < 0"))).collect()} == {0.0}
+
+
+def _long_rows(rng, n):
+    """Texts of some 9,000 bytes, every fourth with toxic words in its last tenth only."""
+    common = ["".join(rng.choice(list("aeioutrnsl"), rng.integers(2, 8))) for _ in range(400)]
+    rows = []
+    for i in range(n):
+        w = list(rng.choice(common, 1600))
+        if i % 4 == 0:
+            for at in rng.integers(1450, 1600, 8):
+                w[at] = ["grumblesnarf", "wretchpile"][int(at) % 2]
+        rows.append((i, " ".join(w)))
+    return rows, common
+
+
+def test_toxicity_late_in_long_texts(spark):
+    rng = np.random.default_rng(5)
+    rows, common = _long_rows(rng, 240)
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(240) if i % 3], "doc_id long, toxic int")
+    model = toxicity.train(texts, labels)
+    out = {r.doc_id: r.predicted for r in toxicity.score(texts, model).collect()}
+    assert np.mean([out[i] == int(i % 4 == 0) for i in range(0, 240, 3)]) > 0.9
+    # a clean text stays clean, and a toxic one toxic, when twenty times as long
+    clean = " ".join(rng.choice(common, 30_000))
+    assert model.score(clean.encode()) < 0.7 <= model.score((clean + rows[0][1]).encode())
+    features = np.array([model.features(" ".join(rng.choice(common, n)).encode()) for n in (1500, 30_000)])
+    assert (np.abs(features[1] - features[0]) < 3).all()
