@@ -60,12 +60,12 @@ class CompressionClassifier:
         top = np.sort(block, 1)[:, -3:].sum(1) / 3
         return np.array([gain.max(), gain.mean(), (gain >= 3).mean(), top.max(), block.mean(1).max(), (block >= 5).mean(1).max(), np.maximum(block - 2, 0).sum(1).max()])
 
-    def calibrate(self, texts: list[bytes], labels: np.ndarray, prevalence: float) -> None:
-        """Logistic regression with the classes weighted to their share among all labelled rows."""
-        x = np.array([self.features(t) for t in texts])
+    def calibrate(self, x: np.ndarray, labels: np.ndarray, prevalence: float) -> None:
+        """Logistic regression over features, with the classes weighted to their share among all labelled rows."""
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-9
         x = np.c_[(x - self.mean) / self.scale, np.ones(len(x))]
         each = np.where(labels == 1, prevalence / labels.mean(), (1 - prevalence) / (1 - labels.mean())) / len(labels)
+        self.weights = np.zeros(x.shape[1])
         for _ in range(4000):
             p = 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
             self.weights -= 0.5 * (x.T @ ((p - labels) * each) + 1e-4 * self.weights)
@@ -73,8 +73,22 @@ class CompressionClassifier:
     def score(self, text: bytes) -> float:
         if self.constant is not None:
             return self.constant
-        x = np.append((self.features(text) - self.mean) / self.scale, 1.0)
-        return float(1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30))))
+        return float(self.probability(self.features(text)[None])[0])
+
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        x = np.c_[(x - self.mean) / self.scale, np.ones(len(x))]
+        return 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
+
+    def held_out_loss(self, x: np.ndarray, labels: np.ndarray, prevalence: float) -> float:
+        """Mean log loss, weighted to prevalence, of each half of the rows under a fit to the other half."""
+        loss, odd = 0.0, np.arange(len(x)) % 2 == 1
+        for half in (odd, ~odd):
+            if not 0 < labels[~half].mean() < 1 or not 0 < labels[half].mean() < 1:
+                return np.inf
+            self.calibrate(x[~half], labels[~half], prevalence)
+            p, y = self.probability(x[half]), labels[half]
+            loss -= prevalence * np.log(p[y == 1]).mean() + (1 - prevalence) * np.log(1 - p[y == 0]).mean()
+        return loss / 2
 
 
 def _grams(texts: list[bytes], n: int, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -121,12 +135,12 @@ def _grown(fragment: bytes, text: bytes, share: float = 0.7, longest: int = 24)
     return fragment
 
 
-def _fragments(toxic: list[bytes], ordinary: list[bytes], size: int, least: int = 4, odds: float = 8.0, cut: float = 0.15) -> bytes:
-    """The byte strings that set toxic texts apart, strongest last (nearest to the window).
+def _fragments(toxic: list[bytes], ordinary: list[bytes], size: int, least: int = 4, odds: float = 8.0) -> list[bytes]:
+    """The byte strings that set toxic texts apart, strongest first.
 
     Six-byte strings in at least `least` surroundings and `odds` times as frequent
-    as in ordinary text are ranked by count times log odds, grown to the longest
-    string around them, and taken until their weight falls below `cut` of the best.
+    as in ordinary text are ranked by count times log odds and grown to the longest
+    string around them. All of them are taken, up to size bytes.
     """
     volume = sum(map(len, toxic)) / max(1, sum(map(len, ordinary)))
     gram, count = _grams(toxic, 6)
@@ -140,26 +154,50 @@ def _fragments(toxic: list[bytes], ordinary: list[bytes], size: int, least: int
     joined = b"\0".join(toxic)
     for i in np.argsort(-weight, kind="stable"):
         g = int(gram[i]).to_bytes(8, "little")[:6]
-        if weight[i] <= cut * weight.max() or sum(map(len, kept)) >= size:
+        if weight[i] <= 0 or sum(map(len, kept)) >= size:
             break
         if not any(g in f for f in kept):
             g = _grown(g, joined)
-            kept = [f for f in kept if f not in g] + [g]
-    return b"".join(kept[::-1])
+            at = next((j for j, f in enumerate(kept) if f in g), len(kept))  # takes the place of the strongest it covers
+            kept = [*kept[:at], g, *(f for f in kept[at:] if f not in g)]
+    return kept
+
+
+def _passages(texts: list[bytes], size: int, width: int = 100) -> bytes:
+    """Passages of up to width bytes, from as many of the texts as fill size, one after another from start to end."""
+    picked = texts[: -(-size // width)]
+    starts = ((len(t) - width) * i // max(1, len(picked) - 1) for i, t in enumerate(picked))
+    return b" ".join(t[max(0, a) : max(0, a) + width] for a, t in zip(starts, picked, strict=True))[:size]
 
 
 def fit(toxic: list[bytes], ordinary: list[bytes], prevalence: float, dictionary_bytes: int, common_bytes: int) -> CompressionClassifier:
-    """Dictionaries from half of the toxic and two thirds of the ordinary texts, calibrated on the others."""
+    """Dictionaries from half of the toxic and two thirds of the ordinary texts, calibrated on the others.
+
+    Fragments that pass the tests of _fragments are candidates up to
+    dictionary_bytes. How many help depends on how much toxic text there is to
+    learn from, so all of them and the strongest 250, 500, 1000 ... bytes are
+    tried, and the one with the least loss on rows held out of the fit is taken.
+    """
     half, calm = len(toxic) // 2, len(ordinary) * 2 // 3
     fragments = _fragments(toxic[:half], ordinary[:calm], dictionary_bytes)
-    common = b" ".join(t[:300] for t in ordinary[:40])[:common_bytes]
-    model = CompressionClassifier((fragments + common) or b" " * 8, common or b" " * 8)
+    common = _passages(ordinary[:calm], common_bytes)
     check = toxic[half:] + ordinary[calm:]
-    model.calibrate(check, np.array([1.0] * (len(toxic) - half) + [0.0] * (len(ordinary) - calm)), prevalence)
+    labels = np.array([1.0] * (len(toxic) - half) + [0.0] * (len(ordinary) - calm))
+    ends = np.cumsum([len(f) for f in fragments])
+    total, best = int(ends[-1]) if len(ends) else 0, None
+    for size in [*(n for n in (250 << k for k in range(16)) if n < total), total]:
+        taken = fragments[: int(np.searchsorted(ends, size, "right"))]
+        model = CompressionClassifier((b"".join(taken[::-1]) + common) or b" " * 8, common or b" " * 8)
+        x = np.array([model.features(t) for t in check])
+        loss = model.held_out_loss(x, labels, prevalence)
+        if best is None or loss < best[0]:
+            best = loss, model, x
+    _, model, x = best
+    model.calibrate(x, labels, prevalence)
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = 2500, dictionary_bytes: int = 400, common_bytes: int = 12000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> CompressionClassifier:
+def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = 2500, dictionary_bytes: int = 65536, common_bytes: int = 12000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> CompressionClassifier:
     """Fit on a bounded sample of rows: docs_per_class labelled ids of each class by a hash of the id, with their whole texts.
 
     The sample is drawn from labels alone and only then sent to docs, so no text

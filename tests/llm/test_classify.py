@@ -100,3 +100,24 @@ def test_toxicity_late_in_long_texts(spark):
     assert model.score(clean.encode()) < 0.7 <= model.score((clean + rows[0][1]).encode())
     features = np.array([model.features(" ".join(rng.choice(common, n)).encode()) for n in (1500, 30_000)])
     assert (np.abs(features[1] - features[0]) < 3).all()
+
+
+def test_toxicity_many_expressions(spark):
+    """Expressions that are rarer than the most frequent one by far still mark a text."""
+    rng = np.random.default_rng(8)
+    word = lambda letters, n: "".join(rng.choice(list(letters), n))
+    common = [word("aeioutrnsl", rng.integers(2, 8)) for _ in range(400)]
+    rare = [word("bcdfghjkmpqvwxyz", 11) for _ in range(60)]
+    rows = []
+    for i in range(1200):
+        w = list(rng.choice(common, 60))
+        if i % 2 == 0:
+            for at in rng.integers(0, 59, 3):
+                w[at] = "grumblesnarf" if i % 4 == 0 else rare[rng.integers(60)]
+        rows.append((i, " ".join(w)))
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(1200) if i % 3], "doc_id long, toxic int")
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    got = {i: model.score(t.encode()) >= 0.7 for i, t in rows if i % 3 == 0}
+    assert np.mean([got[i] for i in got if i % 4 == 2]) > 0.8
+    assert np.mean([got[i] for i in got if i % 2]) < 0.1
+    assert len(model.toxic) - len(model.ordinary) > 500
