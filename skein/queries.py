@@ -247,6 +247,11 @@ def unique_forward(t):
     return R.unique_forward(t("part").where("p_size = 1").select("p_name", "p_brand"), "p_name", "p_brand")
 
 
+@query("SELECT p_name, min(p_brand) AS p_brand FROM part GROUP BY p_name HAVING count(DISTINCT p_brand) = 1")
+def unique_forward_all(t):
+    return R.unique_forward(t("part").select("p_name", "p_brand"), "p_name", "p_brand")
+
+
 @query("SELECT p_partkey, p_name FROM part WHERE (p_brand, p_name) IN (SELECT p_brand, p_name FROM part GROUP BY 1, 2 HAVING count(*) = 1)")
 def topic_membership_unique(t):
     p = t("part").select("p_partkey", "p_brand", "p_name")
@@ -366,10 +371,12 @@ def gql_order_limit(t):
 _TRADE = """trade AS (SELECT src, dst FROM (SELECT c_nationkey AS src, s_nationkey AS dst, row_number() OVER (PARTITION BY c_nationkey ORDER BY count(*) DESC, s_nationkey) AS r FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2) WHERE r <= 3)"""
 
 
-def trade(t) -> DataFrame:
-    """Each nation's three largest partners by line count, ties by key."""
+def trade(t, every: bool = False) -> DataFrame:
+    """Each nation's three largest partners by line count, ties by key; with every, all of its partners."""
     m = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     counts = m.groupBy(F.col("c_nationkey").alias("src"), F.col("s_nationkey").alias("dst")).agg(F.count("*").alias("n"))
+    if every:
+        return graph.materialize(counts.select("src", "dst"), "trade")
     best = counts.withColumn("r", F.row_number().over(Window.partitionBy("src").orderBy(F.desc("n"), "dst"))).where("r <= 3").select("src", "dst")
     return graph.materialize(best, "trade")
 
@@ -394,6 +401,33 @@ def hier_closure(t):
     return graph.closure(trade(t))
 
 
+# The same over every partner, to the depth of GQ-08, and over the whole region-nation-customer tree.
+
+
+@query(None)
+def gql_quantified_bag_all(t):
+    return graph.walks(trade(t, every=True), 1, 3)
+
+
+@query(None)
+def gql_quantified_distinct_all(t):
+    return graph.walks(trade(t, every=True), 1, 5, distinct=True)
+
+
+@query(None)
+def gql_cycle_all(t):
+    return graph.cycles(trade(t, every=True), 2, 10)
+
+
+@query("""WITH e AS (SELECT 'r' || n_regionkey AS s, 'n' || n_nationkey AS d FROM nation UNION ALL SELECT DISTINCT 'n' || c_nationkey, 'c' || c_custkey FROM customer)
+SELECT s AS start, d AS "end", 1 AS distance FROM e UNION ALL SELECT a.s, b.d, 2 FROM e a JOIN e b ON a.d = b.s""")
+def hier_closure_all(t):
+    node = lambda kind, c: F.concat(F.lit(kind), F.col(c).cast("string"))
+    nations = t("nation").select(node("r", "n_regionkey").alias("src"), node("n", "n_nationkey").alias("dst"))
+    customers = t("customer").select(node("n", "c_nationkey").alias("src"), node("c", "c_custkey").alias("dst"))
+    return graph.closure(nations.unionByName(customers))
+
+
 @query("""WITH RECURSIVE w AS (SELECT conv_id, turn AS first, turn AS last, 0 AS depth FROM conversations UNION ALL SELECT w.conv_id, first, c.turn, depth + 1 FROM w JOIN conversations c ON c.conv_id = w.conv_id AND c.turn = w.last + 1 WHERE depth < 3)
 SELECT conv_id, first, last, count(*) AS n FROM w WHERE depth > 0 GROUP BY 1, 2, 3""")
 def gql_reply_chain(t):
@@ -423,15 +457,34 @@ def qa_callers(t):
     return checks.neighbours(trade(t), _nations(t), "dst").select("subject", F.array_join("answers", ",").alias("answers"))
 
 
-@query("WITH " + _TRADE + """, a AS (SELECT src, list(DISTINCT lower(n_name)) AS got FROM trade JOIN nation ON n_nationkey = dst GROUP BY 1),
-q AS (SELECT n_nationkey, m.mode, CASE m.mode WHEN 'count_at_least' THEN ['3'] ELSE [lower(r.x)] END AS expected FROM nation, (VALUES ('contains_all'), ('exact_set'), ('count_at_least')) m(mode), (SELECT min(n_name) AS x FROM nation) r)
-SELECT n_nationkey AS question_id, mode, coalesce(CASE mode WHEN 'contains_all' THEN list_has_all(got, expected) WHEN 'exact_set' THEN list_sort(got) = expected ELSE len(got) >= 3 END, false) AS passed FROM q LEFT JOIN a ON src = n_nationkey""")
-def qa_match_modes(t):
+def _match_modes(t, edges: DataFrame) -> DataFrame:
     first = t("nation").agg(F.min("n_name").alias("x"))
     modes = F.explode(F.array(*[F.lit(m) for m in ("contains_all", "exact_set", "count_at_least")]))
     asked = t("nation").select(F.col("n_nationkey").alias("question_id"), F.col("n_name").alias("subject"), modes.alias("mode")).join(first)
     asked = asked.withColumn("expected", F.when(F.col("mode") == "count_at_least", F.array(F.lit("3"))).otherwise(F.array("x"))).drop("x")
-    return checks.match_modes(asked, checks.neighbours(trade(t), _nations(t))).select("question_id", "mode", "passed")
+    return checks.match_modes(asked, checks.neighbours(edges, _nations(t))).select("question_id", "mode", "passed")
+
+
+@query("WITH " + _TRADE + """, a AS (SELECT src, list(DISTINCT lower(n_name)) AS got FROM trade JOIN nation ON n_nationkey = dst GROUP BY 1),
+q AS (SELECT n_nationkey, m.mode, CASE m.mode WHEN 'count_at_least' THEN ['3'] ELSE [lower(r.x)] END AS expected FROM nation, (VALUES ('contains_all'), ('exact_set'), ('count_at_least')) m(mode), (SELECT min(n_name) AS x FROM nation) r)
+SELECT n_nationkey AS question_id, mode, coalesce(CASE mode WHEN 'contains_all' THEN list_has_all(got, expected) WHEN 'exact_set' THEN list_sort(got) = expected ELSE len(got) >= 3 END, false) AS passed FROM q LEFT JOIN a ON src = n_nationkey""")
+def qa_match_modes(t):
+    return _match_modes(t, trade(t))
+
+
+@query(None)
+def qa_callees_all(t):
+    return checks.neighbours(trade(t, every=True), _nations(t)).select("subject", F.array_join("answers", ",").alias("answers"))
+
+
+@query(None)
+def qa_callers_all(t):
+    return checks.neighbours(trade(t, every=True), _nations(t), "dst").select("subject", F.array_join("answers", ",").alias("answers"))
+
+
+@query(None)
+def qa_match_modes_all(t):
+    return _match_modes(t, trade(t, every=True))
 
 
 @query("SELECT source AS category, count(*) AS cases, CAST(sum(CASE WHEN quality = CASE WHEN length(text) > 1500 THEN 1 ELSE 0 END THEN 1 ELSE 0 END) AS BIGINT) AS correct, round(sum(CASE WHEN quality = CASE WHEN length(text) > 1500 THEN 1 ELSE 0 END THEN 1 ELSE 0 END) * 100.0 / count(*), 2) AS percent FROM documents JOIN labels USING (doc_id) GROUP BY 1")

@@ -137,3 +137,45 @@ def test_entry_queries_match_sql(spark):
         assert sorted(cols) == sorted(df.columns), name
         assert text([tuple(r) for r in df.collect()], df.columns) == text(got.fetchall(), cols), name
     assert e.entry(spark).count() > 0
+
+
+def test_graph_queries_over_every_edge(spark):
+    import duckdb
+
+    import __spark_entry__ as e
+
+    folder, con = "/root/testdata/sf0.001", duckdb.connect()
+    for t in e.core._TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    run = lambda name: e.queries()[name](spark, folder).collect()
+    edges = con.execute("SELECT DISTINCT c_nationkey, s_nationkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey").fetchall()
+    assert max(Counter(s for s, _ in edges).values()) > 3
+    want, front = {}, Counter(edges)
+    for depth in range(1, 11):
+        want[depth], step = front, Counter()
+        for (s, d), n in front.items():
+            for a, b in edges:
+                if a == d:
+                    step[s, b] += n
+        front = step
+    assert {(r.start, r.end, r.depth): r.n for r in run("gql_quantified_bag_all")} == {(*k, depth): n for depth in (1, 2, 3) for k, n in want[depth].items()}
+    assert sorted((r.start, r.end) for r in run("gql_quantified_distinct_all")) == sorted({k for depth in range(1, 6) for k in want[depth]})
+    closed = {}
+    for depth in range(2, 11):
+        for s, d in want[depth]:
+            if s == d:
+                closed.setdefault(s, depth)
+    assert {r.node: r.length for r in run("gql_cycle_all")} == closed
+    names = {k: n.lower() for k, n in con.execute("SELECT n_nationkey, n_name FROM nation").fetchall()}
+    for name, i in (("qa_callees_all", 0), ("qa_callers_all", 1)):
+        got = {r.subject: r.answers for r in run(name)}
+        assert got == {names[k]: ",".join(sorted({names[x[1 - i]] for x in edges if x[i] == k})) for k in {x[i] for x in edges}}
+    out, first = {k: {names[d] for s, d in edges if s == k} for k in names}, min(names.values())
+    modes = {"contains_all": lambda g: first in g, "exact_set": lambda g: g == {first}, "count_at_least": lambda g: len(g) >= 3}
+    assert {(r.question_id, r.mode): r.passed for r in run("qa_match_modes_all")} == {(k, m): f(out[k]) for k in names for m, f in modes.items()}
+    tree = [("r%d" % r, "n%d" % n) for r, n in con.execute("SELECT n_regionkey, n_nationkey FROM nation").fetchall()] + [("n%d" % n, "c%d" % c) for n, c in con.execute("SELECT c_nationkey, c_custkey FROM customer").fetchall()]
+    assert {tuple(r) for r in run("hier_closure_all")} == {(*x, 1) for x in tree} | {(a, d, 2) for a, b in tree for c, d in tree if b == c}
+    brands = {}
+    for name, brand in con.execute("SELECT p_name, p_brand FROM part").fetchall():
+        brands.setdefault(name, set()).add(brand)
+    assert {(r.p_name, r.p_brand) for r in run("unique_forward_all")} == {(n, min(b)) for n, b in brands.items() if len(b) == 1}
