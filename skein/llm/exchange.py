@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,11 +31,6 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int = 4 <<
     return docs.select(chunk.alias("chunk"), doc.alias("id"), text.alias("text"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]).alias("row")), n
 
 
-def texts_of(table: pa.Table) -> tuple[list[int | None], list[bytes]]:
-    """Ids and UTF-8 texts of a chunk; a null text is empty."""
-    return table.column("id").to_pylist(), [x or b"" for x in table.column("text").cast(pa.binary()).to_pylist()]
-
-
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of equal values."""
     if not len(values):
@@ -43,6 +39,46 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.append(start[1:], len(values))
 
 
+def spans(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions first, first+1, ... of every range, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(first - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of a mixed 64-bit key, rising with the key, so sorted keys are grouped by bucket."""
     return ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def planes(x: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second bytes and so on: high bytes are alike, and compress away."""
+    x = np.ascontiguousarray(x)
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def values(raw: bytes, kind: str) -> np.ndarray:
+    """The values of planes."""
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def squeeze(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def expand(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw) if raw else b""
+
+
+def pack(x: np.ndarray) -> bytes:
+    return squeeze(planes(x))
+
+
+def unpack(x: bytes, kind: str) -> np.ndarray:
+    return values(expand(x), kind)
+
+
+def table(rows: list[tuple], fields: list) -> pa.Table:
+    """An Arrow table from tuples."""
+    cols = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
+    return pa.table([pa.array(c, t) for c, (_, t) in zip(cols, fields, strict=True)], [n for n, _ in fields])

@@ -19,9 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.exchange import bucket_of, runs
-from skein.llm.repeats import _table
-from skein.llm.suffix_tree import _open, _pack
+from skein.llm.exchange import bucket_of, pack, runs, table, unpack
 from skein.llm.text import mix, utf8, word_hashes
 from skein.session import materialize
 
@@ -83,10 +81,10 @@ def _ask(group: pa.Table, buckets: int, words: bool) -> pa.Table:
         lead[c.first] = True
         count = np.bincount(c.token[lead[c.line]], minlength=len(c.names))
         for a, b in zip(*runs(bucket_of(c.names, buckets)), strict=True):
-            rows.append((int(bucket_of(c.names[a : a + 1], buckets)[0]), chunk, 0, c.names[a:b].astype("<u8").tobytes(), _pack(count[a:b].astype("<u4"))))
+            rows.append((int(bucket_of(c.names[a : a + 1], buckets)[0]), chunk, 0, c.names[a:b].astype("<u8").tobytes(), pack(count[a:b].astype("<u4"))))
     for a, b in zip(*runs(bucket_of(c.names_of_sets, buckets)), strict=True):
         rows.append((int(bucket_of(c.names_of_sets[a : a + 1], buckets)[0]), chunk, 1, c.names_of_sets[a:b].astype("<u8").tobytes(), b""))
-    return _table(rows, [("bucket", pa.int32()), ("chunk", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+    return table(rows, [("bucket", pa.int32()), ("chunk", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
 def _answer(group: pa.Table) -> pa.Table:
@@ -99,27 +97,27 @@ def _answer(group: pa.Table) -> pa.Table:
         value, inverse = np.unique(np.concatenate([k for _, k, _ in mine]), return_inverse=True)
         if kind == 0:
             told = np.zeros(len(value), np.int64)
-            np.add.at(told, inverse, np.concatenate([_open(n, "<u4") for _, _, n in mine]).astype(np.int64))
+            np.add.at(told, inverse, np.concatenate([unpack(n, "<u4") for _, _, n in mine]).astype(np.int64))
         else:
             told = np.full(len(value), np.iinfo(np.int64).max)
             np.minimum.at(told, inverse, np.repeat([c for c, _, _ in mine], [len(k) for _, k, _ in mine]))
         at = 0
         for chunk, k, _ in mine:
             x = told[inverse[at : at + len(k)]]
-            out.append((chunk, kind, bucket, _pack(x.astype("<i8") if kind == 0 else (x == chunk).astype("u1"))))
+            out.append((chunk, kind, bucket, pack(x.astype("<i8") if kind == 0 else (x == chunk).astype("u1"))))
             at += len(k)
-    return _table(out, _REPLY)
+    return table(out, _REPLY)
 
 
 def _told(replies: pa.Table, kind: int, dtype: str) -> np.ndarray:
     found = sorted((b, p) for k, b, p in zip(*(replies.column(c).to_pylist() for c in ("kind", "bucket", "payload")), strict=True) if k == kind)
-    return np.concatenate([_open(p, dtype) for _, p in found]) if found else np.zeros(0, dtype)
+    return np.concatenate([unpack(p, dtype) for _, p in found]) if found else np.zeros(0, dtype)
 
 
 def _entries(group: pa.Table, replies: pa.Table, buckets: int, percent: int, again: bool) -> pa.Table:
     fields = [("bucket", pa.int32()), ("chunk", pa.int32())] + [(x, pa.binary()) for x in ("words", "lines", "sizes", "places", "maps", "probes")]
     if not group.num_rows:
-        return _table([], fields)
+        return table([], fields)
     c = Lines(group)
     c.sets()
     df = _told(replies, 0, "<i8")
@@ -150,13 +148,13 @@ def _entries(group: pa.Table, replies: pa.Table, buckets: int, percent: int, aga
     chunk, rows = group.column("chunk")[0].as_py(), []
     for a, b in zip(*runs(bucket_of(name, buckets)), strict=True):
         s = slice(a, b)
-        rows.append((int(bucket_of(name[a : a + 1], buckets)[0]), chunk, name[s].astype("<u4").tobytes(), _pack(line[s].astype("<u4")), _pack(size[s].astype("<u4")), _pack(place[s].astype("<u4")), maps[line[s]].astype("<u8").tobytes(), _pack(probe[line[s]].astype("u1"))))
-    return _table(rows, fields)
+        rows.append((int(bucket_of(name[a : a + 1], buckets)[0]), chunk, name[s].astype("<u4").tobytes(), pack(line[s].astype("<u4")), pack(size[s].astype("<u4")), pack(place[s].astype("<u4")), maps[line[s]].astype("<u8").tobytes(), pack(probe[line[s]].astype("u1"))))
+    return table(rows, fields)
 
 
 def _candidates(group: pa.Table, percent: int, first: int | None) -> pa.Table:
     """Per entry, the earlier entries of the same word that no filter rules out (the first few, and whether there are more)."""
-    get = lambda name, kind: np.concatenate([_open(x, kind) for x in group.column(name).to_pylist()]).astype(np.int64)
+    get = lambda name, kind: np.concatenate([unpack(x, kind) for x in group.column(name).to_pylist()]).astype(np.int64)
     sizes, places, probe = get("sizes", "<u4"), get("places", "<u4"), get("probes", "u1").astype(bool)
     lines = get("lines", "<u4")
     counts = [len(x) // 4 for x in group.column("words").to_pylist()]
@@ -231,7 +229,7 @@ def _candidates(group: pa.Table, percent: int, first: int | None) -> pa.Table:
         rows.append((int(i[s] >> 32), np.stack([i[s:e], j[s:e]]).astype("<i8").tobytes(), False))
     for s, e in zip(*runs(wanting >> 32), strict=True):
         rows.append((int(wanting[s] >> 32), wanting[s:e].astype("<i8").tobytes(), True))
-    return _table(rows, fields)
+    return table(rows, fields)
 
 
 def _attach(group: pa.Table, asked: pa.Table) -> pa.Table:
@@ -248,14 +246,14 @@ def _attach(group: pa.Table, asked: pa.Table) -> pa.Table:
             lines, which = np.unique(pair[0, s:e] & 0xFFFFFFFF, return_inverse=True)
             words = c.words(lines)
             rows.append((int(pair[1, s] >> 32), (pair[1, s:e] & 0xFFFFFFFF).astype("<i8").tobytes(), which.astype("<i8").tobytes(), np.array([len(w) for w in words], "<i8").tobytes(), np.concatenate(words).astype("<u8").tobytes(), False))
-    return _table(rows, fields)
+    return table(rows, fields)
 
 
 def _verify(group: pa.Table, sent: pa.Table, percent: int) -> pa.Table:
     """Lines of this chunk that an earlier line matches, and those whose listed candidates all failed while others exist."""
     fields = [("chunk", pa.int32()), ("removed", pa.binary()), ("unsettled", pa.binary())]
     if not group.num_rows or not sent.num_rows:
-        return _table([], fields)
+        return table([], fields)
     c, gone, wanting = Lines(group), set(), set()
     own: dict[int, np.ndarray] = {}
     for late, which, sizes, words, more in zip(*(sent.column(x).to_pylist() for x in ("late", "which", "sizes", "words", "more")), strict=True):
@@ -276,7 +274,7 @@ def _verify(group: pa.Table, sent: pa.Table, percent: int) -> pa.Table:
             if 100 * common >= percent * (len(both) - common):
                 gone.add(j)
     chunk = group.column("chunk")[0].as_py()
-    return _table([(chunk, np.array(sorted(gone), "<i8").tobytes(), np.array(sorted(wanting - gone), "<i8").tobytes())], fields)
+    return table([(chunk, np.array(sorted(gone), "<i8").tobytes(), np.array(sorted(wanting - gone), "<i8").tobytes())], fields)
 
 
 def drop_near_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20) -> DataFrame:
@@ -334,7 +332,7 @@ def drop_near_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     def finish(group: pa.Table, told: pa.Table) -> pa.Table:
         fields = [("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_removed", pa.int64()), ("removed", pa.list_(pa.int32())), ("kept", pa.string())]
         if not group.num_rows:
-            return _table([], fields).append_column("row", group.column("row"))
+            return table([], fields).append_column("row", group.column("row"))
         c = Lines(group)
         c.sets()
         gone = np.zeros(len(c.size), bool)
@@ -353,7 +351,7 @@ def drop_near_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
             lost = np.flatnonzero(drop).tolist()
             kept = text if not lost else b"\n".join(x for x, d in zip(text.split(b"\n"), drop, strict=True) if not d)
             out.append((doc, int(b - a), len(lost), lost, kept.decode()))
-        return _table(out, fields).append_column("row", group.column("row").take(pa.array(c.rows)))
+        return table(out, fields).append_column("row", group.column("row").take(pa.array(c.rows)))
 
     schema = T.StructType.fromDDL("doc_id long, n_lines long, n_removed long, removed array<int>, kept string").add("row", kind)
     replies = asked(False).unionByName(decided)
@@ -362,5 +360,5 @@ def drop_near_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
 
 def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        packed = [_pack(np.frombuffer(x, "<i8")) for x in batch.column(3).to_pylist()]
+        packed = [pack(np.frombuffer(x, "<i8")) for x in batch.column(3).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(packed, pa.binary())], [n for n, _ in _REPLY])

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.exchange import bucket_of, chunked, runs
-from skein.llm.repeats import _table
+from skein.llm.exchange import bucket_of, chunked, expand, pack, planes, runs, squeeze, table, unpack, values
 from skein.llm.text import mix, utf8, word_hashes
 from skein.session import materialize
 
@@ -28,25 +25,6 @@ _REPLY_FIELDS = [("chunk", pa.int32()), ("level", pa.int32()), ("bucket", pa.int
 _WIDTH = 5
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """The first bytes of all values, then the second bytes and so on: high bytes are alike, and compress away."""
-    x = np.ascontiguousarray(x)
-    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
-
-
-def _values(raw: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
-def _pack(x: np.ndarray) -> bytes:
-    return zlib.compress(_planes(x), 1)
-
-
-def _open(x: bytes, kind: str) -> np.ndarray:
-    return _values(zlib.decompress(x), kind)
-
-
 def _narrow(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :_WIDTH].tobytes()
 
@@ -114,8 +92,8 @@ class Chunk:
             a, b = np.searchsorted(head, [s, e])
             entry = mix(name[head[a:b]] * _STEP + self.names[token[a:b]])
             sizes = np.bincount(head[a:b] - s, minlength=e - s)
-            rows.append((int(bucket_of(name[s : s + 1], buckets)[0]), chunk, name[s:e].astype("<u8").tobytes(), _pack(self.count[named[s:e]].astype("<i8")), _pack(sizes.astype("<u4")), _narrow(entry), _pack(own[a:b].astype("<u4")), _pack(np.log2(parent[a:b]).astype("<f4"))))
-        return _table(rows, _ASK_FIELDS)
+            rows.append((int(bucket_of(name[s : s + 1], buckets)[0]), chunk, name[s:e].astype("<u8").tobytes(), pack(self.count[named[s:e]].astype("<i8")), pack(sizes.astype("<u4")), _narrow(entry), pack(own[a:b].astype("<u4")), pack(np.log2(parent[a:b]).astype("<f4"))))
+        return table(rows, _ASK_FIELDS)
 
     def learn_level(self, level: int, payloads: list[bytes]) -> None:
         """Take the answers of one level, in bucket order."""
@@ -138,13 +116,13 @@ class Chunk:
 
 
 def _pack_level(flags: np.ndarray, weights: np.ndarray, counts: np.ndarray) -> bytes:
-    return zlib.compress(np.array([len(flags), len(counts)], "<i8").tobytes() + flags.astype("u1").tobytes() + _planes(weights.astype("<f4")) + _planes(counts.astype("<i8")), 1)
+    return squeeze(np.array([len(flags), len(counts)], "<i8").tobytes() + flags.astype("u1").tobytes() + planes(weights.astype("<f4")) + planes(counts.astype("<i8")))
 
 
 def _unpack_level(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = zlib.decompress(payload)
+    raw = expand(payload)
     n, m = np.frombuffer(raw, "<i8", 2)
-    return np.frombuffer(raw, "u1", n, 16), _values(raw[16 + n : 16 + 5 * n], "<f4").astype(float), _values(raw[16 + 5 * n :], "<i8")
+    return np.frombuffer(raw, "u1", n, 16), values(raw[16 + n : 16 + 5 * n], "<f4").astype(float), values(raw[16 + 5 * n :], "<i8")
 
 
 def _ordered(replies: pa.Table, level: int) -> list[bytes]:
@@ -179,18 +157,18 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 0.0, penalty: fl
     def ask_words(group: pa.Table) -> pa.Table:
         c, chunk = Chunk(group), group.column("chunk")[0].as_py()
         where = bucket_of(c.names, buckets)
-        return _table([(int(where[a]), chunk, c.names[a:b].astype("<u8").tobytes(), _pack(c.own[a:b].astype("<u4"))) for a, b in zip(*runs(where), strict=True)], [("bucket", pa.int32()), ("chunk", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+        return table([(int(where[a]), chunk, c.names[a:b].astype("<u8").tobytes(), pack(c.own[a:b].astype("<u4"))) for a, b in zip(*runs(where), strict=True)], [("bucket", pa.int32()), ("chunk", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def count_words(group: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, "<u8") for x in group.column("keys").to_pylist()]
         value, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.zeros(len(value), np.int64)
-        np.add.at(total, inverse, np.concatenate([_open(x, "<u4") for x in group.column("counts").to_pylist()]).astype(np.int64))
+        np.add.at(total, inverse, np.concatenate([unpack(x, "<u4") for x in group.column("counts").to_pylist()]).astype(np.int64))
         bucket, at, out = group.column("bucket")[0].as_py(), 0, []
         for chunk, x in zip(group.column("chunk").to_pylist(), keys, strict=True):
-            out.append((chunk, 0, bucket, _pack(total[inverse[at : at + len(x)]].astype("<i8")), int(total.sum()) if not out else 0, int(np.count_nonzero(total)) if not out else 0))
+            out.append((chunk, 0, bucket, pack(total[inverse[at : at + len(x)]].astype("<i8")), int(total.sum()) if not out else 0, int(np.count_nonzero(total)) if not out else 0))
             at += len(x)
-        return _table(out, [*_REPLY_FIELDS, ("n", pa.int64()), ("v", pa.int64())])
+        return table(out, [*_REPLY_FIELDS, ("n", pa.int64()), ("v", pa.int64())])
 
     words = left.applyInArrow(ask_words, "bucket int, chunk int, keys binary, counts binary").groupBy("bucket").applyInArrow(count_words, _REPLY + ", n long, v long")
     words = materialize(words, "words")
@@ -200,7 +178,7 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 0.0, penalty: fl
 
     def known(group: pa.Table, told: pa.Table, levels: int) -> Chunk:
         c = Chunk(group)
-        c.learn_words(np.concatenate([_open(x, "<i8") for x in _ordered(told, 0)]), n, v, least)
+        c.learn_words(np.concatenate([unpack(x, "<i8") for x in _ordered(told, 0)]), n, v, least)
         for level in range(1, levels + 1):
             c.learn_level(level, _ordered(told, level))
         return c
@@ -208,7 +186,7 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 0.0, penalty: fl
     def asker(level: int):
         def ask(group: pa.Table, told: pa.Table) -> pa.Table:
             if not group.num_rows:
-                return _table([], _ASK_FIELDS)
+                return table([], _ASK_FIELDS)
             return known(group, told, level - 1).ask(level, group.column("chunk")[0].as_py(), buckets)
 
         return ask
@@ -216,14 +194,14 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 0.0, penalty: fl
     def counter(level: int):
         def count(group: pa.Table) -> pa.Table:
             heads = [np.frombuffer(x, "<u8") for x in group.column("contexts").to_pylist()]
-            sizes = [_open(x, "<u4").astype(np.int64) for x in group.column("sizes").to_pylist()]
+            sizes = [unpack(x, "<u4").astype(np.int64) for x in group.column("sizes").to_pylist()]
             context, owner = np.unique(np.concatenate(heads), return_inverse=True)
             times = np.zeros(len(context))
-            times[owner] = np.concatenate([_open(x, "<i8") for x in group.column("times").to_pylist()])
+            times[owner] = np.concatenate([unpack(x, "<i8") for x in group.column("times").to_pylist()])
             key = (np.repeat(owner, np.concatenate(sizes)).astype(np.uint64) << np.uint64(8 * _WIDTH)) | np.concatenate([_wide(x) for x in group.column("entries").to_pylist()])
             value, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-            total = np.bincount(inverse, weights=np.concatenate([_open(x, "<u4") for x in group.column("counts").to_pylist()]), minlength=len(value))
-            parent = np.exp2(np.concatenate([_open(x, "<f4") for x in group.column("parents").to_pylist()]).astype(float)[first])
+            total = np.bincount(inverse, weights=np.concatenate([unpack(x, "<u4") for x in group.column("counts").to_pylist()]), minlength=len(value))
+            parent = np.exp2(np.concatenate([unpack(x, "<f4") for x in group.column("parents").to_pylist()]).astype(float)[first])
             state = (value >> np.uint64(8 * _WIDTH)).astype(np.int64)
             enough = total >= least
             share = np.where(enough, total - DISCOUNT, 0) / times[state]
@@ -237,7 +215,7 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 0.0, penalty: fl
                 mine = owner[head : head + len(h)]
                 out.append((chunk, level, bucket, _pack_level(retain[mine], back[mine], total[inverse[at : at + int(s.sum())]])))
                 at, head = at + int(s.sum()), head + len(h)
-            return _table(out, _REPLY_FIELDS)
+            return table(out, _REPLY_FIELDS)
 
         return count
 
@@ -249,7 +227,7 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 0.0, penalty: fl
 
     def finish(group: pa.Table, told: pa.Table) -> pa.Table:
         if not group.num_rows:
-            return _table([], out_fields)
+            return table([], out_fields)
         c = known(group, told, depth)
         at = c.begin[:-1]
         sums = [np.add.reduceat(x, at) for x in ((c.total[c.token] > 0).astype(np.int64), np.log10(c.base), np.log10(c.p))]

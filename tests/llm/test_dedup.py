@@ -115,9 +115,11 @@ def brute_repeats(rows, length):
     return out
 
 
-@pytest.mark.parametrize("slice_bytes", [1 << 19, 700])
-def test_repeats(docs, rows, slice_bytes, monkeypatch):
+@pytest.mark.parametrize(("slice_bytes", "collection", "heavy"), [(1 << 19, 1 << 20, 2000), (700, 300, 2000), (1 << 19, 2000, 2), (900, 1 << 20, 0)])
+def test_repeats(docs, rows, slice_bytes, collection, heavy, monkeypatch):
     monkeypatch.setattr(repeats, "SLICE", slice_bytes)
+    monkeypatch.setattr(repeats, "COLLECTION", collection)
+    monkeypatch.setattr(repeats, "HEAVY", heavy)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(docs).collect()}
     assert got == brute_repeats(rows, 50)
 
