@@ -10,6 +10,8 @@ the number of chunks, however many documents hold it.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -62,12 +64,18 @@ def values(raw: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+@cache
+def _codec() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """One of each per worker: making them costs more than a small message."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def squeeze(raw: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    return _codec()[0].compress(raw)
 
 
 def expand(raw: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(raw) if raw else b""
+    return _codec()[1].decompress(raw) if raw else b""
 
 
 def pack(x: np.ndarray) -> bytes:

@@ -159,11 +159,11 @@ def least_documents(text: np.ndarray, size: np.ndarray, docs: np.ndarray, length
 
 
 def _windows(data: np.ndarray, first: np.ndarray, size: np.ndarray, mark: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
-    """The least other document per window of some pieces, where the window recurs; else NOWHERE.
+    """The least document of every window of some pieces, as far as the pieces tell.
 
     Pieces are data[first : first + size], those of a mark next to one another,
-    and equal windows have equal marks. Windows whose hash occurs once recur
-    nowhere. The strings left around recurring windows are collapsed; a mark
+    and equal windows have equal marks. A piece comes with the least document
+    of its chunk; windows whose hash occurs once stand in no other piece. The strings left around recurring windows are collapsed; a mark
     with a single one is settled by it, all others form the collection.
     """
     b = data[spans(first, size)]
@@ -180,7 +180,7 @@ def _windows(data: np.ndarray, first: np.ndarray, size: np.ndarray, mark: np.nda
     again = np.zeros(len(h), bool)
     again[order] = np.repeat(e - s > 1, e - s)
     del h, order
-    out = np.full(len(at), NOWHERE, np.int64)
+    out = docs[owner]
     joint = np.zeros(len(at), bool)
     joint[1:] = again[1:] & again[:-1] & (owner[1:] == owner[:-1])
     begin = np.flatnonzero(again & ~joint)
@@ -218,8 +218,10 @@ class Pieces:
     """
 
     def __init__(self, group: pa.Table, length: int, k: int):
-        self.ids = group.column("id").to_pylist()
-        self.data, self.offsets = utf8(group.column("text"))
+        ids, texts = group.column("id").to_pylist(), group.column("text").to_pylist()
+        self.rows = pa.array(sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i] or "")), pa.int64())
+        self.ids = [ids[i] for i in self.rows.to_pylist()]
+        self.data, self.offsets = utf8(group.column("text").take(self.rows))
         self.least = np.array([NOWHERE if i is None else i for i in self.ids], np.int64)
         self.length, self.k = length, k
 
@@ -378,7 +380,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, k: int = 20, id_col: str =
         kept, off = c.data[~gone].tobytes(), c.offsets - lost[c.offsets]
         texts = [kept[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
         cols = [c.ids, np.diff(c.offsets), np.diff(lost[c.offsets]), np.diff(starts[c.offsets]), [x.decode(errors="ignore") for x in texts] if as_text else texts]
-        return pa.table([pa.array(x, t) for x, (_, t) in zip(cols, fields, strict=True)], [f for f, _ in fields]).append_column("row", group.column("row"))
+        return pa.table([pa.array(x, t) for x, (_, t) in zip(cols, fields, strict=True)], [f for f, _ in fields]).append_column("row", group.column("row").take(c.rows))
 
     replies = known.unionByName(built).groupBy("chunk")
     schema = T.StructType.fromDDL(f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}").add("row", kind)
