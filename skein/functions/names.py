@@ -26,9 +26,12 @@ def simple_name(name: Column) -> Column:
     return F.substring_index(name, "\\", -1)
 
 
-def member_name(fqcn: Column, member: Column) -> Column:
-    """class::member, or the member alone for functions outside classes."""
-    return F.when(F.coalesce(fqcn, F.lit("")) == "", member).otherwise(F.concat(fqcn, F.lit("::"), member))
+def member_name(fqcn: Column, member: Column, owner: Column | None = None, namespace: Column | None = None) -> Column:
+    """class::member; for functions outside classes (owner '(global)') namespace\\member, or the member alone."""
+    blank = lambda c: F.lit("") if c is None else F.coalesce(c, F.lit(""))
+    inside = F.when(blank(fqcn) != "", F.concat(fqcn, F.lit("::"), member)).when(blank(owner) != "", F.concat(blank(owner), F.lit("::"), member)).otherwise(member)
+    outside = F.when(blank(namespace) != "", F.concat(blank(namespace), F.lit("\\"), member)).otherwise(member)
+    return F.when(blank(owner) == "(global)", outside).otherwise(inside)
 
 
 def signature(returns: Column, owner: Column, member: Column, parameters: Column) -> Column:
@@ -54,7 +57,7 @@ def singularize(word: Column) -> Column:
     low, n = F.lower(word), F.length(word)
     cut = lambda k: F.substring(word, F.lit(1), n - k)
     return (
-        F.when(low.endswith("ies") & (n > 3), F.concat(cut(3), F.lit("y")))
+        F.when(low.endswith("ies") & (n > 3), F.concat(cut(3), F.when(word.rlike("I[Ee][Ss]$"), "Y").otherwise("y")))
         .when(low.rlike("(sses|xes|ches|shes)$"), cut(2))
         .when(low.endswith("s") & ~low.endswith("ss"), cut(1))
         .otherwise(word)
@@ -83,7 +86,7 @@ def is_magic_finder(name: Column) -> Column:
 
 def class_types(declared: Column) -> Column:
     """Class names in a declared type: unions and intersections split, '?' and built-in types dropped."""
-    parts = F.transform(F.split(F.translate(declared, "&", "|"), r"\|"), lambda p: F.trim(F.regexp_replace(F.trim(p), r"^\?+", "")))
+    parts = F.transform(F.split(F.translate(declared, "&", "|"), r"\|"), lambda p: F.regexp_replace(p, r"^[\s?]+|\s+$", ""))
     return F.filter(parts, lambda p: p.rlike(r"^\\|^\p{L}") & ~F.lower(F.substring_index(p, "\\", -1)).isin(BUILTIN_TYPES))
 
 

@@ -23,9 +23,9 @@ def repo_files(spark: SparkSession, root: str, repo: str, include_vendor: bool =
     return kept.withColumn("origin", origin(F.col("path")))
 
 
-def directories(files: DataFrame, path: str = "path") -> DataFrame:
-    """Every ancestor of every path up to the root '.': rows (dir, parent, depth)."""
-    parts = F.split(path, "/")
-    dirs = files.select(F.explode(F.sequence(F.lit(0), F.size(parts) - 1)).alias("depth"), parts.alias("p")).select(F.when(F.col("depth") == 0, ".").otherwise(F.array_join(F.slice("p", F.lit(1), F.col("depth")), "/")).alias("dir"), "depth").distinct()
+def directories(files: DataFrame, path: str = "path", extra: list[str] | None = None) -> DataFrame:
+    """Every ancestor of every path up to the root '.': rows (dir, parent, depth), for each value of the extra columns."""
+    parts, extra = F.split(path, "/"), extra or []
+    dirs = files.select(*extra, F.explode(F.sequence(F.lit(0), F.size(parts) - 1)).alias("depth"), parts.alias("p")).select(*extra, F.when(F.col("depth") == 0, ".").otherwise(F.array_join(F.slice("p", F.lit(1), F.col("depth")), "/")).alias("dir"), "depth").distinct()
     parent = F.when(F.col("depth") == 0, F.lit(None)).when(F.col("depth") == 1, ".").otherwise(F.regexp_replace("dir", "/[^/]*$", ""))
-    return dirs.select("dir", parent.alias("parent"), "depth")
+    return dirs.select(*extra, "dir", parent.alias("parent"), "depth")
