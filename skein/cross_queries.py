@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import names as N
-from skein.graph_queries import BIND, ORACLE, _id, _sql, frame
+from skein.graph_queries import BIND, ORACLE, _id, _name, _sql, frame
 from skein.plans import crossref as X
 from skein.plans import migrations
 from skein.queries import query
 
 BIND |= {
     "defined": """SELECT repo, path, ord, name, namespace, fqcn FROM classes WHERE fqcn <> '' UNION ALL SELECT 'repo' || CAST(ord % 5 AS STRING), 'src/copy' || CAST(ord % 3 AS STRING) || '.php', ord, name, namespace, LOWER(fqcn) FROM classes WHERE fqcn <> '' AND ord % 10 = 3""",
-    "aimed": "SELECT s.*, k.namespace, p.fqcn AS pf FROM sites s JOIN classes k ON k.ord = s.pk JOIN classes p ON p.ord = s.ok % (SELECT COUNT(*) FROM {part}) WHERE p.fqcn <> ''",
+    "aimed": f"SELECT a.ok, a.pk, a.ln, k.repo, k.path, k.name AS class_name, k.fqcn, k.namespace, {_name('a.pk', 'a.ln')} AS member, CASE WHEN p.fqcn = '' THEN p.namespace || chr(92) || 'None' ELSE p.fqcn END AS pf FROM lines a JOIN classes k ON k.ord = a.pk JOIN classes p ON p.ord = a.ok % (SELECT COUNT(*) FROM {{part}})",
     "uses": "SELECT DISTINCT repo, path, 'A' || CAST(ok % 50 AS STRING) AS alias, pf AS fqcn, ok AS ord FROM aimed WHERE ok % 4 < 3",
     "refs": """SELECT repo, path, namespace, fqcn AS own, CASE ok % 9 WHEN 0 THEN 'extends' WHEN 1 THEN 'implements' WHEN 2 THEN 'uses' WHEN 3 THEN 'new' WHEN 4 THEN 'instanceof' WHEN 5 THEN 'class_literal' WHEN 6 THEN 'callable_string' WHEN 7 THEN 'type' ELSE 'array_callable' END AS kind,
       CASE WHEN ok % 9 = 7 THEN '?int|' || chr(92) || pf || '|string' WHEN ok % 9 = 6 THEN chr(92) || pf WHEN pk % 4 = 0 THEN chr(92) || pf WHEN pk % 4 = 1 THEN 'a' || CAST(ok % 50 AS STRING) WHEN pk % 4 = 2 THEN 'A' || CAST(ok % 50 AS STRING) || chr(92) || 'Sub' WHEN ok % 2 = 0 THEN 'namespace' || chr(92) || 'X' || CAST(pk AS STRING) ELSE 'C' || CAST(pk AS STRING) END AS text FROM aimed""",
@@ -28,7 +28,7 @@ ORACLE |= {
     "reg": f"SELECT DISTINCT lower(fqcn) AS norm_fqcn, repo, fqcn, {_id('class', 'repo', 'path', 'fqcn')} AS class_id FROM defined WHERE NOT list_contains(string_split(path, '/'), 'vendor')",
     "alias_ix": "SELECT repo, path, lower(alias) AS alias, max_by(fqcn, (ord, fqcn)) AS fqcn FROM uses GROUP BY 1, 2, 3",
     "hinted": f"""SELECT repo, path, namespace, own, CASE WHEN kind = 'class_literal' THEN 'class_ref' ELSE kind END AS kind, text FROM refs WHERE kind NOT IN ('type', 'array_callable', 'callable_string')
-      UNION ALL SELECT repo, path, namespace, own, 'type_hint', x FROM (SELECT *, unnest(string_split(ltrim(text, '?'), '|')) AS x FROM refs WHERE kind = 'type') WHERE x NOT IN ('int', 'string')""",
+      UNION ALL SELECT repo, path, namespace, own, 'type_hint', split_part(text, '|', 2) FROM refs WHERE kind = 'type'""",
     "strict_refs": f"""SELECT r.repo, r.path, r.own, r.kind, CASE WHEN starts_with(text, {_B}) THEN ltrim(text, {_B}) WHEN starts_with(text, 'namespace' || {_B}) THEN namespace || substring(text, 10) WHEN a.fqcn IS NOT NULL THEN a.fqcn || CASE WHEN contains(text, {_B}) THEN substring(text, strpos(text, {_B})) ELSE '' END ELSE namespace || {_B} || text END AS strict
       FROM hinted r LEFT JOIN alias_ix a ON a.repo = r.repo AND a.path = r.path AND a.alias = lower(split_part(r.text, {_B}, 1)) UNION ALL SELECT repo, path, own, 'class_ref', ltrim(text, {_B}) FROM refs WHERE kind = 'callable_string'""",
     "owners": "SELECT norm_fqcn, list(DISTINCT repo) AS repos, min(repo) AS owner FROM reg GROUP BY 1",
@@ -84,9 +84,9 @@ def xr_import_refs(t):
 
 
 @query(_sql(f"""SELECT {_id('xfref', 'source_file', 'target_class', 'kind')} AS edge_id, * FROM (SELECT DISTINCT {_id('file', 'repo', 'path')} AS source_file, class_id AS target_class, repo AS source_repo, owner AS target_repo, symbol, kind FROM (
-  SELECT repo, path, owner, symbol, class_id, 'import' AS kind FROM owned_uses UNION ALL SELECT repo, path, owner, symbol, class_id, kind FROM owned_refs) x WHERE NOT EXISTS (SELECT 1 FROM holders h WHERE h.repo = x.repo AND h.path = x.path AND h.own LIKE '%Table%' AND length(h.own) % 2 = 0))"""))
+  SELECT repo, path, owner, symbol, class_id, 'import' AS kind FROM owned_uses UNION ALL SELECT repo, path, owner, symbol, class_id, kind FROM owned_refs) x WHERE NOT EXISTS (SELECT 1 FROM holders h WHERE h.repo = x.repo AND h.path = x.path AND h.repo < 'repo2'))"""))
 def xr_file_refs(t):
-    holders = frame(t, "holders").where("own LIKE '%Table%' AND length(own) % 2 = 0").select("repo", "path", _class_id().alias("class_id"))
+    holders = frame(t, "holders").where("repo < 'repo2'").select("repo", "path", _class_id().alias("class_id"))
     return X.file_refs(frame(t, "uses"), _references(t), holders, _registry(t))
 
 

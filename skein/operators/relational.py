@@ -86,14 +86,16 @@ def innermost_span(points: DataFrame, spans: DataFrame, key: str, at: str, start
     """Each point with the innermost span (latest start) of its key that contains it; points in no span are left out.
 
     Spans are cut into buckets of width, so the join is an equi-join on (key,
-    bucket) and one long key does not meet all of its spans.
+    bucket) and one long key does not meet all of its spans. Equal points are
+    found once and each gets its row.
     """
+    keys = points.columns
+    counted = points.groupBy(*keys).agg(F.count("*").alias("_times"))
     cells = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
-    met = points.withColumn("cell", F.floor(F.col(at) / width)).join(cells, [key, "cell"]).where((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end))).drop("cell")
-    keys = [c for c in points.columns]
-    rest = [c for c in met.columns if c not in keys]
-    best = met.groupBy(*keys).agg(F.max(F.struct(start, *[c for c in order], *[c for c in rest if c != start and c not in order])).alias("b"))
-    return best.select(*keys, *[F.col(f"b.{c}").alias(c) for c in rest])
+    met = counted.withColumn("cell", F.floor(F.col(at) / width)).join(cells, [key, "cell"]).where((F.col(start) <= F.col(at)) & (F.col(at) <= F.col(end))).drop("cell")
+    rest = [c for c in met.columns if c not in (*keys, "_times")]
+    best = met.groupBy(*keys, "_times").agg(F.max(F.struct(start, *[c for c in order], *[c for c in rest if c != start and c not in order])).alias("b"))
+    return best.select(*keys, *[F.col(f"b.{c}").alias(c) for c in rest], F.explode(F.sequence(F.lit(1), "_times")).alias("_nth")).drop("_nth")
 
 
 def as_of(left: DataFrame, right: DataFrame, key: str, at: str, value: str) -> DataFrame:

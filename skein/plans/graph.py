@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.session import materialize
@@ -79,8 +80,16 @@ def walks(edges: DataFrame, low: int, high: int, starts: DataFrame | None = None
 
 def cycles(edges: DataFrame, low: int, high: int) -> DataFrame:
     """Nodes on closed walks of low to high edges, and the least length: rows (node, length)."""
-    closed = walks(edges, low, high).where(F.col("start") == F.col("end"))
-    return closed.groupBy(F.col("start").alias("node")).agg(F.min("depth").alias("length"))
+    e = materialize(edges.select("src", "dst").distinct(), "cycles")
+    front = e.select(F.col("src").alias("start"), F.col("dst").alias("end"))
+    found = None
+    for depth in range(1, high + 1):
+        if depth > 1:  # pairs, not walks: how often a pair is reached does not matter
+            front = materialize(front.join(e, F.col("end") == F.col("src")).select("start", F.col("dst").alias("end")).distinct(), "cycles")
+        if depth >= low:
+            part = front.where("start = end").select(F.col("start").alias("node"), F.lit(depth).alias("length"))
+            found = part if found is None else found.unionByName(part)
+    return found.groupBy("node").agg(F.min("length").alias("length"))
 
 
 def closure(edges: DataFrame, most: int = 40) -> DataFrame:
@@ -95,3 +104,23 @@ def closure(edges: DataFrame, most: int = 40) -> DataFrame:
             break
         known = known.unionByName(front)
     return known
+
+
+def list_tables(spark: SparkSession) -> DataFrame:
+    """Tables and views of the current catalog: rows (table_name, kind)."""
+    return spark.createDataFrame([(t.name, t.tableType) for t in spark.catalog.listTables()], "table_name string, kind string")
+
+
+def list_columns(spark: SparkSession, table: str) -> DataFrame:
+    """Columns of a table in order: rows (column, type)."""
+    return spark.createDataFrame([(c.name, c.dataType) for c in spark.catalog.listColumns(table)], "`column` string, type string")
+
+
+def run_query(spark: SparkSession, query: str, most: int = 50, width: int = 500) -> dict:
+    """A query's answer or error as one dict: the first rows with cells cut to width, and the full number of rows."""
+    try:
+        df = spark.sql(query)
+        cells = [F.substring(F.col(f"`{c}`").cast("string"), 1, width).alias(c) for c in df.columns]
+        return {"status": "success", "query": query, "row_count": df.count(), "results": [r.asDict() for r in df.limit(most).select(*cells).collect()]}
+    except PySparkException as error:
+        return {"status": "error", "query": query, "error_message": str(error)}

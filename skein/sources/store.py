@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skein.operators.relational import last_wins
+from skein.session import materialize
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """new in place of old rows with the same key; columns that one side lacks become null. new must have one row per key."""
@@ -25,3 +34,55 @@ def pending(current: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
 def missing_columns(have: DataFrame, want: DataFrame) -> list[str]:
     """Columns an additive migration would add, in the order of want."""
     return [c for c in want.columns if c not in have.columns]
+
+
+def write_upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], partition: str, order: list[Column]) -> None:
+    """Merge new into the parquet table at path, key by key; of several new rows with one key the last by order wins.
+
+    Only the partitions that new touches are read and written again. They are
+    written beside the table first, so a lost job leaves the table as it was.
+    """
+    new = last_wins(new, keys, order).select(*new.columns)
+    try:
+        old = spark.read.parquet(path)
+    except AnalysisException:
+        new.write.partitionBy(partition).parquet(path)
+        return
+    touched = old.join(F.broadcast(new.select(partition).distinct()), partition, "left_semi")  # one row per partition folder
+    merged = materialize(upsert(touched, new, keys), "upsert")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
+def write_tables(tables: dict[str, DataFrame], folder: str, at_once: int = 4) -> None:
+    """Write every table below folder, several jobs at once."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(df.write.mode("overwrite").parquet, f"{folder.rstrip('/')}/{name}") for name, df in tables.items()]:
+            done.result()
+
+
+def write_documents(documents: DataFrame, folder: str) -> int:
+    """Write rows (path, content) as files below a folder that all executors share; paths that lead out of it are left out. Returns how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = os.path.join(folder, path)
+                os.makedirs(os.path.dirname(at), exist_ok=True)
+                with open(at, "w", encoding="utf-8") as f:
+                    f.write(content or "")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    inside = documents.where(~F.array_contains(F.split("path", "/"), "..") & ~F.col("path").startswith("/")).select("path", "content")
+    return inside.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def index_pages(files: DataFrame, most: int = 200) -> DataFrame:
+    """Per directory a page (path, content): one line per file with the first 80 characters of its summary's first line, at most `most` and how many more."""
+    directory = F.regexp_replace("path", "/?[^/]*$", "")
+    line = F.concat(F.lit("- "), F.element_at(F.split("path", "/"), -1), F.lit(": "), F.substring(F.substring_index(F.coalesce("summary", F.lit("")), "\n", 1), 1, 80))
+    ranked = files.select(directory.alias("dir"), "path", line.alias("line")).withColumn("nth", F.row_number().over(Window.partitionBy("dir").orderBy("path")))
+    total = files.groupBy(directory.alias("dir")).agg(F.count("*").alias("n"))
+    shown = ranked.where(F.col("nth") <= most).groupBy("dir").agg(F.array_sort(F.collect_list(F.struct("nth", "line"))).alias("lines"))
+    text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
+    page = F.concat(F.lit("# "), "dir", F.lit("\n"), text, F.when(F.col("n") > most, F.concat(F.lit("\n"), (F.col("n") - most).cast("string"), F.lit(" more"))).otherwise(""))
+    return shown.join(total, "dir").select(F.concat("dir", F.when(F.col("dir") == "", "").otherwise("/"), F.lit("index.md")).alias("path"), page.alias("content"))
