@@ -31,6 +31,8 @@ COUNTS, REPEATS, REMOVED, UNSETTLED = range(4)
 FIRST = 64
 #: Pairs of lines whose words one task compares at a time.
 PAIRS = 8192
+#: Bits of a word's hash in the sieve that the second round is held to; the sieve has 2**SIEVE places, whatever the corpus.
+SIEVE = 20
 
 
 class Lines:
@@ -128,8 +130,15 @@ def _told(replies: pa.Table, kind: int, dtype: str) -> np.ndarray:
     return np.concatenate([unpack(p, dtype) for _, p in found]).astype(np.int64) if found else np.zeros(0, np.int64)
 
 
-def _entries(group: pa.Table, replies: pa.Table, buckets: int, percent: int, again: bool) -> pa.Table:
-    """The prefix of every first line of a set: words in order of rarity that no similar line can lack, if another line has them."""
+def _sieve(names: np.ndarray) -> np.ndarray:
+    return (names >> np.uint64(64 - SIEVE)).astype(np.int64)
+
+
+def _entries(group: pa.Table, replies: pa.Table, buckets: int, percent: int, sieve: np.ndarray | None) -> pa.Table:
+    """The prefix of every first line of a set: words in order of rarity that no similar line can lack, if another line has them.
+
+    With a sieve, only lines told to be unsettled look for others, and only words that may stand in them are sent.
+    """
     fields = [("bucket", pa.int32()), ("chunk", pa.int32())] + [(x, pa.binary()) for x in ("words", "lines", "sizes", "places", "maps", "probes")]
     if not group.num_rows:
         return table([], fields)
@@ -137,6 +146,7 @@ def _entries(group: pa.Table, replies: pa.Table, buckets: int, percent: int, aga
     c.tokens()
     lead = c.usable.copy()
     lead[_told(replies, REPEATS, "<u4")] = False
+    again = sieve is not None
     probe = np.full(len(lead), not again)
     probe[_told(replies, UNSETTLED, "<i8")] = True
     keys = c.keys[lead[c.keys >> c.bits]]
@@ -154,6 +164,8 @@ def _entries(group: pa.Table, replies: pa.Table, buckets: int, percent: int, aga
     if len(start):
         maps[line[start]] = np.bitwise_xor.reduceat(np.uint64(1) << (c.names[token] >> np.uint64(58)), start)
     take = (place < size - -(-percent * size // 100) + 1) & (df[token] > 1)
+    if again:
+        take &= sieve[_sieve(c.names)][token]
     line, token, place, size = line[take], token[take], place[take], size[take]
     order = np.argsort(token, kind="stable")
     line, place, size, name = line[order], place[order], size[order], c.names[token[order]]
@@ -276,14 +288,15 @@ def _attach(group: pa.Table, asked: pa.Table) -> pa.Table:
 
 
 def _verify(group: pa.Table, sent: pa.Table, percent: int) -> pa.Table:
-    """Lines of this chunk that an earlier line matches, and those whose listed candidates all failed while others exist."""
-    fields = [("chunk", pa.int32()), ("removed", pa.binary()), ("unsettled", pa.binary())]
+    """Lines of this chunk that an earlier line matches, and those whose listed candidates all failed while others exist, with the sieve places of their words."""
+    fields = [("chunk", pa.int32()), ("removed", pa.binary()), ("unsettled", pa.binary()), ("places", pa.binary())]
     if not group.num_rows or not sent.num_rows:
         return table([], fields)
     told = [(unpack(late, "<i8"), which, sizes, words, more) for late, which, sizes, words, more in zip(*(sent.column(x).to_pylist() for x in ("late", "which", "sizes", "words", "more")), strict=True)]
     wanting = np.unique(np.concatenate([np.zeros(0, np.int64), *[x & 0xFFFFFFFF for x, *_, more in told if more]]))
-    lines = np.unique(np.concatenate([np.zeros(0, np.int64), *[x for x, *_, more in told if not more]]))
-    gone = np.zeros(len(lines), bool)
+    lines = np.unique(np.concatenate([wanting, *[x for x, *_, more in told if not more]]))
+    gone, places = np.zeros(len(lines), bool), np.zeros(0, np.int64)
+    still = wanting
     if len(lines):
         c = Lines(group)
         c.tokens(lines)
@@ -303,8 +316,11 @@ def _verify(group: pa.Table, sent: pa.Table, percent: int) -> pa.Table:
                 both = np.sort((pair << np.int64(max(1, len(names)).bit_length())) | code)
                 common = np.bincount(both[1:][both[1:] == both[:-1]] >> np.int64(max(1, len(names)).bit_length()), minlength=len(j))
                 gone[j[100 * common >= percent * (a + b - common)]] = True
+        still = np.setdiff1d(wanting, lines[gone])
+        at = np.searchsorted(lines, still)
+        places = np.unique(_sieve(own[spans(own_at[at], own_size[at])]))
     chunk, lost = group.column("chunk")[0].as_py(), lines[gone]
-    return table([(chunk, pack(lost.astype("<u4")), pack(np.setdiff1d(wanting, lost).astype("<i8")) if len(np.setdiff1d(wanting, lost)) else b"")], fields)
+    return table([(chunk, pack(lost.astype("<u4")), pack(still.astype("<i8")) if len(still) else b"", places.astype("<u4").tobytes())], fields)
 
 
 def drop_near_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20) -> DataFrame:
@@ -341,20 +357,22 @@ def drop_near_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     asked = left.applyInArrow(lambda group: _ask(group, n), "bucket int, chunk int, kind int, keys binary, values binary")
     known = materialize(asked.groupBy("bucket").applyInArrow(_answer, _REPLY_DDL), "counts")
 
-    def settle(replies: DataFrame, again: bool) -> DataFrame:
-        entries = left.cogroup(replies.groupBy("chunk")).applyInArrow(lambda g, r: _entries(g, r, n, percent, again), "bucket int, chunk int, words binary, lines binary, sizes binary, places binary, maps binary, probes binary")
-        pairs = entries.groupBy("bucket").applyInArrow(lambda g: _candidates(g, percent, None if again else FIRST), "chunk int, pairs binary, more boolean")
+    def settle(replies: DataFrame, sieve: np.ndarray | None) -> DataFrame:
+        entries = left.cogroup(replies.groupBy("chunk")).applyInArrow(lambda g, r: _entries(g, r, n, percent, sieve), "bucket int, chunk int, words binary, lines binary, sizes binary, places binary, maps binary, probes binary")
+        pairs = entries.groupBy("bucket").applyInArrow(lambda g: _candidates(g, percent, FIRST if sieve is None else None), "chunk int, pairs binary, more boolean")
         sent = left.cogroup(pairs.groupBy("chunk")).applyInArrow(_attach, _SENT_DDL)
-        return materialize(left.cogroup(sent.groupBy("chunk")).applyInArrow(lambda g, s: _verify(g, s, percent), "chunk int, removed binary, unsettled binary"), "lines")
+        return materialize(left.cogroup(sent.groupBy("chunk")).applyInArrow(lambda g, s: _verify(g, s, percent), "chunk int, removed binary, unsettled binary, places binary"), "lines")
 
     def reply(frame: DataFrame, kind: int, column: str) -> DataFrame:
         return frame.select("chunk", F.lit(kind).alias("kind"), F.lit(0).alias("bucket"), F.col(column).alias("payload"))
 
-    settled = settle(known, False)
+    settled = settle(known, None)
     decided = reply(settled, REMOVED, "removed")
     unsettled = settled.where(F.octet_length("unsettled") > 0)
     if not unsettled.isEmpty():
-        decided = decided.unionByName(reply(settle(known.unionByName(reply(unsettled, UNSETTLED, "unsettled")), True), REMOVED, "removed"))
+        sieve = np.zeros(1 << SIEVE, bool)
+        sieve[[r.place for r in unsettled.select("places").mapInArrow(_places, "place int").distinct().collect()]] = True  # 2**SIEVE rows at most
+        decided = decided.unionByName(reply(settle(known.unionByName(reply(unsettled, UNSETTLED, "unsettled")), sieve), REMOVED, "removed"))
 
     def finish(group: pa.Table, told: pa.Table) -> pa.Table:
         fields = [("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_removed", pa.int64()), ("removed", pa.list_(pa.int32())), ("kept", pa.string())]
@@ -373,3 +391,9 @@ def drop_near_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
 
     schema = T.StructType.fromDDL("doc_id long, n_lines long, n_removed long, removed array<int>, kept string").add("row", kind)
     return left.cogroup(known.where(F.col("kind") == REPEATS).unionByName(decided).groupBy("chunk")).applyInArrow(finish, schema)
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for x in batch.column(0).to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, "<u4").astype(np.int32))], ["place"])
