@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,30 @@ from skein.llm.links import components
 from skein.session import materialize
 
 #: Rows of a bucket that one task compares with one another; larger buckets are cut into pairs of such blocks.
-BLOCK = 512
+BLOCK = 2048
+#: Rows of a tile of products; links per row of a group from which its filters are compared as matrices.
+TILE, DENSE = 512, 2
+#: Rows that a filter should find by chance in the largest label, at most; the chance of a pair at the threshold to share no filter.
+BUCKET, MISSED = 256, 1e-5
+
+
+def sized(n: int, threshold: float, cap: float = 3.0, words: int = 128) -> tuple[float, int]:
+    """(cap, codewords per half) for n vectors of one label.
+
+    A filter finds a vector by chance with probability Q(cap). Up to
+    BUCKET / Q(cap) vectors the given code is right; beyond, cap rises so that a
+    bucket keeps BUCKET rows whatever n is, and the code grows so that a pair at
+    the threshold still shares a filter but for a chance of MISSED: given that
+    one passes, the other does with probability q, so a vector needs
+    log(MISSED) / log(1 - q) filters.
+    """
+    normal = NormalDist()
+    if n * (1 - normal.cdf(cap)) <= BUCKET:
+        return cap, words
+    p = BUCKET / n
+    cap = normal.inv_cdf(1 - p)
+    q = 1 - normal.cdf((cap - threshold * (cap + 1 / cap)) / np.sqrt(1 - threshold**2))
+    return cap, max(words, int(np.ceil(np.sqrt(np.log(MISSED) / np.log(1 - q) / p))))
 
 
 class ProductFilters:
@@ -23,7 +47,8 @@ class ProductFilters:
     cap/sqrt(dimension). They are list-decoded: a codeword of one half can only
     matter if it and the best of the other half reach the cap together, so the
     two short lists are combined and no other direction is looked at. A vector
-    with fewer than `least` filters takes its best ones.
+    with fewer than `least` filters takes its best ones. Vectors of fewer than
+    8 dimensions have no code worth the name and all take one filter.
     """
 
     def __init__(self, dim: int, words: int = 128, cap: float = 3.0, least: int = 8, seed: int = 3):
@@ -60,7 +85,7 @@ def _spread(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             return
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.93, words: int = 128, cap: float = 3.0, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.93, words: int | None = None, cap: float | None = None, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept): near-duplicate vectors within a label.
 
     Two vectors of one length and one label that is not null link when their
@@ -71,7 +96,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, words: int = 128,
     rows without an id (their component_id is null, kept false). Equal vectors
     are one class with a row count, so copies are not compared. A pair that
     meets under several filters counts under the first; counts and a spanning
-    forest leave a task, never the pairs. Rows with one id are one node.
+    forest leave a task, never the pairs. Rows with one id are one node. The
+    code is sized by the largest label (see sized) unless cap and words say so.
     """
     element = vectors.schema[vector_col].dataType.elementType.simpleString()
     kind, dtype = ("float", np.float32) if element == "float" else ("double", np.float64)
@@ -92,6 +118,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, words: int = 128,
 
     rows = materialize(rows.mapInArrow(packed, "id long, label string, v binary").withColumn("h", F.xxhash64("label", "v")), "vectors")
     classes = rows.where("v IS NOT NULL").groupBy("h", "label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
+    if cap is None or words is None:
+        cap, words = sized(classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0, threshold)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters: dict[int, ProductFilters] = {}
@@ -169,12 +197,29 @@ def _compare(t: pa.Table, dtype: type, threshold: float) -> pa.RecordBatch:
         if hi - lo < 2:
             continue
         x = np.stack(unit[lo:hi])
-        a, b = np.nonzero(np.triu(x @ x.T >= threshold, 1))
-        if len(a):
-            a, b = a + lo, b + lo
-            ok = (key[lo, 1] == key[lo, 2]) | (block[a] != block[b])
-            pairs_a.append(a[ok])
-            pairs_b.append(b[ok])
+        before = None
+        for i in range(0, hi - lo, TILE):
+            near = x[i : i + TILE] @ x[i:].T >= threshold
+            near[:, :TILE] &= np.tri(len(near), min(TILE, near.shape[1]), 0, bool) ^ True  # each pair once
+            if key[lo, 1] != key[lo, 2]:
+                near &= block[lo + i : lo + i + len(near)][:, None] != block[lo + i : hi][None]
+            if near.sum() > DENSE * (hi - lo):
+                # a dense group: all at once, whether two rows share a filter before this one
+                if before is None:
+                    names_, earlier = np.unique(np.concatenate([[-1], *[flat[off[r] : off[r + 1]][flat[off[r] : off[r + 1]] < at_filter[r]] for r in range(lo, hi)]]), return_inverse=True)
+                    before = np.zeros((hi - lo, len(names_)), np.float32)
+                    owner = np.repeat(np.arange(hi - lo), [int(np.searchsorted(flat[off[r] : off[r + 1]], at_filter[r])) for r in range(lo, hi)])
+                    before[owner, earlier[1:]] = 1
+                near &= before[i : i + TILE] @ before[i:].T < 0.5
+                links[who[lo + i : lo + i + len(near)]] += near @ weight[lo + i : hi]  # a class is in a group once
+                links[who[lo + i : hi]] += near.T @ weight[lo + i : lo + i + len(near)]
+                a, b = np.nonzero(near)
+                _spread(roots, who[lo + i + a], who[lo + i + b])
+                continue
+            a, b = np.nonzero(near)
+            if len(a):
+                pairs_a.append(a + lo + i)
+                pairs_b.append(b + lo + i)
     if pairs_a:
         a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
         for i in range(0, len(a), 2048):
