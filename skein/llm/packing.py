@@ -32,10 +32,16 @@ def _encoder(path: str, cache_words: int):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         words = WordCache(lambda w: np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes(), cache_words)
         split, lookup = splitter(public_tokenizers.PATTERN), words.__getitem__
-        _state.update(path=path, encode=lambda text: b"".join(map(lookup, split(text))))
+
+        def encode(text: str) -> bytes:
+            if any(a in text for a in added):  # the library finds added tokens before it splits
+                return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return b"".join(map(lookup, split(text)))
+
+        _state.update(path=path, encode=encode)
     return _state["encode"]
 
 
@@ -44,9 +50,10 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 102
 
     Only a text of more than max_tokens is cut, and only its first piece may be
     shorter. A null or empty text is the end token alone. Repeated rows and
-    null ids each give their own pieces; other columns are not read. Each
-    distinct pattern match goes through the tokenizer and is remembered in a
-    bounded cache (`cache_words`).
+    null ids each give their own pieces; other columns are not read. A text that
+    spells an added token goes through the tokenizer whole, which gives that
+    token's id; of any other, each distinct pattern match goes through it and is
+    remembered in a bounded cache (`cache_words`).
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +118,7 @@ def plan_bins(counts: dict[int, int], capacity: tuple[float, float, float], weig
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
-def pack(pieces: DataFrame, max_tokens: int = 1024, max_docs: int | None = None, max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 0.0, 0.0), rule: str = "norm") -> DataFrame:
+def pack(pieces: DataFrame, max_tokens: int = 1024, max_docs: int | None = None, max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 1.0, 1.0), rule: str = "norm") -> DataFrame:
     """Add sequence_id and offset to pieces (doc_id, piece, length, ...), in as few sequences as best fit finds.
 
     Limits left out cannot bind: a piece has at least one token, and lengths
@@ -124,7 +131,7 @@ def pack(pieces: DataFrame, max_tokens: int = 1024, max_docs: int | None = None,
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most max_tokens rows
     plan = plan_bins(counts, (max_tokens, max_docs or max_tokens, max_attention or max_tokens**2), weights, rule)
     plan = plan[np.lexsort((plan[:, 1], plan[:, 0]))]
-    shared = spark.sparkContext.broadcast(plan)  # bounded by lengths times residuals, at most max_tokens squared
+    shared = spark.sparkContext.broadcast(plan)  # a row per length and bin state that it meets: it grows with max_tokens and the limits, not with the number of pieces
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     before = salted.groupBy("length", "salt").count().withColumn("before", F.sum("count").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))).select("length", "salt", F.coalesce("before", F.lit(0)).alias("before"))
