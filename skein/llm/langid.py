@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
@@ -89,29 +89,37 @@ def windows_of(text: bytes) -> np.ndarray:
 
 
 def train(labelled: DataFrame, docs_per_language: int = 400, windows_per_doc: int = 6, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> ByteConvNet | None:
-    """Fit the network on a bounded sample: about docs_per_language texts of each language, chosen by a hash of the id.
+    """Fit the network on a bounded sample: at most docs_per_language rows of each language, those of least hash of id and text.
 
-    Rows without text or language teach nothing. Of a long text, windows_per_doc
-    windows spread over its whole length are used, some shortened so that short
-    texts are known too. No usable row gives no model.
+    Rows without text or language teach nothing. Of each text, windows_per_doc
+    windows spread over its whole length are cut on the executors and come to
+    the driver, some shortened so that short texts are known too. No usable row
+    gives no model.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l"))
-    counts = {r["l"]: r["count"] for r in rows.groupBy("l").count().collect()}  # one row per language
-    if not counts:
+    first = Window.partitionBy("l").orderBy(F.xxhash64("i", "t"), "i")  # a limit per group, taken before the shuffle too
+    chosen = rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= docs_per_language)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for lang, nth, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                w = windows_of(text.encode())
+                out += [(lang, nth, int(at), w[at].tobytes()) for at in np.unique(np.linspace(0, len(w) - 1, windows_per_doc).astype(int))] if len(w) else [(lang, nth, 0, None)]
+            cols = list(zip(*out, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["l", "nth", "at", "w"])
+
+    sample = chosen.select("l", "nth", "t").mapInArrow(cut, "l string, nth int, at long, w binary").collect()
+    if not sample:
         return None
-    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, docs_per_language / n))])
-    unit = F.pmod(F.xxhash64("i", F.length("t")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(unit <= share[F.col("l")]).select("i", "l", F.substring("t", 1, 20000).alias("t")).collect()
-    languages, rng = sorted(counts), np.random.default_rng(5)
+    languages, rng = sorted({r["l"] for r in sample}), np.random.default_rng(5)
     x, y = [], []
-    for row in sorted(sample, key=lambda r: (r["l"], r["i"] is None, r["i"] or 0)):
-        w = windows_of(row["t"].encode())
-        for at in np.unique(np.linspace(0, len(w) - 1, windows_per_doc).astype(int)) if len(w) else ():
-            one = w[at].copy()
-            if rng.random() < 0.3:
-                one[int(rng.integers(12, WINDOW)) :] = 32
-            x.append(one)
-            y.append(languages.index(row["l"]))
+    for row in sorted((r for r in sample if r["w"] is not None), key=lambda r: (r["l"], r["nth"], r["at"])):
+        one = np.frombuffer(row["w"], np.uint8).copy()
+        if rng.random() < 0.3:
+            one[int(rng.integers(12, WINDOW)) :] = 32
+        x.append(one)
+        y.append(languages.index(row["l"]))
     model = ByteConvNet(languages)
     if x:
         model.fit(np.array(x), np.array(y))
