@@ -14,8 +14,8 @@ from skein.llm.text import mix, shingle_hashes, utf8, word_hashes
 from skein.session import materialize
 
 
-#: Bits of a set's bitmap; members of a bucket that one task compares; rounds of proposals before all that is left is decided.
-BITS, BLOCK, TURNS = 2048, 4096, 3
+#: Least and most bits of a set's bitmap; members of a bucket that one task compares; rounds of proposals before all that is left is decided.
+BITS, MOST_BITS, BLOCK, TURNS = 2048, 1 << 17, 4096, 3
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -146,9 +146,29 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """Parity of the shingles that fall on each of BITS bits: two sets' bitmaps differ in no more bits than the sets in shingles."""
-    at = (mix(shingles) >> np.uint64(64 - (BITS - 1).bit_length())).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=BITS) & 1).astype(bool)).tobytes()
+    """Parity of the shingles that fall on each bit: two sets' bitmaps differ in no more bits than the sets in shingles.
+
+    A bitmap has a bit for each shingle or more, up to MOST_BITS, so that long
+    texts do not fill it; a wide one is folded to the width of a narrow one.
+    """
+    bits = min(MOST_BITS, max(BITS, 1 << max(0, len(shingles) - 1).bit_length()))
+    at = (mix(shingles) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(bool)).tobytes()
+
+
+def folded(bits: list[bytes]) -> dict[int, np.ndarray]:
+    """The bitmaps of a bucket at each width that occurs, in 64-bit words; narrower ones are zero there and not to be used."""
+    out = {}
+    for width in sorted({len(b) for b in bits}):
+        rows = np.zeros((len(bits), width // 8), np.uint64)
+        for i, b in enumerate(bits):
+            x = np.frombuffer(b, "<u8")
+            while len(x) > width // 8:
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            if len(x) == width // 8:
+                rows[i] = x
+        out[width] = rows
+    return out
 
 
 def _proposed(members: DataFrame, failed: DataFrame, percent: int, everything: bool) -> DataFrame:
@@ -185,6 +205,7 @@ def _proposed(members: DataFrame, failed: DataFrame, percent: int, everything: b
 
 
 def _closest(t: pa.Table, percent: int, everything: bool) -> pa.RecordBatch:
+    """Pairs (a, b) of whole buckets, or blocks of them, that only the full sets can decide; see _proposed."""
     key = np.stack([t.column(c).to_numpy() for c in ("key", "low", "high")], 1)
     block, rep, n = (t.column(c).to_numpy() for c in ("block", "rep", "n"))
     label = t.column("label").to_numpy()
@@ -196,7 +217,8 @@ def _closest(t: pa.Table, percent: int, everything: bool) -> pa.RecordBatch:
         if len(rows) < 2:
             continue
         size, mine, who, side = n[rows], label[rows], rep[rows], block[rows]
-        maps = np.frombuffer(b"".join(bits[i] for i in rows), "<u8").reshape(len(rows), -1)
+        mine_bits = [bits[i] for i in rows]
+        width, maps = np.array([len(b) for b in mine_bits]), folded(mine_bits)
         names, groups = np.unique(mine, return_inverse=True)
         if len(names) < 2:
             continue
@@ -218,8 +240,12 @@ def _closest(t: pa.Table, percent: int, everything: bool) -> pa.RecordBatch:
             ok[here[:, 0] - s, here[:, 1]] = False
             i, j = np.nonzero(ok)
             apart = np.zeros(len(i), np.int32)
-            for w in range(maps.shape[1]):
-                apart += np.bitwise_count(maps[x[i], w] ^ maps[j, w])
+            narrow = np.minimum(width[x[i]], width[j])
+            for size_, rows_ in maps.items():
+                pick = np.flatnonzero(narrow == size_)
+                p, q = x[i[pick]], j[pick]
+                for w in range(rows_.shape[1]):
+                    apart[pick] += np.bitwise_count(rows_[p, w] ^ rows_[q, w])
             fits = apart <= room[i, j]
             near_i.append(x[i[fits]])
             near_j.append(j[fits])

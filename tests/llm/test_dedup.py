@@ -187,3 +187,33 @@ def test_vectors(spark, monkeypatch):
     for r in got.values():
         groups[r.component_id].add(r.kept)
     assert all(True in g for c, g in groups.items() if c is not None)
+
+
+def test_dense_group(spark):
+    """One tight cluster, repeated ids and several blocks: every link counts once."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=16) + 0.05 * rng.normal(size=(700, 16))
+    rows = [(i, [float(v) for v in row], 1) for i, row in enumerate(x)]
+    got = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert sum(got[i].n_links for i in range(700)) >= 0.9999 * near.sum() and all(got[i].n_links <= near[i] for i in range(700))
+    twice = spark.createDataFrame([*rows[:3], rows[0]], "vec_id long, embedding array<double>, label int")
+    assert embeddings.near_vectors(twice).count() == 4
+
+
+def test_sized_code():
+    assert embeddings.sized(1000, 0.93) == (3.0, 128)
+    cap, words = embeddings.sized(10**9, 0.93)
+    assert 4.5 < cap < 6 and 10**3 < words < 10**5
+
+
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(2)
+    for n, m in ((5, 6), (3000, 2500), (2048, 2049), (9000, 8000)):
+        a, b = (np.unique(rng.integers(0, 1 << 63, k).astype(np.uint64)) for k in (n, m))
+        b = np.unique(np.concatenate([b, a[: n // 2]]))
+        maps = minhash.folded([minhash.bitmap(a), minhash.bitmap(b)])
+        narrow = maps[min(maps)]
+        apart = int(np.bitwise_count(narrow[0] ^ narrow[1]).sum())
+        assert apart <= len(np.setxor1d(a, b)) and (n < 100 or apart > 0.2 * len(np.setxor1d(a, b)))

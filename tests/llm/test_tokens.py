@@ -86,3 +86,18 @@ def test_every_capacity_holds(counts, rule, docs_limit):
     if len(plan):
         assert placed == counts
         assert all((u <= (64, docs_limit, 4100)).all() for u in used.values())
+
+
+def test_added_tokens_as_the_library_finds_them(spark):
+    path = P.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a <|endof", "x" * 3000 + "<|endoftext|><|endoftext|> y"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in packing.tokenized_pieces(frame, path).collect():
+        got.setdefault(r.doc_id, {})[r.piece] = (r.start, r.length, r.ids_crc32)
+    for i, text in enumerate(texts):
+        ids = np.array([*plain.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        for start, length, crc in got[i].values():
+            assert zlib.crc32(ids[start : start + length].tobytes()) == crc
+        assert sum(n for _, n, _ in got[i].values()) == len(ids)
