@@ -5,7 +5,11 @@ string stand in another document", "how often does this word occur"). Each
 chunk of documents reduces its keys to sorted distinct arrays, sends one packed
 row per key bucket, and gets the answers back in the order it asked. Spark
 moves rows (bucket, chunk, payload); what a key costs a bucket is bounded by
-the number of chunks, however many documents hold it.
+the number of chunks, however many documents hold it. Payload bytes are in
+proportion to the corpus. Rows are at most chunks times buckets and at most the
+distinct keys of all chunks, for a message without keys is not sent: they grow
+with the product while it is the smaller, and in proportion to the corpus once
+a chunk has fewer keys than there are buckets.
 """
 
 from __future__ import annotations

@@ -69,7 +69,7 @@ class Chunk:
         self.gram = np.where(totals[self.token] >= least, self.token, -1)
         self.hash, self.count = self.names, totals
 
-    def entries(self, level: int):
+    def pairs(self, level: int):
         """What a level is about: heads, the frequent contexts that some token follows, by hash; and (context, next)
         pairs whose two overlapping grams are frequent, ordered by head. A context without such pairs is a head too:
         whether it is a state bears on the tokens that follow it."""
@@ -83,7 +83,38 @@ class Chunk:
         ends = follows[pick]
         pair, first, inverse = np.unique(head[pick] * np.int64(len(self.names)) + self.token[ends], return_index=True, return_inverse=True)
         own = np.bincount(inverse, weights=self.train[ends], minlength=len(pair)).astype(np.int64)
-        return follows, head, named, ends, inverse, pair // max(1, len(self.names)), pair % max(1, len(self.names)), own, self.p[ends[first]]
+        return follows, head, named, ends, inverse, pair // max(1, len(self.names)), pair % max(1, len(self.names)), own, self.p[ends[first]] if len(ends) else self.p[:0]
+
+    def entries(self, level: int):
+        """The heads, and the pairs that may occur twice in the corpus: all others can neither be counted nor kept."""
+        follows, head, named, ends, inverse, owner, token, own, parent = self.pairs(level)
+        often = self.often
+        place = np.cumsum(often) - 1
+        keep = often[inverse]
+        return follows, head, named, ends[keep], place[inverse[keep]], owner[often], token[often], own[often], parent[often]
+
+    def _names(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of a level's pairs, and how often each occurs here in training texts."""
+        _, _, named, _, _, owner, token, own, _ = self.pairs(level)
+        return mix(self.hash[named[owner]] * _STEP + self.names[token]), own
+
+    def ask_often(self, level: int, chunk: int, buckets: int) -> pa.Table:
+        """Ask which pairs may occur twice: 32 bits of each hash in sorted order, and whether it occurs never, once or more here."""
+        name, own = self._names(level)
+        order = np.argsort(name)
+        name, own = name[order], np.minimum(own[order], 2)
+        where, rows = bucket_of(name, buckets), []
+        for a, b in zip(*runs(where), strict=True):
+            low = ((name[a:b] * np.uint64(buckets)) >> np.uint64(32)).astype(np.uint32)  # what is left of the hash below its bucket
+            rows.append((int(where[a]), chunk, pack(np.diff(low, prepend=np.uint32(0))), pack(own[a:b].astype("u1"))))
+        return table(rows, _OFTEN_FIELDS)
+
+    def learn_often(self, level: int, payloads: list[bytes]) -> None:
+        """Take the answers, in bucket order, which is the order of the hashes."""
+        name, _ = self._names(level)
+        told = np.concatenate([np.zeros(0, "u1"), *[unpack(x, "u1") for x in payloads]]).astype(bool)
+        self.often = np.zeros(len(name), bool)
+        self.often[np.argsort(name)] = told
 
     def ask(self, level: int, chunk: int, buckets: int) -> pa.Table:
         _, _, named, _, _, head, token, own, parent = self.entries(level)
@@ -92,7 +123,7 @@ class Chunk:
             a, b = np.searchsorted(head, [s, e])
             entry = mix(name[head[a:b]] * _STEP + self.names[token[a:b]])
             sizes = np.bincount(head[a:b] - s, minlength=e - s)
-            rows.append((int(bucket_of(name[s : s + 1], buckets)[0]), chunk, name[s:e].astype("<u8").tobytes(), pack(self.count[named[s:e]].astype("<i8")), pack(sizes.astype("<u4")), _narrow(entry), pack(own[a:b].astype("<u4")), pack(np.log2(parent[a:b]).astype("<f4"))))
+            rows.append((int(bucket_of(name[s : s + 1], buckets)[0]), chunk, pack(np.diff(name[s:e], prepend=np.uint64(0))), pack(self.count[named[s:e]].astype("<i8")), pack(sizes.astype("<u4")), _narrow(entry), pack(own[a:b].astype("<u4")), pack(np.log2(parent[a:b]).astype("<f4"))))
         return table(rows, _ASK_FIELDS)
 
     def learn_level(self, level: int, payloads: list[bytes]) -> None:
@@ -115,6 +146,22 @@ class Chunk:
         self.gram, self.hash, self.count = gram, name, total.astype(np.int64)
 
 
+_OFTEN_FIELDS = [("bucket", pa.int32()), ("chunk", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+_OFTEN = "bucket int, chunk int, keys binary, counts binary"
+
+
+def _count_often(group: pa.Table, level: int, least: int) -> pa.Table:
+    """Whether a pair, or another with the same 32 bits in this bucket, occurs often enough in all chunks together."""
+    keys = [np.cumsum(unpack(x, "<u4"), dtype=np.uint32) for x in group.column("keys").to_pylist()]
+    value, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    often = (np.bincount(inverse, np.concatenate([unpack(x, "u1") for x in group.column("counts").to_pylist()]), len(value)) >= min(least, 2)).astype("u1")
+    bucket, at, out = group.column("bucket")[0].as_py(), 0, []
+    for chunk, x in zip(group.column("chunk").to_pylist(), keys, strict=True):
+        out.append((chunk, -level, bucket, pack(often[inverse[at : at + len(x)]])))
+        at += len(x)
+    return table(out, _REPLY_FIELDS)
+
+
 def _pack_level(flags: np.ndarray, weights: np.ndarray, counts: np.ndarray) -> bytes:
     return squeeze(np.array([len(flags), len(counts)], "<i8").tobytes() + flags.astype("u1").tobytes() + planes(weights.astype("<f4")) + planes(counts.astype("<i8")))
 
@@ -145,7 +192,9 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 0.0, penalty: fl
     times the number of successors kept times the log of the count. A state
     gives each kept successor its discounted share and the rest of the mass to
     the next shorter suffix's distribution, so every state sums to one over the
-    vocabulary and one unseen word. Counts of all words and of all grams whose
+    vocabulary and one unseen word. Each level first asks which (context, next)
+    pairs may occur twice; only those are counted, so pairs that occur once cost
+    a few bytes. Counts of all words and of all grams whose
     parts occur twice are gathered over the whole corpus; no successor that
     occurs twice with its context is left out. A caller that wants a smaller
     model can ask for an empirical probability of p_min besides.
@@ -180,20 +229,34 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 0.0, penalty: fl
         c = Chunk(group)
         c.learn_words(np.concatenate([unpack(x, "<i8") for x in _ordered(told, 0)]), n, v, least)
         for level in range(1, levels + 1):
+            c.learn_often(level, _ordered(told, -level))
             c.learn_level(level, _ordered(told, level))
         return c
 
+    def ask_often(level: int):
+        def ask(group: pa.Table, told: pa.Table) -> pa.Table:
+            if not group.num_rows:
+                return table([], _OFTEN_FIELDS)
+            return known(group, told, level - 1).ask_often(level, group.column("chunk")[0].as_py(), buckets)
+
+        return ask
+
     def asker(level: int):
         def ask(group: pa.Table, told: pa.Table) -> pa.Table:
             if not group.num_rows:
                 return table([], _ASK_FIELDS)
-            return known(group, told, level - 1).ask(level, group.column("chunk")[0].as_py(), buckets)
+            c = known(group, told, level - 1)
+            c.learn_often(level, _ordered(told, -level))
+            return c.ask(level, group.column("chunk")[0].as_py(), buckets)
 
         return ask
 
+    def often_counter(level: int):
+        return lambda group: _count_often(group, level, least)
+
     def counter(level: int):
         def count(group: pa.Table) -> pa.Table:
-            heads = [np.frombuffer(x, "<u8") for x in group.column("contexts").to_pylist()]
+            heads = [np.cumsum(unpack(x, "<u8"), dtype=np.uint64) for x in group.column("contexts").to_pylist()]
             sizes = [unpack(x, "<u4").astype(np.int64) for x in group.column("sizes").to_pylist()]
             context, owner = np.unique(np.concatenate(heads), return_inverse=True)
             times = np.zeros(len(context))
@@ -220,6 +283,8 @@ def score_texts(docs: DataFrame, depth: int = 2, p_min: float = 0.0, penalty: fl
         return count
 
     for level in range(1, depth + 1):
+        many = left.cogroup(replies.groupBy("chunk")).applyInArrow(ask_often(level), _OFTEN)
+        replies = replies.unionByName(many.groupBy("bucket").applyInArrow(often_counter(level), _REPLY))
         asked = left.cogroup(replies.groupBy("chunk")).applyInArrow(asker(level), _ASK)
         replies = replies.unionByName(asked.groupBy("bucket").applyInArrow(counter(level), _REPLY))
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW, STEP, LEVEL = 64, 48, 8
@@ -203,7 +203,8 @@ def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = 2500, dictio
     The sample is drawn from labels alone and only then sent to docs, so no text
     is shuffled. Half of the toxic sample builds the dictionary, the other half
     calibrates. An id labelled twice counts as toxic if any label says so; null
-    labels and ids teach nothing, nor do ids without a text. Without both
+    labels and ids teach nothing, nor do ids without a text; of ids that stand on
+    several texts, no more than docs_per_class rows a class are used. Without both
     classes the score is constant: 1.0 when only toxic texts were seen, else 0.0.
     """
     marks = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("i")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
@@ -211,7 +212,9 @@ def train(docs: DataFrame, labels: DataFrame, docs_per_class: int = 2500, dictio
     order = F.xxhash64(F.col("i").cast("string"))
     picked = [marks.where(F.col("y") == y).orderBy(order, "i").limit(docs_per_class) for y in (0, 1)]
     sample = F.broadcast(picked[0].unionByName(picked[1]))  # at most twice docs_per_class rows
-    found = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).join(sample, "i").select("y", order.alias("h"), "t").collect()
+    found = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).join(sample, "i").select("y", order.alias("h"), "t")
+    nth = F.row_number().over(Window.partitionBy("y").orderBy("h", F.xxhash64("t")))  # an id can stand on many texts: the bound holds for rows
+    found = found.withColumn("nth", nth).where(F.col("nth") <= docs_per_class).collect()
     found.sort(key=lambda r: (r["h"], r["t"]))
     texts = {y: list(dict.fromkeys(r["t"].encode() for r in found if r["y"] == y)) for y in (1, 0)}
     if not texts[0] or len(texts[1]) < 2:
