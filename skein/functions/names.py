@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,20 +120,24 @@ def line_chunks(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """Rows (key, chunk, part): texts in chunks of at most size characters that end after a newline where one lies past their start.
 
     A window without a newline past its first character is cut hard; the chunks
-    of a text concatenate to it. Starts are found by a fold over the text's
-    windows, and parts are cut in columns.
+    of a text concatenate to it. Where a cut falls depends on the one before,
+    so each text is walked once, in Arrow batches.
     """
-    whole = F.col(text)
-
-    def next_start(starts: Column, _: Column) -> Column:
-        at = F.element_at(starts, -1)
-        window = F.substring(whole, at + 1, F.lit(size))
-        last = F.length(window) - F.instr(F.reverse(window), "\n")  # zero-based place of the last newline
-        cut = F.when((F.instr(window, "\n") > 0) & (last > 0), last + 1).otherwise(F.lit(size))
-        step = F.when(at + size >= F.length(whole), F.length(whole) - at).otherwise(cut)
-        return F.when(at >= F.length(whole), starts).otherwise(F.concat(starts, F.array(at + step)))
-
-    turns = F.sequence(F.lit(1), F.length(whole))
-    starts = F.aggregate(turns, F.array(F.lit(0)), next_start)
-    rows = df.where(F.length(whole) > 0).select(key, text, F.posexplode(F.arrays_zip(F.slice(starts, F.lit(1), F.size(starts) - 1).alias("a"), F.slice(starts, F.lit(2), F.size(starts) - 1).alias("b"))).alias("chunk", "x"))
-    return rows.select(key, "chunk", F.substring(F.col(text), F.col("x.a") + 1, F.col("x.b") - F.col("x.a")).alias("part"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, at, parts = [], [], []
+            for i, whole in enumerate(batch.column(1).to_pylist()):
+                start, chunk = 0, 0
+                while start < len(whole):
+                    end = min(start + size, len(whole))
+                    newline = whole.rfind("\n", start, end) if end < len(whole) else -1
+                    end = newline + 1 if newline > start else end
+                    rows.append(i)
+                    at.append(chunk)
+                    parts.append(whole[start:end])
+                    start, chunk = end, chunk + 1
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(at, pa.int32()), pa.array(parts, pa.string())], [key, "chunk", "part"])
+
+    rows = df.where(F.length(text) > 0).select(key, F.col(text).cast("string"))
+    return rows.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, chunk int, part string")

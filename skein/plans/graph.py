@@ -13,11 +13,16 @@ from skein.session import materialize
 
 @dataclass(frozen=True)
 class Edge:
-    """An edge table: columns src and dst, and the node labels they point to."""
+    """An edge table: columns src and dst, and the node labels they point to.
+
+    Where every source node has at most one such edge and its node table holds
+    the other end in column key, hops follow that column and rows is not read.
+    """
 
     rows: DataFrame
     source: str
     target: str
+    key: str | None = None
 
 
 @dataclass
@@ -47,6 +52,9 @@ class Pattern:
     def hop(self, start: str, edge: str, to: str, edge_var: str | None = None, reverse: bool = False, where: Column | None = None, edge_where: Column | None = None) -> Pattern:
         """(start)-[edge]->(to), or (start)<-[edge]-(to) with reverse; filters apply before the joins."""
         e = self.graph.edges[edge]
+        if e.key and edge_var is None and edge_where is None:
+            label, ends = (e.source, (f"{to}_{e.key}", f"{start}_id")) if reverse else (e.target, (f"{start}_{e.key}", f"{to}_id"))
+            return Pattern(self.graph, self.rows.join(self.graph._node(label, to, where), F.col(ends[0]) == F.col(ends[1])), self.labels | {to: label})
         table = e.rows if edge_where is None else e.rows.where(edge_where)
         near, far, label = ("dst", "src", e.source) if reverse else ("src", "dst", e.target)
         named = table.select(F.col(near).alias("_near"), F.col(far).alias("_far"), *[F.col(c).alias(f"{edge_var}_{c}") for c in table.columns if edge_var and c not in ("src", "dst")])

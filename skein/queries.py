@@ -311,18 +311,18 @@ def star(t) -> graph.PropertyGraph:
     """The star schema as a property graph."""
     nodes = {
         "Region": t("region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")),
-        "Nation": t("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")),
-        "Customer": t("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")),
-        "Supplier": t("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")),
-        "Order": t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("priority")),
+        "Nation": t("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")),
+        "Customer": t("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation")),
+        "Supplier": t("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation")),
+        "Order": t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("priority"), F.col("o_custkey").alias("customer")),
         "Part": t("part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").alias("size")),
     }
     e = graph.Edge
     edges = {
-        "InRegion": e(t("nation").select(F.col("n_nationkey").alias("src"), F.col("n_regionkey").alias("dst")), "Nation", "Region"),
-        "CustomerIn": e(t("customer").select(F.col("c_custkey").alias("src"), F.col("c_nationkey").alias("dst")), "Customer", "Nation"),
-        "SupplierIn": e(t("supplier").select(F.col("s_suppkey").alias("src"), F.col("s_nationkey").alias("dst")), "Supplier", "Nation"),
-        "PlacedBy": e(t("orders").select(F.col("o_orderkey").alias("src"), F.col("o_custkey").alias("dst")), "Order", "Customer"),
+        "InRegion": e(t("nation").select(F.col("n_nationkey").alias("src"), F.col("n_regionkey").alias("dst")), "Nation", "Region", "region"),
+        "CustomerIn": e(t("customer").select(F.col("c_custkey").alias("src"), F.col("c_nationkey").alias("dst")), "Customer", "Nation", "nation"),
+        "SupplierIn": e(t("supplier").select(F.col("s_suppkey").alias("src"), F.col("s_nationkey").alias("dst")), "Supplier", "Nation", "nation"),
+        "PlacedBy": e(t("orders").select(F.col("o_orderkey").alias("src"), F.col("o_custkey").alias("dst")), "Order", "Customer", "customer"),
         "HasPart": e(t("lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst"), F.col("l_returnflag").alias("flag")), "Order", "Part"),
     }
     return graph.PropertyGraph(nodes, edges)

@@ -207,3 +207,31 @@ def src_migration_files(t):
 
     path = F.concat("source", F.lit("/"), F.coalesce("lang", F.lit("")), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".php"))
     return t("documents").select(path.alias("path"), scan.is_migration(path, F.col("text"), ["de/"], "und ").alias("is_migration"))
+
+
+# sources whose rows reach every branch
+
+
+@query(_sql("SELECT CASE WHEN list_contains(string_split(path, '/'), 'vendor') THEN 'vendor' ELSE 'app' END AS origin, count(*) AS files, CAST(sum(octet_length(encode(summary))) AS BIGINT) AS bytes FROM files GROUP BY 1"))
+def src_vendor_stats(t):
+    return frame(t, "files").groupBy(N.origin(F.col("path")).alias("origin")).agg(F.count("*").alias("files"), F.sum(F.octet_length("summary").cast("long")).alias("bytes"))
+
+
+@query("SELECT p_partkey, p_partkey % 6 IN (0, 2, 4) AS skipped FROM part")
+def src_skip_paths(t):
+    k = (F.col("p_partkey") % 6).cast("int")
+    path = F.element_at(F.array(*[F.lit(x) for x in (".git/a.php", "src/build.php", "src/build/a.php", "builds/a.php", "a/.x/b.php", "src/.a.php")]), k + 1)
+    return t("part").select("p_partkey", N.is_skipped(path, ["build", "dist"]).alias("skipped"))
+
+
+@query("SELECT p_partkey, p_partkey % 7 IN (0, 1) AS callable, p_partkey % 7 IN (3, 4) AS finder FROM part")
+def fn_literal_forms(t):
+    k = (F.col("p_partkey") % 7).cast("int")
+    text = F.element_at(F.array(*[F.concat(F.lit(x), F.when(k != 2, F.regexp_replace("p_type", "[^A-Z]", "")).otherwise("")) for x in ("\\A\\B::run", "Report::", "1A::", "findBy", "findAllBy", "findby", "find")]), k + 1)
+    return t("part").select("p_partkey", N.is_callable_literal(text).alias("callable"), N.is_magic_finder(text).alias("finder"))
+
+
+@query("""WITH RECURSIVE c AS (SELECT doc_id, text, 0 AS chunk, 1 AS s FROM documents WHERE length(text) > 0 UNION ALL SELECT doc_id, text, chunk + 1, e FROM (SELECT *, CASE WHEN s + 1000 > length(text) THEN length(text) + 1 WHEN strpos(reverse(substring(text, s, 1000)), chr(10)) BETWEEN 1 AND 999 THEN s + 1001 - strpos(reverse(substring(text, s, 1000)), chr(10)) ELSE s + 1000 END AS e FROM c) WHERE e <= length(text))
+SELECT doc_id, CAST(chunk AS INTEGER) AS chunk, sha256(substring(text, s, coalesce(lead(s) OVER (PARTITION BY doc_id ORDER BY s), length(text) + 1) - s)) AS sha FROM c""")
+def chunk_lines(t):
+    return N.line_chunks(t("documents").select("doc_id", "text"), "doc_id", "text", 1000).select("doc_id", "chunk", F.sha2("part", 256).alias("sha"))

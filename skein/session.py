@@ -27,10 +27,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The shared folder named by spark.checkpoint.dir; a folder of our own only where that is unset and all runs in one process."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="skein-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own
