@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,42 +37,61 @@ def scores(cases: DataFrame, category: str, right: str) -> DataFrame:
     return cases.groupBy(category).agg(F.count("*").alias("cases"), F.sum(F.col(right).cast("int")).cast("long").alias("correct")).withColumn("percent", F.round(F.col("correct") * 100.0 / F.col("cases"), 2))
 
 
-def facts(nodes: dict[str, DataFrame], edges: dict[str, DataFrame]) -> DataFrame:
-    """Rows (type, subject, answer): everything that a question about a subject can be answered with, one row per edge.
+_CALL, _HEIR, _IMPORT = ("caller_method", "callee_method"), ("child_class", "parent_class"), ("source_file", "target")
+#: Questions along one edge: edge table, its ends, node table, key and name, and whether the edge is read backwards.
+HOPS = {
+    "callees_of": ("MethodCalls", _CALL, "Methods", "method_id", "fqmn", False),
+    "possibly_callees_of": ("PossiblyCalls", _CALL, "Methods", "method_id", "fqmn", False),
+    "callers_of": ("MethodCalls", _CALL, "Methods", "method_id", "fqmn", True),
+    "parents_of": ("ClassInherits", _HEIR, "Classes", "class_id", "fqcn", False),
+    "children_of": ("ClassInherits", _HEIR, "Classes", "class_id", "fqcn", True),
+    "imports_of": ("FileImports", _IMPORT, "Files", "file_id", "path", False),
+}
+TYPES = [*HOPS, "methods_of", "class_file", "class_table", "table_columns", "table_fks", "node_exists", "count_at_least"]
+
+
+def facts(nodes: Mapping[str, DataFrame], edges: Mapping[str, DataFrame], types: list[str] | None = None) -> DataFrame:
+    """Rows (type, subject, answer): everything that questions of the types can be answered with, one row per edge.
 
     nodes: Methods, Classes, Files and DbTables, with columns (table_name, name)
-    of tables under Columns; edges by table name. Subjects are in lower case but
-    for table names, answers as they are.
+    of tables under Columns; edges by table name. Tables that no type needs are
+    not looked up. Subjects are in lower case but for table names, answers as
+    they are.
     """
-    methods, classes = nodes["Methods"].select("method_id", "fqmn", "class_id"), nodes["Classes"].select("class_id", "fqcn", "file_id").where("fqcn <> ''")
-    files, tables = nodes["Files"].select("file_id", "path"), nodes["DbTables"].select("table_id", F.col("name").alias("table_name"))
-
-    def hop(kind: str, table: str, ends: tuple[str, str], frame: DataFrame, key: str, name: str, back: bool = False) -> DataFrame:
-        a, b = (ends[1], ends[0]) if back else ends
-        left, right = frame.select(F.col(key).alias(a), F.lower(name).alias("subject")), frame.select(F.col(key).alias(b), F.col(name).alias("answer"))
-        return edges[table].select(*ends).join(left, a).join(right, b).select(F.lit(kind).alias("type"), "subject", "answer")
-
-    call = ("caller_method", "callee_method")
-    parts = [
-        hop("callees_of", "MethodCalls", call, methods, "method_id", "fqmn"),
-        hop("possibly_callees_of", "PossiblyCalls", call, methods, "method_id", "fqmn"),
-        hop("callers_of", "MethodCalls", call, methods, "method_id", "fqmn", back=True),
-        hop("parents_of", "ClassInherits", ("child_class", "parent_class"), classes, "class_id", "fqcn"),
-        hop("children_of", "ClassInherits", ("child_class", "parent_class"), classes, "class_id", "fqcn", back=True),
-        hop("imports_of", "FileImports", ("source_file", "target"), files, "file_id", "path"),
-        methods.join(classes, "class_id").select(F.lit("methods_of").alias("type"), F.lower("fqcn").alias("subject"), F.substring_index("fqmn", "::", -1).alias("answer")),
-        classes.join(files, "file_id").select(F.lit("class_file").alias("type"), F.lower("fqcn").alias("subject"), F.col("path").alias("answer")),
-        edges["ClassMapsToTable"].join(classes, "class_id").join(tables, "table_id").select(F.lit("class_table").alias("type"), F.lower("fqcn").alias("subject"), F.col("table_name").alias("answer")),
-        nodes["Columns"].select(F.lit("table_columns").alias("type"), F.col("table_name").alias("subject"), F.col("name").alias("answer")),
-    ]
-    source, target = tables.select(F.col("table_id").alias("source_table"), F.col("table_name").alias("subject")), tables.select(F.col("table_id").alias("target_table"), "table_name")
-    keys = edges["TableReferences"].join(source, "source_table").join(target, "target_table")
-    parts.append(keys.select(F.lit("table_fks").alias("type"), "subject", F.concat("fk_column", F.lit("->"), "table_name").alias("answer")))
-    exists = methods.select(F.lower("fqmn").alias("subject")).union(classes.select(F.lower("fqcn"))).distinct()
-    parts.append(exists.select(F.lit("node_exists").alias("type"), "subject", F.lit("exists").alias("answer")))
-    for table in ("MethodCalls", "PossiblyCalls", "ClassInherits"):
-        parts.append(edges[table].select(F.lit("count_at_least").alias("type"), F.lit(table.lower()).alias("subject"), F.lit("row").alias("answer")))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [_facts(kind, nodes, edges) for kind in types or TYPES])
+
+
+def _facts(kind: str, nodes: Mapping[str, DataFrame], edges: Mapping[str, DataFrame]) -> DataFrame:
+    def rows(df: DataFrame, subject: Column, answer: Column) -> DataFrame:
+        return df.select(F.lit(kind).alias("type"), subject.alias("subject"), answer.alias("answer"))
+
+    def classes() -> DataFrame:
+        return nodes["Classes"].select("class_id", "fqcn", "file_id").where("fqcn <> ''")
+
+    def tables(key: str, name: str) -> DataFrame:
+        return nodes["DbTables"].select(F.col("table_id").alias(key), F.col("name").alias(name))
+
+    if kind in HOPS:
+        table, ends, frame, key, name, back = HOPS[kind]
+        a, b = reversed(ends) if back else ends
+        named = nodes[frame].where(F.col(name) != "")
+        left, right = named.select(F.col(key).alias(a), F.lower(name).alias("subject")), named.select(F.col(key).alias(b), F.col(name).alias("answer"))
+        return rows(edges[table].select(*ends).join(left, a).join(right, b), F.col("subject"), F.col("answer"))
+    if kind == "methods_of":
+        return rows(nodes["Methods"].select("class_id", "fqmn").join(classes(), "class_id"), F.lower("fqcn"), F.substring_index("fqmn", "::", -1))
+    if kind == "class_file":
+        return rows(classes().join(nodes["Files"].select("file_id", "path"), "file_id"), F.lower("fqcn"), F.col("path"))
+    if kind == "class_table":
+        return rows(edges["ClassMapsToTable"].join(classes(), "class_id").join(tables("table_id", "table_name"), "table_id"), F.lower("fqcn"), F.col("table_name"))
+    if kind == "table_columns":
+        return rows(nodes["Columns"], F.col("table_name"), F.col("name"))
+    if kind == "table_fks":
+        met = edges["TableReferences"].join(tables("source_table", "_from"), "source_table").join(tables("target_table", "_to"), "target_table")
+        return rows(met, F.col("_from"), F.concat("fk_column", F.lit("->"), "_to"))
+    if kind == "node_exists":
+        return rows(nodes["Methods"].select(F.lower("fqmn").alias("x")).union(classes().select(F.lower("fqcn"))).distinct(), F.col("x"), F.lit("exists"))
+    counted = [rows(edges[table], F.lit(table.lower()), F.lit("row")) for table in ("MethodCalls", "PossiblyCalls", "ClassInherits")]
+    return reduce(DataFrame.unionByName, counted)
 
 
 def grade(questions: DataFrame, known: DataFrame) -> DataFrame:

@@ -151,7 +151,7 @@ def fn_table_classes(t):
     return t("part").select("p_partkey", C.entity_class(table).alias("entity"), C.default_table(controller).alias("default_table"))
 
 
-@query("""SELECT p_partkey, '    ' || regexp_replace(trim(p_name), '[^0-9A-Za-z_]', '_', 'g') || ' ' || CASE p_size % 5 WHEN 0 THEN '}o--o{' WHEN 1 THEN '}o--||' WHEN 2 THEN '||--||' ELSE '||--o{' END || ' ' || regexp_replace(p_brand, '[^0-9A-Za-z_]', '_', 'g') || ' : "' || CASE WHEN p_size % 2 = 0 THEN substring(trim(p_type || ' of ' || p_name || ' and more'), 1, 24) ELSE 'rel' END || '"' AS line, regexp_replace(p_name, 'e', ' ', 'g') AS cell FROM part""")
+@query("""SELECT p_partkey, '    ' || regexp_replace(trim(p_name), '[^0-9A-Za-z_]', '_', 'g') || ' ' || CASE p_size % 5 WHEN 0 THEN '}o--o{' WHEN 1 THEN '}o--||' WHEN 2 THEN '||--||' ELSE '||--o{' END || ' ' || regexp_replace(p_brand, '[^0-9A-Za-z_]', '_', 'g') || ' : "' || CASE WHEN p_size % 2 = 0 THEN substring(trim(p_type || ' of ' || p_name || ' and more'), 1, 24) ELSE 'rel' END || '"' AS line, trim(regexp_replace(p_name, 'e', ' ', 'g')) AS cell FROM part""")
 def fn_er_relation(t):
     k = F.col("p_size")
     card = F.when(k % 5 == 0, "Many-to-Many").when(k % 5 == 1, "n-1").when(k % 5 == 2, "one-to-one").when(k % 5 == 3, "1-n")

@@ -234,3 +234,15 @@ def test_hashed_texts(spark):
     got = topics.embedded(rows).collect()
     assert [r.id for r in got] == [1] and abs(sum(x * x for x in got[0].embedding) - 1) < 1e-9
     assert list(got[0].embedding) == topics.hashed_features("a b a", 64).tolist()
+
+
+def test_cross_calls_and_wiring(spark):
+    known = spark.createDataFrame([("a\\x", "r1", "A\\X", "cx"), ("a\\y", "r1", "A\\Y", "cy1"), ("a\\y", "r2", "A\\Y", "cy2"), ("a\\z", "r2", "A\\Z", "cz")], "norm_fqcn string, repo string, fqcn string, class_id string")
+    declared = spark.createDataFrame([("A\\X", "go", "A\\X", "mx"), ("A\\Y", "go", "A\\Y", "my"), ("A\\Z", "go", "A\\Z", "mz")], "name string, member string, owner_class string, method_id string")
+    aliases = spark.createDataFrame([("r2", "f", "Ex", "A\\X", 1)], "repo string, path string, alias string, fqcn string, ord int")
+    sites = [("r2", "f", "N", "c1", "Ex", "GO"), ("r2", "f", "N", "c1", "\\A\\X", "go"), ("r2", "f", "N", "c2", "\\A\\Y", "go"), ("r2", "f", "N", "c3", "\\A\\Z", "go"), ("r2", "f", "N", "c4", "\\A\\X", "stop"), ("r2", "f", "N", "c5", None, "go")]
+    got = crossref.method_calls(spark.createDataFrame(sites, "repo string, path string, namespace string, caller_method string, text string, member string"), aliases, declared, known).collect()
+    assert [(r.caller_method, r.callee_method, r.source_repo, r.target_repo, r.symbol) for r in got] == [("c1", "mx", "r2", "r1", "A\\X::go")]
+    wires = [("1", "r2", "bind", "A\\X", "A\\Y"), ("2", "r2", "bind", "A\\Y", "A\\Z"), ("3", "r3", "inject", "A\\X", "A\\Y"), ("4", "r3", "inject", "A\\X", "A\\Z"), ("5", "r1", "bind", "A\\Nope", "A\\X")]
+    got = crossref.wiring(spark.createDataFrame(wires, "binding_id string, repo string, kind string, source string, target string"), known).collect()
+    assert {(r.kind, r.source_class, r.target_class, r.source_repo, r.target_repo) for r in got} == {("bind", "cx", "cy2", "r1", "r2"), ("inject", "cx", "cz", "r1", "r2")}
