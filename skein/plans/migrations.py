@@ -28,33 +28,52 @@ def ordered(operations: DataFrame) -> DataFrame:
     return materialize(rows.repartitionByRange("repo", "base", "file", "seq").sortWithinPartitions("repo", "base", "file", "seq").withColumn("at", F.monotonically_increasing_id()).drop("base"), "operations")
 
 
-def _standing(ops: DataFrame) -> DataFrame:
-    """Events of names (repo, name, at, alive): a name stands after any operation on it, and falls by drop or rename."""
-    touch = ops.select("repo", F.col("table_name").alias("name"), "at", (~F.col("op").isin("drop_table", "rename_table")).alias("alive"))
-    return touch.unionByName(ops.where("op = 'rename_table'").select("repo", F.col("new_name").alias("name"), "at", F.lit(True).alias("alive")))
+def _standing(ops: DataFrame, renames: DataFrame) -> DataFrame:
+    """Events of names (repo, name, at, alive): a name stands after any operation on it, and falls by drop or an applied rename."""
+    touch = ops.where("op <> 'rename_table'").select("repo", F.col("table_name").alias("name"), "at", (F.col("op") != "drop_table").alias("alive"))
+    applied = renames.where("status = 'applied'")
+    gone, come = applied.select("repo", F.col("old").alias("name"), "at", F.lit(False).alias("alive")), applied.select("repo", F.col("new").alias("name"), "at", F.lit(True).alias("alive"))
+    return touch.unionByName(gone).unionByName(come)
+
+
+def judged(ops: DataFrame) -> DataFrame:
+    """Renames (repo, at, old, new, status): applied, unknown (the old name does not stand) or collides (the new one does).
+
+    All are taken as applied at first; each round judges them by the events
+    that the last round left, until nothing changes. The earliest judgement
+    that is still wrong is put right in every round, so the rounds end, and
+    they end where a replay in order of time would.
+    """
+    renames = ops.where("op = 'rename_table'").select("repo", "at", F.col("table_name").alias("old"), F.col("new_name").alias("new"), F.lit("applied").alias("status"))
+    before = Window.partitionBy("repo", "name").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
+    while True:
+        renames = materialize(renames, "renames")
+        ask = renames.select("repo", "at", F.explode(F.array(F.struct(F.lit("old").alias("end"), F.col("old").alias("name")), F.struct(F.lit("new").alias("end"), F.col("new").alias("name")))).alias("q"))
+        ask = ask.select("repo", "at", "q.name", "q.end", F.lit(None).cast("boolean").alias("alive"), F.lit(0).alias("side"))
+        both = ask.unionByName(_standing(ops, renames).withColumn("end", F.lit(None).cast("string")).withColumn("side", F.lit(1)))
+        stood = both.withColumn("stood", F.coalesce(F.last("alive", ignorenulls=True).over(before), F.lit(False))).where("side = 0")
+        ends = stood.groupBy("repo", "at").agg(F.max(F.when(F.col("end") == "old", F.col("stood"))).alias("known"), F.max(F.when(F.col("end") == "new", F.col("stood"))).alias("taken"))
+        status = F.when(~F.col("known"), "unknown").when(F.col("taken"), "collides").otherwise("applied")
+        now = materialize(renames.withColumnRenamed("status", "was").join(ends, ["repo", "at"]).select("repo", "at", "old", "new", "was", status.alias("status")), "renames")
+        if now.where("was <> status").isEmpty():
+            return now.drop("was")
+        renames = now.drop("was")
 
 
 def lineages(ops: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(operations with lineage, renames with status applied, unknown or collides).
+    """(operations with lineage, renames with their status).
 
     An incarnation of a name starts at its first operation after a drop or
     rename; a rename links the incarnation of the old name to that of the new
-    one. Whether a name stands is judged by the last operation on it before, as
-    written. Links are followed by pointer jumping, so chains of renames take a
+    one. Links are followed by pointer jumping, so chains of renames take a
     logarithmic number of rounds.
     """
-    before = Window.partitionBy("repo", "name").orderBy("at", "alive").rowsBetween(Window.unboundedPreceding, -1)
-    events = materialize(_standing(ops).withColumn("stood", F.coalesce(F.last("alive").over(before), F.lit(False))), "standing")
-    renames = ops.where("op = 'rename_table'").select("repo", "at", F.col("table_name").alias("old"), F.col("new_name").alias("new"))
-    old = events.where("NOT alive").select("repo", "at", F.col("name").alias("old"), F.col("stood").alias("_known"))
-    new = events.where("alive").select("repo", "at", F.col("name").alias("new"), F.col("stood").alias("_taken"))
-    status = F.when(~F.col("_known"), "unknown").when(F.col("_taken"), "collides").otherwise("applied")
-    renames = materialize(renames.join(old, ["repo", "at", "old"]).join(new, ["repo", "at", "new"]).select("repo", "at", "old", "new", status.alias("status")), "renames")
+    renames = judged(ops)
     applied = renames.where("status = 'applied'")
-    # births: a name is born anew by an applied rename into it, or by the first operation after a drop or an applied rename away
-    skipped = renames.where("status <> 'applied'").select("repo", "at")
-    real = events.join(skipped, ["repo", "at"], "left_anti").select("repo", "name", "at", "alive")
+    real = materialize(_standing(ops, renames), "standing")
+    before = Window.partitionBy("repo", "name").orderBy("at", "alive").rowsBetween(Window.unboundedPreceding, -1)
     real = real.withColumn("stood", F.coalesce(F.last("alive").over(before), F.lit(False)))
+    # births: a name is born anew by an applied rename into it, or by the first operation after a drop or an applied rename away
     births = real.where("alive AND NOT stood").select("repo", "name", F.col("at").alias("born"))
     upto = Window.partitionBy("repo", "name").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
 
@@ -73,7 +92,9 @@ def lineages(ops: DataFrame) -> tuple[DataFrame, DataFrame]:
         if jumped.where("root <> next").isEmpty():
             break
         roots = jumped.select("repo", "born", F.col("next").alias("root"))
-    found = placed(ops.select("repo", F.col("table_name").alias("name"), "at")).join(roots, ["repo", "born"]).select("repo", "at", F.col("root").alias("lineage"))
+    lost = real.where("NOT alive AND NOT stood").select("repo", "at")  # drops of names that do not stand have no lineage
+    known = ops.join(lost, ["repo", "at"], "left_anti")
+    found = placed(known.select("repo", F.col("table_name").alias("name"), "at")).join(roots, ["repo", "born"]).select("repo", "at", F.col("root").alias("lineage"))
     return ops.join(found, ["repo", "at"], "left"), renames
 
 
@@ -101,7 +122,7 @@ class Table:
                 return self.warn(x.file, "duplicate create", self.name)
             self.created, self.file = True, x.file
             if x.options != "id=false":
-                implicit = x.options.removeprefix("id=") if x.options else "id"
+                implicit = x.options[3:] if (x.options or "").startswith("id=") else "id"
                 if implicit not in self.columns:
                     self.columns = {implicit: ("integer", "primary_key"), **self.columns}
         elif x.op == "drop_table":
