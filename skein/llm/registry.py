@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import bpe, embeddings, fingerprint, langid, lines, minhash, oracle, packing, repeats, suffix_tree, toxicity
+from skein.llm import bpe, embeddings, fingerprint, langid, lines, minhash, oracle, packing, repeats, secrets, suffix_tree, toxicity
 from skein.session import prepare
 
 
@@ -73,9 +73,15 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_documents(table(spark, sf_dir, "documents"), k=2)
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    counts = [secrets.count_of("spans", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(secrets.as_text("spans", secrets.BASE), 256).alias("base_sha256"), secrets.as_text("spans").alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_embeddings": op1_embeddings, "op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_lm": op6_lm, "op7_lines": op7_lines, "op8_langid": op8_langid, "op9_repeats": op9_repeats, "op10_minhash": op10_minhash, "pipeline": corpus_pipeline.run}
+    return {"op1_embeddings": op1_embeddings, "op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_lm": op6_lm, "op7_lines": op7_lines, "op8_langid": op8_langid, "op9_repeats": op9_repeats, "op10_minhash": op10_minhash, "op11_secrets": op11_secrets, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embeddings": oracle.OP1, "op7_lines": oracle.OP7, "op9_repeats": oracle.OP9, "op10_minhash": oracle.OP10}
+    return {"op1_embeddings": oracle.OP1, "op7_lines": oracle.OP7, "op9_repeats": oracle.OP9, "op10_minhash": oracle.OP10, "op11_secrets": secrets.sql()}
