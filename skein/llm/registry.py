@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import bpe, embeddings, fingerprint, langid, lines, minhash, oracle, packing, repeats, secrets, suffix_tree, toxicity
+from skein.llm import bpe, embeddings, fingerprint, hard_negatives, langid, lines, minhash, oracle, packing, repeats, secrets, suffix_tree, toxicity
 from skein.session import prepare
 
 
@@ -79,9 +79,15 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secrets.as_text("spans", secrets.BASE), 256).alias("base_sha256"), secrets.as_text("spans").alias("spans"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_embeddings": op1_embeddings, "op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_lm": op6_lm, "op7_lines": op7_lines, "op8_langid": op8_langid, "op9_repeats": op9_repeats, "op10_minhash": op10_minhash, "op11_secrets": op11_secrets, "pipeline": corpus_pipeline.run}
+    return {"op1_embeddings": op1_embeddings, "op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_lm": op6_lm, "op7_lines": op7_lines, "op8_langid": op8_langid, "op9_repeats": op9_repeats, "op10_minhash": op10_minhash, "op11_secrets": op11_secrets, "op12_negatives": op12_negatives, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embeddings": oracle.OP1, "op7_lines": oracle.OP7, "op9_repeats": oracle.OP9, "op10_minhash": oracle.OP10, "op11_secrets": secrets.sql()}
+    return {"op1_embeddings": oracle.OP1, "op7_lines": oracle.OP7, "op9_repeats": oracle.OP9, "op10_minhash": oracle.OP10, "op11_secrets": secrets.sql(), "op12_negatives": oracle.OP12}
