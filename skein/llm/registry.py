@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import bpe, embeddings, fingerprint, hard_negatives, langid, lines, minhash, oracle, packing, repeats, secrets, suffix_tree, toxicity
+from skein.llm import bpe, embeddings, fingerprint, hard_negatives, langid, lines, minhash, oracle, packing, repeats, secrets, suffix_tree, toxicity, vector_codes
 from skein.session import prepare
 
 
@@ -85,9 +85,13 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
 
 
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_embeddings": op1_embeddings, "op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_lm": op6_lm, "op7_lines": op7_lines, "op8_langid": op8_langid, "op9_repeats": op9_repeats, "op10_minhash": op10_minhash, "op11_secrets": op11_secrets, "op12_negatives": op12_negatives, "pipeline": corpus_pipeline.run}
+    return {"op1_embeddings": op1_embeddings, "op2_packing": op2_packing, "op3_fingerprints": op3_fingerprints, "op4_bpe": op4_bpe, "op5_toxicity": op5_toxicity, "op6_lm": op6_lm, "op7_lines": op7_lines, "op8_langid": op8_langid, "op9_repeats": op9_repeats, "op10_minhash": op10_minhash, "op11_secrets": op11_secrets, "op12_negatives": op12_negatives, "op13_codes": op13_codes, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embeddings": oracle.OP1, "op7_lines": oracle.OP7, "op9_repeats": oracle.OP9, "op10_minhash": oracle.OP10, "op11_secrets": secrets.sql(), "op12_negatives": oracle.OP12}
+    return {"op1_embeddings": oracle.OP1, "op7_lines": oracle.OP7, "op9_repeats": oracle.OP9, "op10_minhash": oracle.OP10, "op11_secrets": secrets.sql(), "op12_negatives": oracle.OP12, "op13_codes": vector_codes.sql()}
