@@ -106,11 +106,12 @@ def _sql(body: str) -> str:
     return "WITH " + ",\n".join(f"{x} AS ({texts[x]})" for x in names) + "\n" + body
 
 
-def frame(t, name: str) -> DataFrame:
-    """One of the bound frames, in Spark."""
-    names = _needed([name], BIND)
-    given = {x: t(x) for x in _GIVEN}
-    text = "WITH " + ",\n".join(f"{x} AS ({BIND[x]})" for x in names) + f"\nSELECT * FROM {name}"
+def frame(t, name: str, texts: dict[str, str] | None = None, more: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One of the bound frames, in Spark; texts may name frames of more as tables."""
+    texts = texts or BIND
+    names = _needed([name], texts)
+    given = {x: t(x) for x in _GIVEN} | (more or {})
+    text = "WITH " + ",\n".join(f"{x} AS ({texts[x]})" for x in names) + f"\nSELECT * FROM {name}"
     spark = given["part"].sparkSession
     for x in given:  # sizes of the given tables, as numbers
         size = "(SELECT COUNT(*) FROM {" + x + "})"

@@ -100,17 +100,23 @@ def cycles(edges: DataFrame, low: int, high: int) -> DataFrame:
     return found.groupBy("node").agg(F.min("length").alias("length"))
 
 
-def closure(edges: DataFrame, most: int = 40) -> DataFrame:
-    """All (start, end) pairs joined by a path, with the least distance; stops when nothing new is found."""
+def closure(edges: DataFrame) -> DataFrame:
+    """All (start, end) pairs joined by a path, with the least distance.
+
+    Rounds double the length: what lies beyond 2^k is reached from a node at
+    exactly that distance, from which everything up to 2^k is known. It ends
+    when a round finds nothing new, however long the paths are.
+    """
     e = materialize(edges.select("src", "dst").distinct(), "closure")
     known = e.select(F.col("src").alias("start"), F.col("dst").alias("end"), F.lit(1).alias("distance"))
-    front = known
-    for depth in range(2, most + 1):
-        step = front.join(e, F.col("end") == F.col("src")).select("start", F.col("dst").alias("end")).distinct()
-        front = materialize(step.join(known, ["start", "end"], "left_anti").withColumn("distance", F.lit(depth)), "closure")
+    reach = 1
+    while True:
+        far = known.where(F.col("distance") == reach).select("start", F.col("end").alias("_at"))
+        step = far.join(known.withColumnRenamed("start", "_at"), "_at").groupBy("start", "end").agg((F.min("distance") + reach).alias("distance"))
+        front = materialize(step.join(known, ["start", "end"], "left_anti"), "closure")
         if front.isEmpty():
             break
-        known = known.unionByName(front)
+        known, reach = known.unionByName(front), 2 * reach
     return known
 
 

@@ -14,30 +14,31 @@ from skein.functions import names as N
 from skein.operators.relational import first_wins
 from skein.session import materialize
 
-#: A class's heritage is followed through so many classes at most, as a guard against endless chains.
-MOST = 40
-
 
 def lineage(heritage: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows (repo, fqcn, ancestor, depth, trail): each class, itself first, with all it extends or uses, in breadth-first order.
 
     trail sorts the ancestors of a class in the order of a breadth-first walk
     with parents in the order written; an ancestor met twice counts once, at
-    its first place. One join per level; the walk ends when no level is new.
+    its first place. Rounds double the depth: the part of a shortest way beyond
+    depth 2^k starts at a class of exactly that depth, whose own ways are known
+    as far. The walk ends when a round finds nothing, at whatever depth.
     """
-    up = heritage.where("relation IN ('extends', 'uses')").select("repo", N.norm(F.col("fqcn")).alias("_c"), N.norm(F.col("parent")).alias("_p"), "pos").distinct()
-    up = materialize(up, "heritage")
-    known = materialize(classes.select("repo", N.norm(F.col("fqcn")).alias("fqcn")).distinct().select("repo", "fqcn", F.col("fqcn").alias("ancestor"), F.lit(0).alias("depth"), F.array().cast("array<int>").alias("trail")), "lineage")
-    front = known
-    for depth in range(1, MOST):
-        up_ = up.withColumnRenamed("repo", "_r")
-        step = front.join(up_, (F.col("repo") == F.col("_r")) & (F.col("ancestor") == F.col("_c"))).select("repo", "fqcn", F.col("_p").alias("ancestor"), F.lit(depth).alias("depth"), F.concat("trail", F.array(F.col("pos").cast("int"))).alias("trail"))
-        step = step.groupBy("repo", "fqcn", "ancestor", "depth").agg(F.min("trail").alias("trail"))
+    up = heritage.where("relation IN ('extends', 'uses')").select("repo", N.norm(F.col("fqcn")).alias("fqcn"), N.norm(F.col("parent")).alias("ancestor"), F.lit(1).alias("depth"), F.array(F.col("pos").cast("int")).alias("trail"))
+    own = classes.select("repo", N.norm(F.col("fqcn")).alias("fqcn")).distinct().select("repo", "fqcn", F.col("fqcn").alias("ancestor"), F.lit(0).alias("depth"), F.array().cast("array<int>").alias("trail"))
+    known = materialize(first_wins(up.where("fqcn <> ancestor"), ["repo", "fqcn", "ancestor", "depth"], [F.col("trail")]), "lineage")
+    reach = 1
+    while True:
+        far = known.where(F.col("depth") == reach).select("repo", "fqcn", F.col("ancestor").alias("_at"), F.col("trail").alias("_trail"))
+        step = far.join(known.withColumnRenamed("fqcn", "_at"), ["repo", "_at"])
+        step = step.select("repo", "fqcn", "ancestor", (F.col("depth") + reach).alias("depth"), F.concat("_trail", "trail").alias("trail")).where("fqcn <> ancestor")
+        step = first_wins(step, ["repo", "fqcn", "ancestor"], [F.col("depth"), F.col("trail")])
         front = materialize(step.join(known.select("repo", "fqcn", "ancestor"), ["repo", "fqcn", "ancestor"], "left_anti"), "lineage")
         if front.isEmpty():
             break
-        known = known.unionByName(front)
-    return known
+        known, reach = known.unionByName(front), 2 * reach
+    met = known.join(own.select("repo", "fqcn"), ["repo", "fqcn"], "left_semi")
+    return own.unionByName(met.select(own.columns))
 
 
 def children(heritage: DataFrame) -> DataFrame:
