@@ -175,10 +175,13 @@ def nod_graph_meta(t):
 # edges
 
 
-@query(_sql(f"""SELECT {_id("calls", "caller_id", "id")} AS edge_id, caller_id AS caller_method, id AS callee_method, callee_name, resolution, line AS call_line FROM (
+_CALL_EDGES = f"""SELECT {_id("calls", "caller_id", "id")} AS edge_id, caller_id AS caller_method, id AS callee_method, callee_name, resolution, line AS call_line FROM (
   SELECT c.path, c.rk, c.ord, 0 AS sub, c.caller_id, m.id, c.callable_member AS callee_name, 'convention:callable_literal' AS resolution, c.line FROM called c JOIN files f ON f.repo = c.repo AND f.path = c.callable_path JOIN methods_ix m ON m.repo = c.repo AND m.path = c.callable_path AND m.key = lower(c.callable_owner) AND m.member = lower(c.callable_member) WHERE c.section <> 'class_refs'
   UNION ALL SELECT c.path, c.rk, c.ord, 1, c.caller_id, m.id, CASE WHEN c.name <> '' THEN c.name ELSE c.target_member END, CASE WHEN c.section = 'class_refs' AND c.via = '' THEN 'convention:array_callable' ELSE c.via END, c.line FROM called c JOIN files f ON f.repo = c.repo AND f.path = c.target_path JOIN methods_ix m ON m.repo = c.repo AND m.path = c.target_path AND m.key = lower(c.target_owner) AND m.member = lower(c.target_member) WHERE c.status = 'resolved' AND c.target_member <> '') e
-WHERE caller_id <> id QUALIFY row_number() OVER (PARTITION BY caller_id, id ORDER BY path, rk, ord, sub) = 1"""))
+WHERE caller_id <> id QUALIFY row_number() OVER (PARTITION BY caller_id, id ORDER BY path, rk, ord, sub) = 1"""
+
+
+@query(_sql(_CALL_EDGES))
 def edg_method_calls(t):
     return G.method_calls(frame(t, "records"), frame(t, "members"), frame(t, "files"))
 
