@@ -31,11 +31,11 @@ ORACLE |= {
       UNION ALL SELECT repo, path, namespace, own, 'type_hint', split_part(text, '|', 2) FROM refs WHERE kind = 'type'""",
     "strict_refs": f"""SELECT r.repo, r.path, r.own, r.kind, CASE WHEN starts_with(text, {_B}) THEN ltrim(text, {_B}) WHEN starts_with(text, 'namespace' || {_B}) THEN namespace || substring(text, 10) WHEN a.fqcn IS NOT NULL THEN a.fqcn || CASE WHEN contains(text, {_B}) THEN substring(text, strpos(text, {_B})) ELSE '' END ELSE namespace || {_B} || text END AS strict
       FROM hinted r LEFT JOIN alias_ix a ON a.repo = r.repo AND a.path = r.path AND a.alias = lower(split_part(r.text, {_B}, 1)) UNION ALL SELECT repo, path, own, 'class_ref', ltrim(text, {_B}) FROM refs WHERE kind = 'callable_string'""",
-    "owners": "SELECT norm_fqcn, list(DISTINCT repo) AS repos, min(repo) AS owner FROM reg GROUP BY 1",
-    "entry": "SELECT norm_fqcn, repo, min_by(fqcn, class_id) AS symbol, min(class_id) AS class_id FROM reg GROUP BY 1, 2",
+    "owners": "SELECT norm_fqcn, count(*) AS entries, min(repo) AS owner FROM reg GROUP BY 1",
+    "entry": "SELECT norm_fqcn, repo, min_by(fqcn, class_id) AS symbol, min(class_id) AS class_id, count(*) AS n FROM reg GROUP BY 1, 2",
     "app_refs": "SELECT * FROM strict_refs WHERE NOT list_contains(string_split(path, '/'), 'vendor')",
-    "owned_refs": "SELECT r.*, o.owner, e.symbol, e.class_id FROM app_refs r JOIN owners o ON o.norm_fqcn = lower(r.strict) JOIN entry e ON e.norm_fqcn = o.norm_fqcn AND e.repo = o.owner WHERE len(o.repos) = 1 AND o.owner <> r.repo",
-    "owned_uses": "SELECT u.repo, u.path, u.token, o.owner, e.symbol, e.class_id FROM (SELECT DISTINCT repo, path, fqcn, lower(alias) AS token FROM uses WHERE NOT list_contains(string_split(path, '/'), 'vendor')) u JOIN owners o ON o.norm_fqcn = lower(u.fqcn) JOIN entry e ON e.norm_fqcn = o.norm_fqcn AND e.repo = o.owner WHERE len(o.repos) = 1 AND o.owner <> u.repo",
+    "owned_refs": "SELECT r.*, o.owner, e.symbol, e.class_id FROM app_refs r JOIN owners o ON o.norm_fqcn = lower(r.strict) JOIN entry e ON e.norm_fqcn = o.norm_fqcn AND e.repo = o.owner WHERE o.entries = 1 AND o.owner <> r.repo",
+    "owned_uses": "SELECT u.repo, u.path, u.token, o.owner, e.symbol, e.class_id FROM (SELECT DISTINCT repo, path, fqcn, lower(alias) AS token FROM uses WHERE NOT list_contains(string_split(path, '/'), 'vendor')) u JOIN owners o ON o.norm_fqcn = lower(u.fqcn) JOIN entry e ON e.norm_fqcn = o.norm_fqcn AND e.repo = o.owner WHERE o.entries = 1 AND o.owner <> u.repo",
     "holders": "SELECT DISTINCT repo, path, fqcn AS own FROM classes WHERE fqcn <> '' AND ord % 3 = 0",
 }
 BIND["holders"] = ORACLE["holders"]
@@ -92,14 +92,14 @@ def xr_file_refs(t):
 
 _MID = _id("method", "repo", "path", "CASE WHEN fqcn <> '' THEN fqcn ELSE class_name END", "{0}")
 ORACLE |= {
-    "fn": f"SELECT lower(name) AS name, repo, min({_MID.format('name')}) AS method_id FROM functions GROUP BY 1, 2",
+    "fn": f"SELECT lower(name) AS name, repo, {_MID.format('name')} AS method_id FROM functions",
     "probed": f"""SELECT a.repo, {_MID.format('member')} AS caller_method, CASE WHEN EXISTS (SELECT 1 FROM fn WHERE fn.name = lower(a.a)) THEN lower(a.a) WHEN EXISTS (SELECT 1 FROM fn WHERE fn.name = lower(a.b)) THEN lower(a.b) END AS name FROM asked a""",
-    "fn_owner": "SELECT name, list(DISTINCT repo) AS repos, min(repo) AS owner FROM fn GROUP BY 1",
+    "fn_owner": "SELECT name, count(*) AS entries, min(repo) AS owner FROM fn GROUP BY 1",
 }
 
 
 @query(_sql(f"""SELECT {_id('xcall', 'caller_method', 'callee_method')} AS edge_id, * FROM (SELECT caller_method, fn.method_id AS callee_method, p.repo AS source_repo, o.owner AS target_repo, min(p.name) AS symbol FROM probed p JOIN fn_owner o ON o.name = p.name JOIN fn ON fn.name = p.name AND fn.repo = o.owner
-WHERE len(o.repos) = 1 AND o.owner <> p.repo AND caller_method <> fn.method_id GROUP BY 1, 2, 3, 4)"""))
+WHERE o.entries = 1 AND o.owner <> p.repo AND caller_method <> fn.method_id GROUP BY 1, 2, 3, 4)"""))
 def xr_function_calls(t):
     functions = frame(t, "functions").withColumnRenamed("name", "member").select(F.col("member").alias("name"), "repo", _method_id().alias("method_id"))
     sites = frame(t, "asked").withColumn("caller_method", _method_id())
@@ -116,7 +116,7 @@ def xr_method_calls(t):
 
 ORACLE["ends"] = """SELECT w.*, s.class_id AS s_own, t.class_id AS t_own, so.n AS s_n, st.n AS t_n, so.repo AS s_any_repo, so.id AS s_any, st.repo AS t_any_repo, st.id AS t_any FROM wires w
   JOIN (SELECT norm_fqcn, count(*) AS n, min_by(repo, (repo, class_id)) AS repo, min_by(class_id, (repo, class_id)) AS id FROM reg GROUP BY 1) so ON so.norm_fqcn = lower(w.source) JOIN (SELECT norm_fqcn, count(*) AS n, min_by(repo, (repo, class_id)) AS repo, min_by(class_id, (repo, class_id)) AS id FROM reg GROUP BY 1) st ON st.norm_fqcn = lower(w.target)
-  LEFT JOIN entry s ON s.norm_fqcn = lower(w.source) AND s.repo = w.repo LEFT JOIN entry t ON t.norm_fqcn = lower(w.target) AND t.repo = w.repo"""
+  LEFT JOIN (SELECT * FROM entry WHERE n = 1) s ON s.norm_fqcn = lower(w.source) AND s.repo = w.repo LEFT JOIN (SELECT * FROM entry WHERE n = 1) t ON t.norm_fqcn = lower(w.target) AND t.repo = w.repo"""
 
 
 @query(_sql(f"""SELECT CASE WHEN kind = 'bind' THEN {_id('xbind', 'source_class', 'target_class')} ELSE {_id('xinject', 'source_class', 'target_class')} END AS edge_id, kind, source_class, target_class, source_repo, target_repo, min(target) AS symbol FROM (
@@ -126,11 +126,22 @@ def xr_wiring(t):
     return X.wiring(frame(t, "wires"), _registry(t))
 
 
-@query(_sql(f"SELECT array_to_string(string_split(strict, {_B})[1:2], {_B}) AS prefix, count(*) AS n FROM strict_refs WHERE lower(strict) NOT IN (SELECT norm_fqcn FROM reg) GROUP BY 1 ORDER BY n DESC, prefix LIMIT 10"))
+@query(_sql(f"SELECT array_to_string(string_split(strict, {_B})[1:2], {_B}) AS prefix, count(DISTINCT strict) AS n FROM strict_refs WHERE lower(strict) NOT IN (SELECT norm_fqcn FROM reg) GROUP BY 1 ORDER BY n DESC, prefix LIMIT 10"))
 def xr_dropped(t):
     return X.dropped(X.class_references(_references(t), frame(t, "uses")), _registry(t))
 
 
+ORACLE["lost_ends"] = """SELECT lower(e.strict) AS name, CASE WHEN o.entries IS NULL THEN 'di_unowned' WHEN o.entries > 1 AND coalesce(x.n, 0) <> 1 THEN 'di_ambiguous' END AS reason FROM (SELECT repo, source AS strict FROM wires UNION ALL SELECT repo, target FROM wires) e
+  LEFT JOIN owners o ON o.norm_fqcn = lower(e.strict) LEFT JOIN entry x ON x.norm_fqcn = lower(e.strict) AND x.repo = e.repo"""
+ORACLE["classified"] = "SELECT r.*, CASE WHEN o.entries IS NULL THEN 'unowned_refs' WHEN x.n IS NOT NULL THEN 'local_definition' WHEN o.entries > 1 THEN 'ambiguous' ELSE 'owned' END AS reason FROM strict_refs r LEFT JOIN owners o ON o.norm_fqcn = lower(r.strict) LEFT JOIN entry x ON x.norm_fqcn = lower(r.strict) AND x.repo = r.repo"
+
+
+@query(_sql("""SELECT reason, '' AS name, count(*) AS n FROM classified WHERE reason IN ('unowned_refs', 'local_definition') GROUP BY 1 UNION ALL SELECT reason, '', count(*) FROM lost_ends WHERE reason IS NOT NULL GROUP BY 1
+UNION ALL SELECT 'ambiguous', norm_fqcn, count(DISTINCT repo) FROM reg WHERE norm_fqcn IN (SELECT lower(strict) FROM classified WHERE reason = 'ambiguous' UNION SELECT name FROM lost_ends WHERE reason = 'di_ambiguous') GROUP BY 2"""))
+def xr_drop_report(t):
+    return X.drop_report(X.class_references(_references(t), frame(t, "uses")), frame(t, "wires"), _registry(t))
+
+
 # migrations: the events of a user are operations on the tables of a project
 
 

@@ -38,11 +38,15 @@ def fan_out_outcomes(sites: DataFrame, candidates: DataFrame, on: str, cap: int)
 
 
 def classify_owners(refs: DataFrame, registry: DataFrame, name: str = "name", source: str = "source", owner: str = "owner") -> DataFrame:
-    """refs with status: unowned, local_definition (an own entry wins), ambiguous (several owners) or owned with its owner."""
-    owners = registry.groupBy(name).agg(F.collect_set(owner).alias("owners"))
-    out = refs.join(owners, name, "left")
-    status = F.when(F.col("owners").isNull(), "unowned").when(F.array_contains("owners", F.col(source)), "local_definition").when(F.size("owners") > 1, "ambiguous").otherwise("owned")
-    return out.withColumn("status", status).withColumn("owner", F.when(F.col("status") == "owned", F.get("owners", F.lit(0)))).drop("owners")
+    """refs with status: unowned, local_definition (an own entry wins), ambiguous (several entries, be they of one owner) or owned with its owner.
+
+    Every row of the registry is one entry; entries are counted, not gathered.
+    """
+    entries = registry.groupBy(name).agg(F.count("*").alias("_entries"), F.min(owner).alias("_owner"))
+    own = registry.select(F.col(name), F.col(owner).alias(source), F.lit(True).alias("_own")).distinct()
+    out = refs.join(entries, name, "left").join(own, [name, source], "left")
+    status = F.when(F.col("_entries").isNull(), "unowned").when(F.col("_own"), "local_definition").when(F.col("_entries") > 1, "ambiguous").otherwise("owned")
+    return out.withColumn("status", status).withColumn("owner", F.when(F.col("status") == "owned", F.col("_owner"))).drop("_entries", "_owner", "_own")
 
 
 def coupling(refs: DataFrame, source: str, target: str, kind: str, kinds: list[str]) -> DataFrame:

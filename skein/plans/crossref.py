@@ -67,10 +67,9 @@ def class_references(references: DataFrame, aliases: DataFrame) -> DataFrame:
 
 
 def _owned(refs: DataFrame, known: DataFrame) -> DataFrame:
-    """References whose name exactly one other repository defines, with its entry."""
+    """References whose name has exactly one entry, in another repository, with that entry."""
     owners = classify_owners(refs.withColumn("name", N.norm(F.col("strict"))), known.select(F.col("norm_fqcn").alias("name"), F.col("repo").alias("owner")), source="repo").where("status = 'owned'")
-    entry = first_wins(known.select("norm_fqcn", F.col("repo").alias("owner"), "fqcn", "class_id"), ["norm_fqcn", "owner"], [F.col("class_id")])
-    return owners.join(entry.select(F.col("norm_fqcn").alias("name"), "owner", F.col("fqcn").alias("symbol"), F.col("class_id").alias("target_class")), ["name", "owner"])
+    return owners.join(known.select(F.col("norm_fqcn").alias("name"), F.col("repo").alias("owner"), F.col("fqcn").alias("symbol"), F.col("class_id").alias("target_class")), ["name", "owner"])
 
 
 def cross_refs(references: DataFrame, aliases: DataFrame, known: DataFrame) -> DataFrame:
@@ -118,8 +117,7 @@ def function_calls(sites: DataFrame, candidates: list[Column], functions: DataFr
     asked = ordered_probe(sites, "site_id", [N.norm(c) for c in candidates], functions.select(N.norm(F.col("name")).alias("name")), "name").where("resolved IS NOT NULL")
     index = functions.select(N.norm(F.col("name")).alias("name"), F.col("repo").alias("owner"), "method_id")
     owned = classify_owners(asked.withColumnRenamed("resolved", "name"), index, source="repo").where("status = 'owned'")
-    target = first_wins(index, ["name", "owner"], [F.col("method_id")])
-    return _calls(owned.join(target, ["name", "owner"]).withColumn("symbol", F.col("name")))
+    return _calls(owned.join(index, ["name", "owner"]).withColumn("symbol", F.col("name")))
 
 
 def _calls(rows: DataFrame) -> DataFrame:
@@ -144,12 +142,12 @@ def method_calls(sites: DataFrame, aliases: DataFrame, declared: DataFrame, know
 def wiring(bindings: DataFrame, known: DataFrame) -> DataFrame:
     """DiBinds and DiInjects across repositories: bindings (binding_id, repo, kind, source, target) with strict names.
 
-    An end is the wiring repository's own class, else the only class of that
-    name; several make none. Pairs inside the wiring repository are left out,
+    An end is the wiring repository's own class where it has exactly one, else
+    the only class of that name; several make none. Pairs inside the wiring repository are left out,
     pairs inside a third one stay.
     """
     owners = known.groupBy("norm_fqcn").agg(F.count("*").alias("n"), F.min(F.struct("repo", "class_id")).alias("any"))
-    own = first_wins(known.select("norm_fqcn", "repo", "class_id"), ["norm_fqcn", "repo"], [F.col("class_id")])
+    own = known.groupBy("norm_fqcn", "repo").agg(F.count("*").alias("n"), F.min("class_id").alias("class_id")).where("n = 1")
     rows = bindings
     for end in ("source", "target"):
         a = owners.select(F.col("norm_fqcn").alias(f"{end}_norm"), F.col("n").alias(f"{end}_n"), F.col("any").alias(f"{end}_any"))
@@ -164,6 +162,27 @@ def wiring(bindings: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def dropped(refs: DataFrame, known: DataFrame, most: int = 10) -> DataFrame:
-    """The most frequent two-segment namespaces of references that no repository defines: rows (prefix, n)."""
+    """The most frequent two-segment namespaces among the names that no repository defines: rows (prefix, n names)."""
     lost = classify_owners(refs.withColumn("name", N.norm(F.col("strict"))), known.select(F.col("norm_fqcn").alias("name"), F.col("repo").alias("owner")), source="repo").where("status = 'unowned'")
-    return lost.groupBy(F.substring_index("strict", "\\", 2).alias("prefix")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "prefix").limit(most)
+    return lost.groupBy(F.substring_index("strict", "\\", 2).alias("prefix")).agg(F.count_distinct("strict").alias("n")).orderBy(F.desc("n"), "prefix").limit(most)
+
+
+def drop_report(refs: DataFrame, bindings: DataFrame, known: DataFrame) -> DataFrame:
+    """Everything that got no edge, and why: rows (reason, name, n).
+
+    ambiguous: a name with several entries, and in how many repositories they
+    are; unowned_refs and local_definition: references; di_unowned and
+    di_ambiguous: ends of bindings.
+    """
+    index = known.select(F.col("norm_fqcn").alias("name"), F.col("repo").alias("owner"))
+    told = classify_owners(refs.withColumn("name", N.norm(F.col("strict"))), index, source="repo")
+    counts = told.where("status IN ('unowned', 'local_definition')").groupBy(F.when(F.col("status") == "unowned", "unowned_refs").otherwise("local_definition").alias("reason")).agg(F.count("*").alias("n"))
+    ends = bindings.select("repo", F.explode(F.array("source", "target")).alias("strict")).withColumn("name", N.norm(F.col("strict")))
+    entries = index.groupBy("name").agg(F.count("*").alias("entries"), F.count_distinct("owner").alias("n"))
+    own = index.groupBy("name", F.col("owner").alias("repo")).agg(F.count("*").alias("own"))
+    met = ends.join(entries, "name", "left").join(own, ["name", "repo"], "left")
+    reason = F.when(F.col("entries").isNull(), "di_unowned").when((F.col("entries") > 1) & (F.coalesce("own", F.lit(0)) != 1), "di_ambiguous")
+    ends_lost = met.withColumn("reason", reason).where("reason IS NOT NULL")
+    several = told.where("status = 'ambiguous'").select("name").unionByName(ends_lost.where("reason = 'di_ambiguous'").select("name")).distinct().join(entries, "name")
+    counts = counts.unionByName(ends_lost.groupBy("reason").agg(F.count("*").alias("n")))
+    return counts.select("reason", F.lit("").alias("name"), "n").unionByName(several.select(F.lit("ambiguous").alias("reason"), "name", "n"))
