@@ -47,8 +47,10 @@ class ProductFilters:
     cap/sqrt(dimension). They are list-decoded: a codeword of one half can only
     matter if it and the best of the other half reach the cap together, so the
     two short lists are combined and no other direction is looked at. A vector
-    with fewer than `least` filters takes its best ones. Vectors of fewer than
-    8 dimensions have no code worth the name and all take one filter.
+    with fewer than `least` filters takes its best ones. A random rotation comes
+    first: without it a vector whose weight lies in one half would reach no
+    filter. Vectors of fewer than 8 dimensions have no code worth the name and
+    all take one filter.
     """
 
     def __init__(self, dim: int, words: int = 128, cap: float = 3.0, least: int = 8, seed: int = 3):
@@ -57,11 +59,13 @@ class ProductFilters:
         codes = [rng.normal(size=(n, words)) for n in (self.half, dim - self.half)]
         self.codes = [c / np.linalg.norm(c, axis=0) for c in codes] if self.half >= 4 else None
         self.cap = cap / np.sqrt(dim) * np.sqrt(2)
+        self.turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0] if self.codes is not None else None
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
         """The sorted filter numbers of each unit vector."""
         if self.codes is None:
             return [np.zeros(1, np.int64)] * len(unit)
+        unit = unit @ self.turn
         a, b, out = unit[:, : self.half] @ self.codes[0], unit[:, self.half :] @ self.codes[1], []
         for x, y in zip(a, b, strict=True):
             i, j = np.flatnonzero(x >= self.cap - y.max()), np.flatnonzero(y >= self.cap - x.max())
@@ -117,7 +121,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, words: int | None
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["id", "label", "v"])
 
     rows = materialize(rows.mapInArrow(packed, "id long, label string, v binary").withColumn("h", F.xxhash64("label", "v")), "vectors")
-    classes = rows.where("v IS NOT NULL").groupBy("h", "label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
+    classes = rows.where("v IS NOT NULL").groupBy("h", "label", "v").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     if cap is None or words is None:
         cap, words = sized(classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0, threshold)
 
@@ -133,9 +137,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, words: int | None
                 made = filters.setdefault(x.shape[1], ProductFilters(x.shape[1], words, cap))
                 for i, f in zip(at, made.decode(x / np.linalg.norm(x, axis=1, keepdims=True)), strict=True):
                     found[i] = f
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in ("h", "label", "v", "rep", "n")] + [pa.array(found, pa.list_(pa.int64()))], ["h", "label", "v", "rep", "n", "filters"])
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in ("h", "label", "v", "first", "n")] + [pa.array(found, pa.list_(pa.int64()))], ["h", "label", "v", "first", "n", "filters"])
 
-    classes = materialize(classes.mapInArrow(decoded, "h long, label string, v binary, rep long, n long, filters array<long>"), "classes")
+    classes = classes.mapInArrow(decoded, "h long, label string, v binary, first long, n long, filters array<long>")
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     entries = classes.select("rep", "n", "v", "filters", F.explode("filters").alias("filter"), "label")
     entries = entries.withColumn("bucket", F.xxhash64("label", F.octet_length("v"), "filter")).drop("label")
     large = entries.groupBy("bucket").count().where(F.col("count") > BLOCK).select("bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
@@ -159,9 +164,13 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, words: int | None
 
     found = materialize(entries.mapInArrow(verified, "rep long, links long, root long"), "links")
     degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    known = classes.select("h", "label", "v", "rep", "n").join(degree, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    known = known.select(F.col("h").alias("kh"), F.col("label").alias("kl"), F.col("v").alias("kv"), F.coalesce("links", F.lit(0)).alias("links"), "n", F.coalesce("component", "rep").alias("component"))
+    several = rows.where("v IS NOT NULL").select("id", "h", "label", "v").distinct().groupBy("id").count().where("count > 1").select("id")
+    tied = rows.join(several, "id", "left_semi").join(classes.select("h", "label", "v", "rep"), ["h", "label", "v"]).select("id", "rep")  # an id on several vectors ties their classes
+    tied = tied.join(tied.groupBy("id").agg(F.min("rep").alias("a")), "id").select("a", F.col("rep").alias("b"))
+    joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(tied))
+    known = classes.select("h", "label", "v", "rep", "first", "n").join(degree, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
+    known = known.join(known.groupBy("part").agg(F.min("first").alias("component")), "part")
+    known = known.select(F.col("h").alias("kh"), F.col("label").alias("kl"), F.col("v").alias("kv"), F.coalesce("links", F.lit(0)).alias("links"), "n", "component")
     out = rows.join(known, (F.col("h") == F.col("kh")) & (F.col("label") == F.col("kl")) & (F.col("v") == F.col("kv")), "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias("vec_id"), F.coalesce(F.col("links") + F.col("n") - 1, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))

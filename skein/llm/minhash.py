@@ -14,8 +14,8 @@ from skein.llm.text import mix, shingle_hashes, utf8, word_hashes
 from skein.session import materialize
 
 
-#: Least and most bits of a set's bitmap; members of a bucket that one task compares; rounds of proposals before all that is left is decided.
-BITS, MOST_BITS, BLOCK, TURNS = 2048, 1 << 17, 4096, 3
+#: Least and most bits of a set's bitmap; members of a bucket that one task compares.
+BITS, MOST_BITS, BLOCK = 2048, 1 << 17, 4096
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -65,19 +65,21 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     A text's set holds its distinct k-word shingles (A-Z folded); a text of
     fewer words is one shingle; a null text or one without words has the empty
     set and links with nothing. Texts link when 100*|intersection| >=
-    percent*|union|, always confirmed on the full sets. component_id is the
-    smallest doc_id that links reach, kept marks it. Equal sets are one class
-    from the start. Rows with the same doc_id count as one document; a null
-    doc_id links with nothing (component_id null, kept false).
+    percent*|union|, always confirmed on the full sets (of 64-bit shingle
+    hashes). component_id is the smallest doc_id that links reach, kept marks
+    it. Equal sets are one class from the start, and all work is done by class:
+    a doc_id that stands on several texts belongs to several classes, which it
+    ties together. A null doc_id links with nothing (component_id null, kept
+    false).
 
     Candidates are the classes that share a band (at similarity 0.8, 40 bands
     of 5 miss one pair in ten million). First every member of a bucket is held
     against its least member. Then, as long as a bucket holds several
-    components, it proposes a forest of the closest pairs between them that a
-    bitmap of the sets cannot rule out, and full sets decide; proposals that
-    failed are not made again. It ends when no pair is left that could link, so
-    no link between candidates is lost, and what is written grows with the
-    members of a bucket, not with their pairs.
+    components, it proposes the closest pairs between them that a bitmap of the
+    sets cannot rule out: one forest over the components, then four, sixteen
+    and so on, and full sets decide; proposals that failed are not made again.
+    It ends when no pair is left that could link, so no link between candidates
+    is lost.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
@@ -87,24 +89,28 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 sets = shingle_sets(part.column(1), k)
-                one = np.array([np.bitwise_xor.reduce(mix(s)) if len(s) else 0 for s in sets], np.uint64)
-                two = np.array([np.add.reduce(mix(s + np.uint64(9))) if len(s) else 0 for s in sets], np.uint64)
                 keys = [maker.keys(s) if len(s) else None for s in sets]
-                cols = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array([bitmap(s) for s in sets], pa.binary())]
+                cols = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), *_digests(sets), pa.array(keys, pa.list_(pa.int64())), pa.array([bitmap(s) for s in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, ["id", "n", "h1", "h2", "keys", "bits"])
 
     signs = materialize(source.mapInArrow(signed, "id long, n long, h1 long, h2 long, keys array<long>, bits binary"), "signatures")
     usable = signs.where("n > 0 AND id IS NOT NULL")
-    classes = usable.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"))
-    same_id = usable.groupBy("id", "h1", "h2", "n").agg(F.count("*").alias("times"))  # an id with several texts ties them
-    tied = same_id.join(classes, ["h1", "h2", "n"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    leaders = usable.join(classes.withColumnRenamed("rep", "id"), ["id", "h1", "h2", "n"], "left_semi").dropDuplicates(["id", "h1", "h2", "n"])
-    entries = materialize(leaders.select(F.col("id").alias("rep"), "n", F.explode("keys").alias("key")), "bands")
+    classes = usable.groupBy("h1", "h2", "n").agg(F.min("id").alias("first")).withColumn("rep", F.monotonically_increasing_id())
+    classes = materialize(classes, "classes")
+    tied = usable.select("id", "h1", "h2", "n").distinct().join(classes, ["h1", "h2", "n"]).select("id", "rep")  # an id with several texts ties their classes
+    tied = tied.join(tied.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("_z")).where("a < _z"), "id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    leaders = usable.join(classes.withColumnRenamed("first", "id"), ["id", "h1", "h2", "n"]).select("rep", "id", "n", "keys", "bits")
+    entries = materialize(leaders.select("rep", "n", F.explode("keys").alias("key")).distinct(), "bands")
     shared = entries.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select(F.col("key").alias("k"))
     buckets = materialize(entries.join(shared, F.col("key") == F.col("k")).select("key", "rep", "n"), "buckets")
-    wanted = buckets.select("rep").distinct()
-    sets = materialize(_packed_sets(source.join(wanted, F.col("id") == F.col("rep"), "left_semi"), k), "sets")
-    maps = materialize(usable.select("id", "bits").join(wanted, F.col("id") == F.col("rep"), "left_semi").dropDuplicates(["id"]).withColumnRenamed("id", "who"), "bitmaps")
+    wanted = materialize(classes.join(buckets.select("rep").distinct(), "rep", "left_semi"), "wanted")
+    several = usable.groupBy("id").count().where("count > 1").select(F.col("id").alias("first"))
+    once, more = wanted.join(several, "first", "left_anti"), wanted.join(several, "first", "left_semi")
+    sets = _packed_sets(source.join(once, F.col("id") == F.col("first")).select("rep", "text"), k)
+    again = _packed_sets(source.join(more.select("first").distinct(), F.col("id") == F.col("first"), "left_semi").select(F.col("id").alias("rep"), "text"), k).withColumnsRenamed({"rep": "first"})
+    sets = sets.select("rep", "shingles").unionByName(again.join(more, ["first", "h1", "h2", "n"]).select("rep", "shingles").dropDuplicates(["rep"]))
+    sets = materialize(sets.withColumnRenamed("rep", "id"), "sets")
+    maps = materialize(leaders.join(wanted.select("rep"), "rep", "left_semi").select(F.col("rep").alias("who"), "bits").dropDuplicates(["who"]), "bitmaps")
 
     least = buckets.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("c")).select(F.col("key").alias("k"), F.col("c.rep").alias("a"), F.col("c.n").alias("an"))
     pairs = buckets.join(least, F.col("key") == F.col("k")).where(F.col("rep") > F.col("a")).where(100 * F.least("n", "an") >= percent * F.greatest("n", "an")).select("a", F.col("rep").alias("b"))
@@ -118,18 +124,18 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(F.col("key").alias("k"))
         now = materialize(now.join(mixed, F.col("key") == F.col("k"), "left_semi").join(maps, F.col("rep") == F.col("who")).drop("who"), "mixed")
         turn += 1
-        pairs = materialize(_proposed(now, failed, percent, turn > TURNS), "pairs")
+        pairs = materialize(_proposed(now, failed, percent, 4 ** (turn - 1)), "pairs")
         if pairs.isEmpty():
             break
         found = materialize(_confirmed(pairs, sets, percent), "confirmed")
         failed = failed.unionByName(materialize(pairs.join(found, ["a", "b"], "left_anti"), "failed"))
         if not found.isEmpty():
             labels = _merged(labels, found)
-        if turn > TURNS:
-            break
-    ids = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.col("n").alias("cn"), F.coalesce("component", "rep").alias("component"))
-    out = signs.join(ids, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("n") == F.col("cn")) & F.col("id").isNotNull(), "left")
-    component = F.coalesce("component", "id")
+    ids = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
+    least = ids.groupBy("label").agg(F.min("first").alias("component"))
+    ids = ids.join(least, "label").select("h1", "h2", "n", "component")
+    out = signs.select("id", "n", "h1", "h2").join(ids, ["h1", "h2", "n"], "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
 
@@ -171,8 +177,8 @@ def folded(bits: list[bytes]) -> dict[int, np.ndarray]:
     return out
 
 
-def _proposed(members: DataFrame, failed: DataFrame, percent: int, everything: bool) -> DataFrame:
-    """Pairs (a, b) for the full sets to decide: a forest of the closest pairs between a bucket's components, or all.
+def _proposed(members: DataFrame, failed: DataFrame, percent: int, forests: int) -> DataFrame:
+    """Pairs (a, b) for the full sets to decide: so many forests of the closest pairs between a bucket's components, one after the other.
 
     members are rows (key, rep, n, label, bits) of buckets with several
     components. Pairs that failed before, and those whose sizes or bitmaps
@@ -197,14 +203,14 @@ def _proposed(members: DataFrame, failed: DataFrame, percent: int, everything: b
             end = int(differs[-1]) + 1 if len(differs) else 0
             held = t.slice(end)  # the last bucket may go on
             if end:
-                yield _closest(t.slice(0, end), percent, everything)
+                yield _closest(t.slice(0, end), percent, forests)
         if held is not None and held.num_rows:
-            yield _closest(held, percent, everything)
+            yield _closest(held, percent, forests)
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _closest(t: pa.Table, percent: int, everything: bool) -> pa.RecordBatch:
+def _closest(t: pa.Table, percent: int, forests: int) -> pa.RecordBatch:
     """Pairs (a, b) of whole buckets, or blocks of them, that only the full sets can decide; see _proposed."""
     key = np.stack([t.column(c).to_numpy() for c in ("key", "low", "high")], 1)
     block, rep, n = (t.column(c).to_numpy() for c in ("block", "rep", "n"))
@@ -251,9 +257,12 @@ def _closest(t: pa.Table, percent: int, everything: bool) -> pa.RecordBatch:
             near_j.append(j[fits])
             near_d.append(apart[fits])
         i, j, d = (np.concatenate(v) for v in (near_i, near_j, near_d))
-        if not everything:  # a forest of the closest pairs over the components
-            keep, roots = [], list(range(len(names)))
-            for e in np.argsort(d, kind="stable").tolist():
+        keep, left = [], np.argsort(d, kind="stable").tolist()
+        for _ in range(forests):  # each a forest of the closest pairs left
+            if not left:
+                break
+            roots, rest = list(range(len(names))), []
+            for e in left:
                 p, q = int(groups[i[e]]), int(groups[j[e]])
                 while roots[p] != p:
                     p = roots[p]
@@ -262,23 +271,34 @@ def _closest(t: pa.Table, percent: int, everything: bool) -> pa.RecordBatch:
                 if p != q:
                     roots[max(p, q)] = min(p, q)
                     keep.append(e)
-            i, j = i[keep], j[keep]
+                else:
+                    rest.append(e)
+            left = rest
+        i, j = i[keep], j[keep]
         out_a.append(who[i])
         out_b.append(who[j])
     a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (out_a, out_b))
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def _packed_sets(docs: DataFrame, k: int) -> DataFrame:
-    """Rows (id, shingles): the full set of each text, packed."""
+def _digests(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+    """Two 64-bit digests of each set; with its size they name its class."""
+    one = np.array([np.bitwise_xor.reduce(mix(s)) if len(s) else 0 for s in sets], np.uint64)
+    two = np.array([np.add.reduce(mix(s + np.uint64(9))) if len(s) else 0 for s in sets], np.uint64)
+    return pa.array(one.view(np.int64)), pa.array(two.view(np.int64))
+
+
+def _packed_sets(texts: DataFrame, k: int) -> DataFrame:
+    """texts (rep, text) as rows (rep, n, h1, h2, shingles): the full set of each text, packed, and what names its class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in shingle_sets(part.column(1), k)], pa.binary())], ["id", "shingles"])
+                sets = shingle_sets(part.column(1), k)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), *_digests(sets), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "n", "h1", "h2", "shingles"])
 
-    return docs.mapInArrow(run, "id long, shingles binary")
+    return texts.mapInArrow(run, "rep long, n long, h1 long, h2 long, shingles binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

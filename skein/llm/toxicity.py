@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -241,10 +242,11 @@ def score(docs: DataFrame, model: CompressionClassifier, threshold: float = 0.7,
 
 def reject(docs: DataFrame, model: CompressionClassifier, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows of docs that score below threshold, with all their columns; nothing is shuffled."""
+    scored = f"_scored_{uuid.uuid4().hex}"  # a name that no column of docs bears
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s = [model.score((x.as_py() or "").encode()) < threshold for x in batch.column("_text")]
-            yield batch.filter(pa.array(s, pa.bool_())).drop_columns(["_text"])
+            s = [model.score((x.as_py() or "").encode()) < threshold for x in batch.column(scored)]
+            yield batch.filter(pa.array(s, pa.bool_())).drop_columns([scored])
 
-    return docs.withColumn("_text", F.col(text_col).cast("string")).mapInArrow(run, docs.schema)
+    return docs.withColumn(scored, F.col(text_col).cast("string")).mapInArrow(run, docs.schema)

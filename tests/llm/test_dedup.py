@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -217,3 +218,38 @@ def test_bitmaps_bound_the_difference():
         narrow = maps[min(maps)]
         apart = int(np.bitwise_count(narrow[0] ^ narrow[1]).sum())
         assert apart <= len(np.setxor1d(a, b)) and (n < 100 or apart > 0.2 * len(np.setxor1d(a, b)))
+
+
+def test_an_id_on_several_texts_loses_no_link(spark):
+    """Rows of one id with different texts are judged one by one, in whatever order they stand."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(60)]
+    far = [(i, " ".join([w if rng.random() > 0.25 else f"x{i}_{j}" for j, w in enumerate(base)])) for i in range(1, 121)]
+    other = " ".join(f"a{i}" for i in range(60))
+    near = " ".join([*base[:-1], "end"])
+    told = []
+    for two in ([(500, other), (500, " ".join(base))], [(500, " ".join(base)), (500, other)]):
+        rows = [*far, *two, (900, near), (901, other + " tail")]
+        out = minhash.near_documents(spark.createDataFrame(rows, "doc_id long, text string"), k=2)
+        got = {(r.doc_id, r.component_id, r.kept) for r in out.where("doc_id >= 500").collect()}
+        sets = [(i, {tuple(t.split()[j : j + 2]) for j in range(len(t.split()) - 1)}) for i, t in rows]
+        part = {i: i for i, _ in rows}
+        links = [(i, j) for a, (i, x) in enumerate(sets) for j, y in sets[:a] if 100 * len(x & y) >= 80 * len(x | y)]
+        for _ in rows:
+            for i, j in links:
+                part[i] = part[j] = min(part[i], part[j])
+        assert got == {(i, part[i], i == part[i]) for i, _ in rows if i >= 500}
+        assert part[900] == part[500] == part[901]
+        told.append(got)
+    assert told[0] == told[1]
+
+
+def test_an_id_on_several_vectors(spark):
+    """Links are counted for each vector; its id ties the groups."""
+    x, y = [1.0] + [0.0] * 15, [0.0, 1.0] + [0.0] * 14
+    near = lambda v, e: [a + (e if i == 5 else 0) for i, a in enumerate(v)]
+    rows = [(1, x, 0), (1, y, 0), (2, near(x, 0.1), 0), (3, near(y, 0.1), 0), (3, near(y, 0.1), 0), (4, near(x, 0.15), 0), (5, [0.0] * 15 + [1.0], 0)]
+    for order in (rows, rows[::-1]):
+        out = embeddings.near_vectors(spark.createDataFrame(order, "vec_id long, embedding array<float>, label int"))
+        got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in out.collect())
+        assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (3, 2, 1, False), (4, 2, 1, False), (5, 0, 5, True)]

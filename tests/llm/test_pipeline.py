@@ -80,3 +80,14 @@ def test_run_and_empty(spark, folder, tmp_path):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert re.match("toxicity", corpus_pipeline.STAGES[0][0])
+
+
+def test_clashing_column_names(spark):
+    """Columns of any name pass the stages that keep rows."""
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text, "a", "b"), (2, text, "c", "d"), (3, None, None, None)], "doc_id long, text string, _text string, _gone string")
+    model = type("Never", (), {"score": staticmethod(lambda raw: 0.0)})()
+    kept = corpus_pipeline.toxicity.reject(docs, model)
+    assert kept.columns == docs.columns and kept.count() == 3
+    left = corpus_pipeline.drop_near_documents(spark, docs, "")
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 3]
