@@ -41,8 +41,8 @@ def drop_near_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """One document, the one of least doc_id, of each group of near-duplicates; all documents without words or id."""
     prepare(spark)
     found = minhash.near_documents(docs, k=5)
-    gone = materialize(found.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = materialize(found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "gone")
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
