@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -208,3 +208,29 @@ def gate(scored: DataFrame, covered: DataFrame, wrong: DataFrame, least: float =
     percent = lambda df, c, name: df.agg(F.round(F.avg(F.col(c).cast("int")) * 100, 2).alias(name))
     row = percent(scored, "correct", "accuracy").crossJoin(percent(covered, "covered", "coverage")).crossJoin(wrong.agg(F.count("*").alias("wrong_edges")))
     return row.withColumn("passed", F.coalesce((F.col("accuracy") >= least) & (F.col("coverage") >= least), F.lit(False)) & (F.col("wrong_edges") == 0))
+
+
+#: Where a text's lines end.
+LINE_END = "\\r\\n|[\\n\\r\\x0B\\f\\x1C-\\x1E\\x85\\u2028\\u2029]"
+
+
+def expression_positions(cases: DataFrame, texts: DataFrame) -> DataFrame:
+    """cases (case_id, repo, path, expr, occurrence) with line, span_start and span_end of the occurrence-th place of expr in texts (repo, path, text).
+
+    Occurrences are counted line by line without overlaps; within the line that
+    reaches the count, places may overlap. Lines count from 1, spans from 0, end
+    exclusive. All three are null without a text or so many occurrences, for an
+    occurrence below 1 and for an empty or null expression. Only lines that hold
+    an expression are counted up, so a long file costs its matches.
+    """
+    wanted = cases.where("expr <> '' AND occurrence >= 1").select("repo", "path", "expr").distinct()
+    lines = wanted.join(texts.where("text IS NOT NULL"), ["repo", "path"]).select("repo", "path", "expr", F.posexplode(F.split("text", LINE_END)).alias("no", "content"))
+    lines = lines.where(F.expr("contains(content, expr)"))
+    n = ((F.length("content") - F.length(F.replace(F.col("content"), F.col("expr")))) / F.length("expr")).cast("long")
+    upto = F.sum("n").over(Window.partitionBy("repo", "path", "expr").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = lines.withColumn("n", n).withColumn("upto", upto)
+    met = cases.join(counted, ["repo", "path", "expr"]).where("occurrence > upto - n AND occurrence <= upto")
+    starts = F.filter(F.sequence(F.lit(1), F.length("content") - F.length("expr") + 1), lambda p: F.substring(F.col("content"), p, F.length("expr")) == F.col("expr"))
+    start = F.element_at(starts, (F.col("occurrence") - F.col("upto") + F.col("n")).cast("int")) - 1
+    found = met.select("case_id", (F.col("no") + 1).alias("line"), start.alias("span_start"), (start + F.length("expr")).alias("span_end"))
+    return cases.select("case_id").join(found, "case_id", "left")

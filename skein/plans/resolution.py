@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import conventions as C
 from skein.functions import names as N
-from skein.operators.relational import first_wins
+from skein.operators.relational import classify_owners, first_wins
 from skein.plans.crossref import candidate_names
 from skein.plans.resolve import lineage
 from skein.session import materialize
@@ -98,8 +98,9 @@ class Entities:
 class Index:
     """Lookups over entities, each written once when it is first read."""
 
-    def __init__(self, entities: Entities):
-        self.e = entities
+    def __init__(self, entities: Entities, promoted: bool = False):
+        """With promoted, parameters of a constructor give properties of their name a type, after all other sources."""
+        self.e, self.promoted = entities, promoted
 
     @cached_property
     def classes(self) -> DataFrame:
@@ -275,8 +276,11 @@ class Index:
         table = C.default_table(F.col("fqcn"))
         tables = self.e.classes.where(table.isNotNull()).select("repo", "path", F.col("name").alias("class_name"), "fqcn", N.norm(table).alias("key")).join(self.classes.select("repo", "key", F.col("name").alias("table")), ["repo", "key"])
         tables = tables.select(*CLASS, N.norm(F.regexp_replace("table", "Table$", "")).alias("prop"), F.lit(2).alias("rank"), F.lit(0).cast("long").alias("at"), "key")
+        if self.promoted:
+            given = self.meaning(self.e.params.where("member = '__construct'").withColumn("text", _bare(F.col("type"))), "text", key="key").where("key IS NOT NULL")
+            tables = tables.unionByName(given.select(*CLASS, N.norm(F.regexp_replace("name", r"^\$", "")).alias("prop"), F.lit(3).alias("rank"), F.col("pos").cast("long").alias("at"), "key"))
         best = first_wins(declared.unionByName(loaders).unionByName(tables), [*CLASS, "prop"], [F.col("rank"), F.col("at")])
-        return materialize(best.select(*CLASS, "prop", "key", F.element_at(F.array(*map(F.lit, ["declared", "loader", "default_table"])), F.col("rank") + 1).alias("source")), "property_types")
+        return materialize(best.select(*CLASS, "prop", "key", F.element_at(F.array(*map(F.lit, ["declared", "loader", "default_table", "promoted"])), F.col("rank") + 1).alias("source")), "property_types")
 
     @cached_property
     def returns(self) -> DataFrame:
@@ -372,9 +376,11 @@ class Calls:
     in rounds; within a round everything is a join.
     """
 
-    def __init__(self, ix: Index):
-        self.ix = ix
-        self.strings = materialize(string_targets(ix), "strings")
+    def __init__(self, ix: Index, literals: bool = True, forwarding: bool = True):
+        """Without literals, loader calls give their result no type; without forwarding, a caught call stays at the magic method."""
+        self.ix, self.forwarding = ix, forwarding
+        strings = string_targets(ix)
+        self.strings = materialize(strings if literals else strings.select(*SITE, *[F.lit(None).cast(t).alias(c) for c, t in strings.dtypes if c not in SITE]), "strings")
         self._link()
         self._run()
 
@@ -510,7 +516,7 @@ class Calls:
         # members, by the receiver's type
         static = (F.col("kind") == "static") & ~F.col("receiver").isin("parent", "self", "static")
         s = ix.walk(s, "type", F.col("name"), static)
-        s = s.withColumns({"key": F.col("type"), "has": N.norm(F.col("name"))}).join(ix.forwarded, ["repo", "key", "has"], "left").drop("key", "has")
+        s = s.withColumns({"key": F.col("type"), "has": N.norm(F.col("name"))}).join(ix.forwarded if self.forwarding else ix.forwarded.limit(0), ["repo", "key", "has"], "left").drop("key", "has")
         # an interface's method that was located, at the concrete class
         one = F.col("_one")
         s = ix.walk(s.withColumnsRenamed({"rule": "_rule", "hit": "_hit"}), "type", one["name"], F.lit(False)).withColumnsRenamed({"rule": "_c_rule", "hit": "_c_hit"}).withColumnsRenamed({"_rule": "rule", "_hit": "hit"})
@@ -628,3 +634,29 @@ def records(ix: Index, calls: Calls) -> tuple[DataFrame, DataFrame]:
     paths = ix.classes.select("repo", F.col("key").alias("_key"), F.col("path").alias("_path"))
     some = some.withColumn("_key", N.norm(F.col("c.owner"))).join(paths, ["repo", "_key"], "left")
     return out, some.select(*FILE, "section", "ord", F.col("pos").cast("long").alias("pos"), F.coalesce(F.nullif("c.target_path", F.lit("")), "_path").alias("target_path"), F.col("c.owner").alias("target_owner"), F.col("c.name").alias("target_member"))
+
+
+def cross_method_calls(entities: Entities, known: DataFrame) -> DataFrame:
+    """CrossRepoCalls of methods: every site typed over the classes of all repositories together, chains of calls included.
+
+    The callee must be declared by a class with exactly one entry in known
+    (norm_fqcn, repo, fqcn, class_id), in another repository; vendor copies
+    define nothing. Sites are method, nullsafe and static calls with a name;
+    properties may take their type from constructor parameters.
+    """
+    app = {}
+    for name in Entities.__dataclass_fields__:
+        rows = getattr(entities, name).where(N.origin(F.col("path")) == "app")
+        rows = rows.withColumns({"path": F.concat("repo", F.lit(":"), "path"), "repo": F.lit("*")})
+        app[name] = rows.limit(0) if name == "located" else rows
+    app["sites"] = app["sites"].where("kind IN ('method', 'nullsafe', 'static') AND name <> '' AND NOT coalesce(dynamic, false)")
+    ix = Index(Entities(**app), promoted=True)
+    calls = Calls(ix, literals=False, forwarding=False).records.where("target_member <> ''")
+    found = calls.select(F.substring_index("path", ":", 1).alias("repo"), F.regexp_replace("path", "^[^:]*:", "").alias("path"), "class_name", "fqcn", "member", "target_owner", "target_member", "target_path")
+    caller = N.make_id("method", F.col("repo"), F.col("path"), F.when(F.col("fqcn") != "", F.col("fqcn")).otherwise(F.col("class_name")), F.col("member"))
+    refs = found.select("repo", caller.alias("caller_method"), N.norm(F.col("target_owner")).alias("name"), "target_owner", "target_member", F.regexp_replace("target_path", "^[^:]*:", "").alias("callee_path"))
+    owned = classify_owners(refs, known.select(F.col("norm_fqcn").alias("name"), F.col("repo").alias("owner")), source="repo").where("status = 'owned'")
+    callee = N.make_id("method", F.col("owner"), F.col("callee_path"), F.col("target_owner"), F.col("target_member"))
+    edges = owned.select("caller_method", callee.alias("callee_method"), F.col("repo").alias("source_repo"), F.col("owner").alias("target_repo"), F.concat_ws("::", "target_owner", "target_member").alias("symbol"))
+    best = edges.groupBy("caller_method", "callee_method", "source_repo", "target_repo").agg(F.min("symbol").alias("symbol"))
+    return best.select(N.make_id("xcall", F.col("caller_method"), F.col("callee_method")).alias("edge_id"), "*")

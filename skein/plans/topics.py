@@ -7,10 +7,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.functions.names import origin
+from skein.functions.names import origin, truncate
+from skein.operators.relational import first_wins
+from skein.session import materialize
 
 
 def topic_inputs(files: DataFrame, each: int = 300) -> DataFrame:
@@ -30,6 +32,64 @@ def directory_inputs(files: DataFrame, each: int = 1500) -> DataFrame:
     return rows.groupBy(F.array_join(F.slice("p", F.lit(1), F.col("depth")), "/").alias("dir"), "depth").agg(F.sum(F.least("n", F.lit(each))).cast("long").alias("chars"), F.count("*").alias("files"))
 
 
+def bounded_concat(rows: DataFrame, keys: list[str], order: list[Column], text: str, separator: str, limit: int) -> DataFrame:
+    """keys with text: the rows' texts in order, joined, cut to limit characters.
+
+    Running lengths decide first which rows lie within the limit; only those
+    are gathered, so a group costs the limit and not its rows.
+    """
+    before = F.sum(F.length(text) + len(separator)).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.select(*keys, F.coalesce(before, F.lit(0)).alias("_at"), F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).alias("_no"), F.substring(text, 1, limit).alias("_text")).where(F.col("_at") < limit)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_no", "_text"))), lambda x: x["_text"]), separator)
+    return placed.groupBy(*keys).agg(F.substring(joined, 1, limit).alias(text))
+
+
+def directory_texts(files: DataFrame, summarize, each: int = 1500, limit: int = 200_000) -> DataFrame:
+    """Rows (repo, dir, depth, text, summary) of every directory, deepest level first, from files (repo, path, summary).
+
+    A directory's text lists its files, then its subdirectories, each as
+    '**name**: summary' with the summary cut to `each`; its own summary is
+    summarize(text), a column expression, and goes into its parent's text. The
+    root is ''. Files and directories without a summary are left out, and so
+    are directories with nothing to list. One job a level; every level is
+    written, so an executor that is lost costs one.
+    """
+    parts = F.split("path", "/")
+    rows = files.where("summary <> ''").select("repo", F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/").alias("dir"), F.size(parts).alias("level"), F.lit(0).alias("kind"), F.element_at(parts, -1).alias("name"), "summary")
+    rows = materialize(rows, "summaries")
+    deepest = rows.agg(F.max("level")).first()[0] or 0
+    done, below = None, None
+    for level in range(deepest, 0, -1):
+        here = rows.where(F.col("level") == level)
+        here = here if below is None else here.unionByName(below)
+        line = F.concat(F.lit("**"), "name", F.lit("**: "), truncate(F.col("summary"), each))
+        text = bounded_concat(here.withColumn("text", line), ["repo", "dir"], [F.col("kind"), F.col("name")], "text", "\n\n", limit)
+        text = materialize(text.select("repo", "dir", F.lit(level - 1).alias("depth"), "text", summarize(F.col("text")).alias("summary")), "directories")
+        done = text if done is None else done.unionByName(text)
+        up = F.split("dir", "/")
+        below = text.where("dir <> '' AND summary <> ''").select("repo", F.array_join(F.slice(up, F.lit(1), F.size(up) - 1), "/").alias("dir"), F.lit(level - 1).alias("level"), F.lit(1).alias("kind"), F.element_at(up, -1).alias("name"), "summary")
+    return done if done is not None else rows.select("repo", "dir", F.lit(0).alias("depth"), F.col("summary").alias("text"), "summary")
+
+
+def topic_prompts(linked: DataFrame, files: DataFrame, each: int = 15_000, limit: int = 200_000, short: int = 500) -> DataFrame:
+    """Rows (topic, contents, summaries) from linked (topic, name) and files (ord, path, text, summary).
+
+    Names are base names and mean the first file that bears them. Contents hold
+    '### name' and the text's first `each` characters in a fence, by name, cut
+    to limit as a whole; summaries hold '**name**: summary', cut to `short`
+    each. A topic whose files are all missing has empty texts.
+    """
+    named = files.select(F.substring_index("path", "/", -1).alias("name"), "ord", "text", "summary")
+    first = first_wins(named, ["name"], [F.col("ord")]).drop("ord")
+    met = linked.select("topic", "name").distinct().join(first, "name")
+    fence = F.concat(F.lit("### "), "name", F.lit("\n```\n"), F.substring("text", 1, each), F.lit("\n```"))
+    contents = bounded_concat(met.where("text IS NOT NULL").withColumn("contents", fence), ["topic"], [F.col("name")], "contents", "\n\n", limit)
+    line = F.concat(F.lit("**"), "name", F.lit("**: "), truncate(F.col("summary"), short))
+    summaries = bounded_concat(met.where("summary <> ''").withColumn("summaries", line), ["topic"], [F.col("name")], "summaries", "\n\n", limit)
+    out = linked.select("topic").distinct().join(contents, "topic", "left").join(summaries, "topic", "left")
+    return out.select("topic", F.coalesce("contents", F.lit("")).alias("contents"), F.coalesce("summaries", F.lit("")).alias("summaries"))
+
+
 def topic_texts(linked: DataFrame, files: DataFrame, each: int = 15000) -> DataFrame:
     """Per topic: its distinct linked files that exist, and their characters, cut to `each`."""
     met = linked.distinct().join(files.where("text IS NOT NULL").select("path", F.least(F.length("text"), F.lit(each)).alias("n")), "path")

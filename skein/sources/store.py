@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DecimalType, MapType, StructField, StructType
 
 from skein.operators.relational import last_wins
 from skein.session import materialize
@@ -31,6 +32,118 @@ def pending(current: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return current.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def stale_files(files: DataFrame, state: DataFrame, version: int, links: DataFrame) -> DataFrame:
+    """files (repo, path, mtime) with stale: whether their stored results cannot be reused.
+
+    state holds (repo, path, mtime, version) of what is stored, links (repo,
+    path, target_path) which files a file's results were found in. A file is
+    stale where nothing is stored for its time and this version, and where it
+    depends, over any number of links, on a stale file or on one that is gone.
+    A null time never matches.
+    """
+    kept = files.join(state.where(F.col("version") == version).select("repo", "path", "mtime").distinct(), ["repo", "path", "mtime"], "left_semi")
+    gone = state.select("repo", "path").distinct().join(files.select("repo", "path"), ["repo", "path"], "left_anti")
+    fresh = files.select("repo", "path").join(kept.select("repo", "path"), ["repo", "path"], "left_anti")
+    known = materialize(fresh.unionByName(gone).distinct(), "stale")
+    users = materialize(links.where("path <> target_path").select("repo", F.col("target_path").alias("_at"), "path").distinct(), "users")
+    front = known
+    while True:
+        step = front.withColumnRenamed("path", "_at").join(users, ["repo", "_at"]).select("repo", "path").distinct()
+        front = materialize(step.join(known, ["repo", "path"], "left_anti"), "stale")
+        if front.isEmpty():
+            break
+        known = known.unionByName(front)
+    return files.join(known.withColumn("stale", F.lit(True)), ["repo", "path"], "left").withColumn("stale", F.coalesce("stale", F.lit(False)))
+
+
+def merge_results(files: DataFrame, stored: DataFrame, computed: DataFrame, version: int) -> DataFrame:
+    """Results of all files: stored rows of those that are not stale, computed rows of the others, stamped with time and version.
+
+    files comes from stale_files; stored and computed hold rows (repo, path, ..);
+    results of files that are gone are left out.
+    """
+    columns = [c for c in computed.columns if c not in ("mtime", "version")]
+    good = files.where("NOT stale").select("repo", "path", "mtime")
+    bad = files.where("stale").select("repo", "path", "mtime")
+    rows = stored.select(columns).join(good, ["repo", "path"]).unionByName(computed.select(columns).join(bad, ["repo", "path"]))
+    return rows.withColumn("version", F.lit(version))
+
+
+#: Types in the order in which values may widen without loss.
+WIDER = [["tinyint", "smallint", "int", "bigint"], ["tinyint", "smallint", "int", "double"], ["float", "double"], ["date", "timestamp_ntz"], ["date", "timestamp"]]
+
+
+def schema_changes(have: DataType, want: DataType, at: str = "") -> list[tuple[str, str, str, str]]:
+    """Differences (column, change, have, want) between two schemas: add, widen, conflict, or extra; nested columns are dotted.
+
+    Columns compare without case. extra columns stay as they are. A column that
+    must not be null cannot be added to rows that exist, nor may one that holds
+    nulls become so: both are conflicts.
+    """
+    out = []
+    if isinstance(have, StructType) and isinstance(want, StructType):
+        old = {f.name.lower(): f for f in have}
+        for f in want:
+            name, mine = f"{at}{f.name}", old.pop(f.name.lower(), None)
+            if mine is None:
+                out.append((name, "add" if f.nullable else "conflict", "", f.dataType.simpleString()))
+            elif mine.nullable and not f.nullable:
+                out.append((name, "conflict", f"{mine.dataType.simpleString()} null", f"{f.dataType.simpleString()} not null"))
+            else:
+                out += schema_changes(mine.dataType, f.dataType, f"{name}.")
+        return out + [(f"{at}{f.name}", "extra", f.dataType.simpleString(), "") for f in old.values()]
+    if isinstance(have, ArrayType) and isinstance(want, ArrayType):
+        return schema_changes(have.elementType, want.elementType, f"{at}element.")
+    if isinstance(have, MapType) and isinstance(want, MapType):
+        return schema_changes(have.keyType, want.keyType, f"{at}key.") + schema_changes(have.valueType, want.valueType, f"{at}value.")
+    a, b = have.simpleString(), want.simpleString()
+    if a == b:
+        return []
+    decimals = isinstance(have, DecimalType) and isinstance(want, DecimalType) and want.scale >= have.scale and want.precision - want.scale >= have.precision - have.scale
+    wider = decimals or any(a in order and b in order and order.index(a) < order.index(b) for order in WIDER)
+    return [(at.rstrip("."), "widen" if wider else "conflict", a, b)]
+
+
+def migrate_table(spark: SparkSession, path: str, want: StructType, partition: list[str] | None = None) -> list[tuple[str, str, str, str]]:
+    """Bring the parquet table at path to the wanted schema and say what changed; a missing table is created empty.
+
+    Added columns are null, widened ones cast, extra ones kept at the end. Any
+    conflict raises before anything is written. Rows are written beside the
+    table and then in its place, so a failed job leaves it as it was.
+    """
+    try:
+        old = spark.read.parquet(path)
+    except AnalysisException:
+        spark.createDataFrame([], want).write.parquet(path)
+        return [(f.name, "add", "", f.dataType.simpleString()) for f in want]
+    readable = StructType([f if f.nullable else StructField(f.name, f.dataType, True) for f in want])  # files do not keep what must not be null
+    changes = schema_changes(old.schema, readable)
+    if wrong := [c for c in changes if c[1] == "conflict"]:
+        raise ValueError("; ".join(f"{column}: {a} cannot become {b}" for column, _, a, b in wrong))
+    if not any(c[1] in ("add", "widen") for c in changes):
+        return changes
+    names = {c.lower(): c for c in old.columns}
+    columns = [(F.col(f"`{names[f.name.lower()]}`") if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name) for f in want]
+    wanted = {f.name.lower() for f in want}
+    rows = materialize(old.select(*columns, *[F.col(f"`{c}`") for c in old.columns if c.lower() not in wanted]), "migrated")
+    rows.write.mode("overwrite").partitionBy(*(partition or [])).parquet(path)
+    return changes
+
+
+def verify_tables(spark: SparkSession, folder: str, wanted: dict[str, StructType]) -> list[tuple[str, str, str, str, str]]:
+    """What differs between the tables below folder and their wanted schemas: rows (table, column, problem, have, want); a table that is not there is missing."""
+    out = []
+    for name, want in wanted.items():
+        try:
+            have = spark.read.parquet(f"{folder.rstrip('/')}/{name}").schema
+        except AnalysisException:
+            out.append((name, "", "missing", "", ""))
+            continue
+        readable = StructType([StructField(f.name, f.dataType, True) for f in want])
+        out += [(name, *change) for change in schema_changes(have, readable) if change[1] != "extra"]
+    return out
+
+
 def missing_columns(have: DataFrame, want: DataFrame) -> list[str]:
     """Columns an additive migration would add, in the order of want."""
     return [c for c in want.columns if c not in have.columns]
