@@ -76,9 +76,8 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     of 5 miss one pair in ten million). First every member of a bucket is held
     against its least member. Then, as long as a bucket holds several
     components, it proposes the closest pairs between them that a bitmap of the
-    sets cannot rule out: one forest over the components, then four, sixteen
-    and so on, and full sets decide; proposals that failed are not made again.
-    It ends when no pair is left that could link, so no link between candidates
+    sets cannot rule out: one forest over the components, then 16, 256 and so
+    on, and full sets decide; proposals that failed are not made again. It ends when no pair is left that could link, so no link between candidates
     is lost.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -99,18 +98,21 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     classes = materialize(classes, "classes")
     tied = usable.select("id", "h1", "h2", "n").distinct().join(classes, ["h1", "h2", "n"]).select("id", "rep")  # an id with several texts ties their classes
     tied = tied.join(tied.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("_z")).where("a < _z"), "id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    leaders = usable.join(classes.withColumnRenamed("first", "id"), ["id", "h1", "h2", "n"]).select("rep", "id", "n", "keys", "bits")
-    entries = materialize(leaders.select("rep", "n", F.explode("keys").alias("key")).distinct(), "bands")
+    name = ["id", "h1", "h2", "n"]
+    leaders = usable.join(classes.withColumnRenamed("first", "id"), name).dropDuplicates(name)  # dealt by the join's own keys
+    entries = materialize(leaders.select("rep", "n", F.explode("keys").alias("key")), "bands")
     shared = entries.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select(F.col("key").alias("k"))
     buckets = materialize(entries.join(shared, F.col("key") == F.col("k")).select("key", "rep", "n"), "buckets")
     wanted = materialize(classes.join(buckets.select("rep").distinct(), "rep", "left_semi"), "wanted")
     several = usable.groupBy("id").count().where("count > 1").select(F.col("id").alias("first"))
-    once, more = wanted.join(several, "first", "left_anti"), wanted.join(several, "first", "left_semi")
-    sets = _packed_sets(source.join(once, F.col("id") == F.col("first")).select("rep", "text"), k)
-    again = _packed_sets(source.join(more.select("first").distinct(), F.col("id") == F.col("first"), "left_semi").select(F.col("id").alias("rep"), "text"), k).withColumnsRenamed({"rep": "first"})
-    sets = sets.select("rep", "shingles").unionByName(again.join(more, ["first", "h1", "h2", "n"]).select("rep", "shingles").dropDuplicates(["rep"]))
+    once, more = wanted.join(several, "first", "left_anti"), materialize(wanted.join(several, "first", "left_semi"), "repeated")
+    sets = _packed_sets(source.join(once, F.col("id") == F.col("first")).select("rep", "text"), k).select("rep", "shingles")
+    if not more.isEmpty():  # an id that stands on several rows: its texts are told apart by their class
+        again = _packed_sets(source.join(more.select("first").distinct(), F.col("id") == F.col("first"), "left_semi").select(F.col("id").alias("rep"), "text"), k).withColumnsRenamed({"rep": "first"})
+        sets = sets.unionByName(again.join(more, ["first", "h1", "h2", "n"]).select("rep", "shingles").dropDuplicates(["rep"]))
     sets = materialize(sets.withColumnRenamed("rep", "id"), "sets")
-    maps = materialize(leaders.join(wanted.select("rep"), "rep", "left_semi").select(F.col("rep").alias("who"), "bits").dropDuplicates(["who"]), "bitmaps")
+    maps = usable.select(*name, "bits").join(wanted.withColumnRenamed("first", "id"), name).dropDuplicates(name)
+    maps = materialize(maps.select(F.col("rep").alias("who"), "bits"), "bitmaps")
 
     least = buckets.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("c")).select(F.col("key").alias("k"), F.col("c.rep").alias("a"), F.col("c.n").alias("an"))
     pairs = buckets.join(least, F.col("key") == F.col("k")).where(F.col("rep") > F.col("a")).where(100 * F.least("n", "an") >= percent * F.greatest("n", "an")).select("a", F.col("rep").alias("b"))
@@ -124,7 +126,7 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(F.col("key").alias("k"))
         now = materialize(now.join(mixed, F.col("key") == F.col("k"), "left_semi").join(maps, F.col("rep") == F.col("who")).drop("who"), "mixed")
         turn += 1
-        pairs = materialize(_proposed(now, failed, percent, 4 ** (turn - 1)), "pairs")
+        pairs = materialize(_proposed(now, failed, percent, 16 ** (turn - 1)), "pairs")
         if pairs.isEmpty():
             break
         found = materialize(_confirmed(pairs, sets, percent), "confirmed")
