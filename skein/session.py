@@ -38,8 +38,22 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def stages_dir(spark: SparkSession) -> str:
+    """The folder below the shared one that holds this application's written stages."""
+    return f"{shared_dir(spark)}/skein-{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df below the shared folder and read it back: lineage ends, lost executors cost nothing."""
-    path = f"{shared_dir(df.sparkSession)}/skein/{name}-{uuid.uuid4().hex}"
+    path = f"{stages_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete this application's written stages, on whatever store they are; call it once the results of its queries are written.
+
+    Frames that queries returned before can no longer be read.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(stages_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

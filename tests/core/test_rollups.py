@@ -138,3 +138,16 @@ def test_entries_are_counted_not_repositories(spark):
     got = {(r.reason, r.name): r.n for r in crossref.drop_report(refs, wires, known).collect()}
     assert got == {("unowned_refs", ""): 3, ("local_definition", ""): 1, ("ambiguous", "b"): 1, ("ambiguous", "c"): 2, ("di_unowned", ""): 1, ("di_ambiguous", ""): 2}
     assert {(r.source_class, r.target_class) for r in crossref.wiring(wires, known).collect()} == {("c5", "c1")}
+
+
+def test_written_stages_can_be_cleared(spark):
+    import glob
+
+    from skein.session import clear_stages, materialize, stages_dir
+
+    assert materialize(spark.range(3), "kept").count() == 3
+    folder = stages_dir(spark).removeprefix("file://")
+    assert glob.glob(f"{folder}/kept-*")
+    clear_stages(spark)
+    assert not glob.glob(f"{folder}/*")
+    clear_stages(spark)  # nothing there: nothing happens
