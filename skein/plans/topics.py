@@ -71,6 +71,30 @@ def directory_texts(files: DataFrame, summarize, each: int = 1500, limit: int =
     return done if done is not None else rows.select("repo", "dir", F.lit(0).alias("depth"), F.col("summary").alias("text"), "summary")
 
 
+def topic_chunks(files: DataFrame, each: int = 300, limit: int = 200_000) -> DataFrame:
+    """Rows (repo, top, text): what the topics of each top directory are drawn from, files (repo, path, summary) in order of their paths.
+
+    Every file is '**name**: ' and the first `each` characters of its summary;
+    beyond limit characters a text ends with a mark. Files at the root count
+    only where a repository has no directory with summaries; top is '' then.
+    """
+    rows = files.where("summary <> ''").select("repo", "path", F.when(F.col("path").contains("/"), F.substring_index("path", "/", 1)).otherwise("").alias("top"), F.concat(F.lit("**"), F.substring_index("path", "/", -1), F.lit("**: "), F.substring("summary", 1, each)).alias("text"))
+    below = rows.where("top <> ''").select("repo").distinct().withColumn("below", F.lit(True))
+    rows = rows.join(below, "repo", "left").where("top <> '' OR below IS NULL").drop("below")
+    whole = rows.groupBy("repo", "top").agg((F.sum(F.length("text") + 2) - 2).alias("chars"))
+    text = bounded_concat(rows, ["repo", "top"], [F.col("path")], "text", "\n\n", limit).join(whole, ["repo", "top"])
+    return text.select("repo", "top", F.when(F.col("chars") > limit, F.concat("text", F.lit("\n\n... [TRUNCATED]"))).otherwise(F.col("text")).alias("text"))
+
+
+def merged_topics(found: DataFrame, most: int = 15) -> DataFrame:
+    """found (repo, ord, name, ..) of all chunks: each name once, the first by ord; where more than `most` were found, the first `most` names."""
+    named = found.where("name <> ''")
+    first = first_wins(named, ["repo", "name"], [F.col("ord")])
+    many = found.groupBy("repo").agg(F.count("*").alias("found"))
+    ranked = first.join(many, "repo").withColumn("place", F.row_number().over(Window.partitionBy("repo").orderBy("ord", "name")))
+    return ranked.where((F.col("found") <= most) | (F.col("place") <= most)).drop("found")
+
+
 def topic_prompts(linked: DataFrame, files: DataFrame, each: int = 15_000, limit: int = 200_000, short: int = 500) -> DataFrame:
     """Rows (topic, contents, summaries) from linked (topic, name) and files (ord, path, text, summary).
 

@@ -242,9 +242,9 @@ def ordered_probe(t):
     return R.ordered_probe(p.select("p_partkey", local.alias("a"), F.col("p_name").alias("b")), "p_partkey", [F.col("a"), F.col("b")], index, "name").select("p_partkey", "resolved")
 
 
-@query("SELECT p_name, min(p_brand) AS p_brand FROM part WHERE p_size = 1 GROUP BY p_name HAVING count(DISTINCT p_brand) = 1")
+@query("SELECT concat_ws('/', p_name, CAST(p_size AS VARCHAR)) AS sized, min(p_brand) AS p_brand FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) = 1")
 def unique_forward(t):
-    return R.unique_forward(t("part").where("p_size = 1").select("p_name", "p_brand"), "p_name", "p_brand")
+    return R.unique_forward(t("part").select(F.concat_ws("/", "p_name", F.col("p_size").cast("string")).alias("sized"), "p_brand"), "sized", "p_brand")
 
 
 @query("SELECT p_name, min(p_brand) AS p_brand FROM part GROUP BY p_name HAVING count(DISTINCT p_brand) = 1")

@@ -160,9 +160,9 @@ def fn_er_relation(t):
     return t("part").select("p_partkey", C.er_relation(F.col("p_name"), F.col("p_brand"), card, via).alias("line"), cell.alias("cell"))
 
 
-@query("SELECT doc_id, substring(text, 1, 500) AS cell FROM documents WHERE doc_id < 1000 ORDER BY doc_id LIMIT 50")
+@query("SELECT doc_id, substring(text, 1, 500) AS cell FROM documents ORDER BY doc_id LIMIT 50")
 def fn_result_cap(t):
-    return t("documents").where("doc_id < 1000").select("doc_id", C.result_cell(F.col("text")).alias("cell")).orderBy("doc_id").limit(50)
+    return t("documents").select("doc_id", C.result_cell(F.col("text")).alias("cell")).orderBy("doc_id").limit(50)
 
 
 # topics, roll-ups and texts to embed

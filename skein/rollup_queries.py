@@ -72,3 +72,16 @@ def doc_topic_prompts(t):
     u = frame(t, "units")
     linked = t("lineitem").where("l_orderkey % 5 = 0").join(u, F.col("sk") == F.col("l_suppkey")).select(F.concat(F.lit("T"), (F.col("l_partkey") % 97).cast("string")).alias("topic"), F.substring_index("path", "/", -1).alias("name"))
     return topics.topic_prompts(linked, u.select(F.col("sk").alias("ord"), "path", F.concat_ws(" ", "path", "s_name").alias("text"), F.col("s_name").alias("summary")))
+
+
+@query(_sql("""SELECT repo, top, md5(CASE WHEN length(text) > 2000 THEN substring(text, 1, 2000) || chr(10) || chr(10) || '... [TRUNCATED]' ELSE text END) AS text FROM (
+  SELECT repo, split_part(path, '/', 1) AS top, string_agg('**' || string_split(path, '/')[-1] || '**: ' || substring(summary, 1, 300), chr(10) || chr(10) ORDER BY path) AS text FROM files WHERE summary <> '' GROUP BY 1, 2)"""))
+def doc_topic_chunks(t):
+    return topics.topic_chunks(frame(t, "files").select("repo", "path", "summary"), limit=2000).withColumn("text", F.md5("text"))
+
+
+@query(_sql("""SELECT repo, name, ord, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY repo ORDER BY ord, name) AS place FROM (
+  SELECT repo, 'Topic ' || CAST(sk * 7 % 40 AS VARCHAR) AS name, min(sk) AS ord, any_value(n) AS n FROM (SELECT *, count(*) OVER (PARTITION BY repo) AS n FROM units) WHERE sk % 9 <> 2 GROUP BY 1, 2)) WHERE n <= 15 OR place <= 15"""))
+def doc_topic_merge(t):
+    found = frame(t, "units").select("repo", F.col("sk").alias("ord"), F.when(F.col("sk") % 9 == 2, "").otherwise(F.concat(F.lit("Topic "), (F.col("sk") * 7 % 40).cast("string"))).alias("name"))
+    return topics.merged_topics(found).select("repo", "name", "ord", "place")

@@ -88,6 +88,15 @@ def test_bounded_concat_holds_no_more_than_its_limit(spark):
     assert out.text == ", ".join(f"{i:04d}" for i in range(5000))[:1000]
 
 
+def test_topic_chunks_and_merging(spark):
+    files = spark.createDataFrame([("r", "a/x.php", "one"), ("r", "a/b/y.php", "two"), ("r", "top.php", "no"), ("r", "c/z.php", None), ("s", "q.php", "root")], "repo string, path string, summary string")
+    got = {(r.repo, r.top): r.text for r in topics.topic_chunks(files, limit=20).collect()}
+    assert got == {("r", "a"): "**y.php**: two\n\n**x.\n\n... [TRUNCATED]", ("s", ""): "**q.php**: root"}
+    found = spark.createDataFrame([("r", i, f"t{i % 20}" if i != 3 else "") for i in range(40)] + [("s", 1, "b"), ("s", 0, "b"), ("s", 2, "a"), ("s", 3, None)], "repo string, ord int, name string")
+    out = topics.merged_topics(found).orderBy("repo", "place").collect()
+    assert [r.name for r in out if r.repo == "r"] == [f"t{i}" for i in range(16) if i != 3] and [r.name for r in out if r.repo == "s"] == ["b", "a"]
+
+
 def test_topic_prompts(spark):
     files = spark.createDataFrame([(2, "b/x.php", "second", "no"), (1, "a/x.php", "first", "sum"), (3, "a/y.php", None, "only")], "ord int, path string, text string, summary string")
     linked = spark.createDataFrame([("t", "y.php"), ("t", "x.php"), ("t", "x.php"), ("t", "gone.php"), ("u", "gone.php")], "topic string, name string")
