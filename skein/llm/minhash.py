@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.exchange import expand, squeeze
 from skein.llm.links import components
 from skein.llm.text import mix, shingle_hashes, utf8, word_hashes
 from skein.session import materialize
@@ -106,18 +107,19 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     wanted = materialize(classes.join(buckets.select("rep").distinct(), "rep", "left_semi"), "wanted")
     several = usable.groupBy("id").count().where("count > 1").select(F.col("id").alias("first"))
     once, more = wanted.join(several, "first", "left_anti"), materialize(wanted.join(several, "first", "left_semi"), "repeated")
-    sets = _packed_sets(source.join(once, F.col("id") == F.col("first")).select("rep", "text"), k).select("rep", "shingles")
+    packed = _packed(source)  # what is shuffled from here on are packed texts, a third of the size of packed shingles
+    texts = packed.join(once, F.col("id") == F.col("first")).select("rep", "packed")
     if not more.isEmpty():  # an id that stands on several rows: its texts are told apart by their class
-        again = _packed_sets(source.join(more.select("first").distinct(), F.col("id") == F.col("first"), "left_semi").select(F.col("id").alias("rep"), "text"), k).withColumnsRenamed({"rep": "first"})
-        sets = sets.unionByName(again.join(more, ["first", "h1", "h2", "n"]).select("rep", "shingles").dropDuplicates(["rep"]))
-    sets = materialize(sets.withColumnRenamed("rep", "id"), "sets")
+        again = _named(packed.join(more.select("first").distinct(), F.col("id") == F.col("first"), "left_semi"), k)
+        texts = texts.unionByName(again.join(more, ["first", "h1", "h2", "n"]).select("rep", "packed").dropDuplicates(["rep"]))
+    texts = materialize(texts.withColumnRenamed("rep", "id"), "texts")
     maps = usable.select(*name, "bits").join(wanted.withColumnRenamed("first", "id"), name).dropDuplicates(name)
     maps = materialize(maps.select(F.col("rep").alias("who"), "bits"), "bitmaps")
 
     least = buckets.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("c")).select(F.col("key").alias("k"), F.col("c.rep").alias("a"), F.col("c.n").alias("an"))
     pairs = buckets.join(least, F.col("key") == F.col("k")).where(F.col("rep") > F.col("a")).where(100 * F.least("n", "an") >= percent * F.greatest("n", "an")).select("a", F.col("rep").alias("b"))
     pairs = materialize(pairs.distinct(), "pairs")
-    found = materialize(_confirmed(pairs, sets, percent), "confirmed")
+    found = materialize(_confirmed(pairs, texts, k, percent), "confirmed")
     failed, turn = materialize(pairs.join(found, ["a", "b"], "left_anti"), "failed"), 0
     labels = components(found.unionByName(tied))
     while True:
@@ -129,7 +131,7 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         pairs = materialize(_proposed(now, failed, percent, 16 ** (turn - 1)), "pairs")
         if pairs.isEmpty():
             break
-        found = materialize(_confirmed(pairs, sets, percent), "confirmed")
+        found = materialize(_confirmed(pairs, texts, k, percent), "confirmed")
         failed = failed.unionByName(materialize(pairs.join(found, ["a", "b"], "left_anti"), "failed"))
         if not found.isEmpty():
             labels = _merged(labels, found)
@@ -290,32 +292,54 @@ def _digests(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
     return pa.array(one.view(np.int64)), pa.array(two.view(np.int64))
 
 
-def _packed_sets(texts: DataFrame, k: int) -> DataFrame:
-    """texts (rep, text) as rows (rep, n, h1, h2, shingles): the full set of each text, packed, and what names its class."""
+def _packed(source: DataFrame) -> DataFrame:
+    """source (id, text) as rows (id, packed): texts compressed one by one, before any shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                sets = shingle_sets(part.column(1), k)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), *_digests(sets), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "n", "h1", "h2", "shingles"])
+                packed = [squeeze(x.encode()) if x else squeeze(b"") for x in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], ["id", "packed"])
+
+    return source.mapInArrow(run, "id long, packed binary")
+
+
+def _sets(packed: list[bytes], k: int) -> list[np.ndarray]:
+    """The shingle sets of packed texts."""
+    return shingle_sets(pa.array([expand(x) for x in packed], pa.large_binary()), k)
+
+
+def _named(packed: DataFrame, k: int) -> DataFrame:
+    """packed (id, packed) as rows (first, n, h1, h2, packed), with what names the class of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                sets = _sets(part.column(1).to_pylist(), k)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), *_digests(sets), part.column(1)], ["first", "n", "h1", "h2", "packed"])
 
-    return texts.mapInArrow(run, "rep long, n long, h1 long, h2 long, shingles binary")
+    return packed.mapInArrow(run, "first long, n long, h1 long, h2 long, packed binary")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    left, right = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets, made again from the packed texts, are similar enough."""
+    left, right = texts.select(F.col("id").alias("a"), F.col("packed").alias("ta")), texts.select(F.col("id").alias("b"), F.col("packed").alias("tb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = np.sort(np.concatenate([x, y]))
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * common >= percent * (len(both) - common))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
+                a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
+                once = dict(zip(a, part.column("ta").to_pylist(), strict=True)) | dict(zip(b, part.column("tb").to_pylist(), strict=True))
+                sets = dict(zip(once, _sets(list(once.values()), k), strict=True))
+                keep = []
+                for x, y in zip(a, b, strict=True):
+                    both = np.sort(np.concatenate([sets[x], sets[y]]), kind="stable")  # two sorted runs
+                    common = int(np.count_nonzero(both[1:] == both[:-1]))
+                    keep.append(100 * common >= percent * (len(both) - common))
+                mask = pa.array(keep, pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column("a").filter(mask), part.column("b").filter(mask)], ["a", "b"])
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
