@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -156,3 +157,38 @@ def embedded(texts: DataFrame, embed=hashed_features, size: int = 64) -> DataFra
 
     rows = texts.where(F.length(F.trim("text")) > 0).select(F.col("id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(run, "id long, embedding array<double>")
+
+
+def _asked(embed: Callable[[list[str]], list[list[float]]], texts: list[str], attempts: int, wait: float) -> tuple[list, str | None]:
+    """The vectors of one batch, or what went wrong; a service that is short of quota is asked again, later each time."""
+    for attempt in range(attempts):
+        try:
+            found = [[float(x) for x in v] for v in embed(texts)]
+            return (found, None) if len(found) == len(texts) else ([None] * len(texts), f"{len(found)} vectors for {len(texts)} texts")
+        except Exception as e:  # whatever a service raises concerns this batch alone
+            error = f"{type(e).__name__}: {e}"
+            if attempt + 1 < attempts and ("429" in error or "Resource exhausted" in error):
+                time.sleep(wait * 2**attempt)
+            else:
+                break
+    return [None] * len(texts), error
+
+
+def embed_batches(texts: DataFrame, embed: Callable[[list[str]], list[list[float]]], batch: int = 20, attempts: int = 5, wait: float = 2.0) -> DataFrame:
+    """Rows (id, embedding, error) for texts (id, text) that are not blank, asked for `batch` at a time.
+
+    A batch that fails leaves its rows with a null embedding and the error:
+    those are the report of failed ids, and store.update_column keeps what
+    their rows had. attempts must be 1 or more.
+    """
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for at in range(0, rows.num_rows, batch):
+                part = rows.slice(at, batch)
+                found, error = _asked(embed, part.column(1).to_pylist(), attempts, wait)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.float64())), pa.array([error] * part.num_rows, pa.string())], ["id", "embedding", "error"])
+
+    rows = texts.where(F.length(F.trim("text")) > 0).select("id", F.col("text").cast("string"))
+    return rows.mapInArrow(run, f"id {kind}, embedding array<double>, error string")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import names as N
 from skein.graph_queries import _sql, frame
-from skein.plans import checks, topics
+from skein.plans import checks, schema_pages, topics
 from skein.queries import query
 from skein.sources import store
 
@@ -85,3 +85,57 @@ def doc_topic_chunks(t):
 def doc_topic_merge(t):
     found = frame(t, "units").select("repo", F.col("sk").alias("ord"), F.when(F.col("sk") % 9 == 2, "").otherwise(F.concat(F.lit("Topic "), (F.col("sk") * 7 % 40).cast("string"))).alias("name"))
     return topics.merged_topics(found).select("repo", "name", "ord", "place")
+
+
+def _lengths(texts: list[str]) -> list[list[float]]:
+    return [[float(len(x)), float(x.count(" "))] for x in texts]
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 <> 1 AND length(trim(text)) > 0 THEN length(text) || '/' || (length(text) - length(replace(text, ' ', ''))) ELSE '-1/' || doc_id % 10 END AS embedding FROM documents")
+def emb_partial_update(t):
+    """Embeddings of two thirds of the texts, asked for in batches and written over the old ones."""
+    d = t("documents").select(F.col("doc_id").alias("id"), "text", F.array(F.lit(-1.0), (F.col("doc_id") % 10).cast("double")).alias("embedding"))
+    found = topics.embed_batches(d.where("id % 3 <> 1").select("id", "text"), _lengths)
+    out = store.update_column(d, found, "id", "embedding")
+    part = lambda i: F.col("embedding")[i].cast("long").cast("string")
+    return out.select(F.col("id").alias("doc_id"), F.concat(part(0), F.lit("/"), part(1)).alias("embedding"))
+
+
+_SCHEMA = """c AS (SELECT 'S ' || l_suppkey AS t, l_partkey % 40 AS ord, 'c-' || l_partkey % 40 AS name, min(l_returnflag || ' ' || l_linestatus) AS type, CASE WHEN l_partkey % 40 % 11 = 0 THEN 'primary key' WHEN l_partkey % 40 % 11 = 1 THEN 'not null' END AS cons FROM lineitem GROUP BY ALL
+), m AS (SELECT *, CASE WHEN cons = 'primary key' THEN 'PK' WHEN ord % 3 = 0 THEN 'FK' ELSE '' END AS mark FROM c)"""
+
+
+def _schema(t):
+    line = t("lineitem").select(F.concat(F.lit("S "), F.col("l_suppkey").cast("string")).alias("table"), (F.col("l_partkey") % 40).alias("ord"), F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("type"))
+    says = F.when(F.col("ord") % 11 == 0, "primary key").when(F.col("ord") % 11 == 1, "not null")
+    columns = line.groupBy("table", "ord").agg(F.min("type").alias("type")).withColumns({"name": F.concat(F.lit("c-"), F.col("ord").cast("string")), "constraints": says, "description": F.lit("a|b")})
+    keys = columns.where("ord % 3 = 0").select("table", "ord", F.col("name").alias("column"), F.lit("x.id").alias("references"))
+    relations = t("lineitem").where("l_partkey % 40 % 3 = 0").select(F.concat(F.lit("S "), F.col("l_suppkey").cast("string")).alias("source"), (F.col("l_partkey") % 40).alias("ord")).distinct().withColumn("target", F.concat(F.lit("S "), (F.col("ord") % 5).cast("string")))
+    relations = relations.withColumns({"cardinality": F.when(F.col("ord") % 2 == 0, "N-N"), "via": F.lit(None).cast("string"), "description": F.concat(F.lit("by "), F.col("ord").cast("string"))})
+    return columns, keys, relations
+
+
+_RELATIONS = "r AS (SELECT DISTINCT 'S ' || l_suppkey AS source, l_partkey % 40 AS ord, 'S ' || l_partkey % 40 % 5 AS target, CASE WHEN l_partkey % 40 % 2 = 0 THEN 'N-N' ELSE '' END AS card FROM lineitem WHERE l_partkey % 40 % 3 = 0)"
+
+
+@query(f"""WITH {_SCHEMA}, {_RELATIONS}
+SELECT CAST(2 AS INTEGER) AS part, CAST(0 AS BIGINT) AS ord, t AS name, '    ' || replace(t, ' ', '_') || ' {{' || chr(10) || string_agg('        ' || regexp_replace(type, '[^0-9A-Za-z_]', '_', 'g') || ' ' || replace(name, '-', '_') || CASE mark WHEN '' THEN '' ELSE ' ' || mark END, chr(10) ORDER BY ord) || chr(10) || '    }}' AS text FROM m GROUP BY t
+UNION ALL SELECT 0, 0, '', 'erDiagram'
+UNION ALL SELECT 1, ord, source || ' ' || target, '    ' || replace(source, ' ', '_') || CASE card WHEN 'N-N' THEN ' }}o--o{{ ' ELSE ' ||--o{{ ' END || replace(target, ' ', '_') || ' : "by ' || ord || '"' FROM r""")
+def doc_er_diagram(t):
+    columns, keys, relations = _schema(t)
+    return schema_pages.er_diagram(relations, columns, keys)
+
+
+@query(f"""WITH {_SCHEMA}, {_RELATIONS}, e AS (SELECT source AS t, * FROM r UNION SELECT target, * FROM r
+), cs AS (SELECT t, string_agg('| ' || name || ' | ' || type || ' | ' || coalesce(cons, '') || ' | a b |', chr(10) ORDER BY ord) AS c, string_agg(CASE WHEN ord % 3 = 0 THEN '- `' || name || '` → x.id' END, chr(10) ORDER BY ord) AS f, string_agg(CASE WHEN ord % 4 = 0 THEN '- `' || name || '`' || CASE WHEN ord % 8 = 0 THEN ' (UNIQUE) — `' || name || '`' ELSE '' END END, chr(10) ORDER BY ord) AS i FROM c GROUP BY t
+), rs AS (SELECT t, string_agg('- ' || source || ' → ' || target || ' (' || card || '): by ' || ord, chr(10) ORDER BY ord, source, target) AS r FROM e GROUP BY t)
+SELECT 'S_' || s_suppkey || '.md' AS path, md5('# S ' || s_suppkey || chr(10) || chr(10) || s_name || chr(10) || chr(10) || '{schema_pages.COLUMNS}' || coalesce(chr(10) || c, '') || chr(10) || chr(10) || '{schema_pages.INDEXES}' || chr(10) || chr(10) || coalesce(i, '{schema_pages.NONE}')
+  || chr(10) || chr(10) || '{schema_pages.FOREIGN_KEYS}' || chr(10) || chr(10) || coalesce(f, '{schema_pages.NONE}') || coalesce(chr(10) || chr(10) || '{schema_pages.RELATIONS}' || chr(10) || chr(10) || r, '') || chr(10) || chr(10) || '---' || chr(10) || '[← Schema](index.md)' || chr(10)) AS content
+FROM supplier LEFT JOIN cs ON cs.t = 'S ' || s_suppkey LEFT JOIN rs ON rs.t = 'S ' || s_suppkey""")
+def doc_table_pages(t):
+    columns, keys, relations = _schema(t)
+    relations = relations.withColumn("cardinality", F.coalesce("cardinality", F.lit("")))
+    indexes = columns.where("ord % 4 = 0").select("table", "ord", F.col("name").alias("columns"), (F.col("ord") % 8 == 0).alias("unique"), F.when(F.col("ord") % 8 == 0, F.col("name")).alias("name"))
+    tables = t("supplier").select(F.concat(F.lit("S "), F.col("s_suppkey").cast("string")).alias("name"), F.col("s_name").alias("description"))
+    return schema_pages.table_pages(tables, columns, indexes, keys, relations, "Schema").withColumn("content", F.md5("content"))

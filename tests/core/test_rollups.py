@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from skein.functions import names as N
-from skein.plans import checks, crossref, topics
+from skein.plans import checks, crossref, schema_pages, topics
 from skein.plans import resolution as R
 from skein.sources import store
 from tests.core.test_resolution import Code, entities
@@ -160,3 +160,53 @@ def test_written_stages_can_be_cleared(spark):
     clear_stages(spark)
     assert not glob.glob(f"{folder}/*")
     clear_stages(spark)  # nothing there: nothing happens
+
+
+def test_embed_batches(spark):
+    def service(texts):
+        if any("bad" in x for x in texts):
+            raise ValueError("refused")
+        if any("short" in x for x in texts):
+            return [[1.0]]
+        return [[float(len(x))] for x in texts]
+
+    rows = spark.createDataFrame([("a", "xx"), ("b", "bad"), ("c", " "), ("d", None), ("e", "short"), ("f", "é" * 3), (None, "y")], "id string, text string").coalesce(1)
+    got = {r.id: (r.embedding, r.error) for r in topics.embed_batches(rows, service, batch=1).collect()}
+    assert got == {"a": ([2.0], None), "b": (None, "ValueError: refused"), "e": ([1.0], None), "f": ([3.0], None), None: ([1.0], None)}
+    got = {r.id: r.error for r in topics.embed_batches(rows.where("id IN ('a', 'b', 'e', 'f')"), service, batch=2).collect()}
+    assert got == {"a": "ValueError: refused", "b": "ValueError: refused", "e": "1 vectors for 2 texts", "f": "1 vectors for 2 texts"}
+    old = rows.select("id", "text", F.array(F.lit(-1.0)).alias("embedding"))
+    new = {r.id: r.embedding for r in store.update_column(old, topics.embed_batches(rows, service, batch=1), "id", "embedding").collect()}
+    assert new["a"] == [2.0] and new["b"] == new["c"] == new["d"] == [-1.0]
+    assert topics.embed_batches(rows.limit(0), service).count() == 0
+
+
+def test_quota_is_asked_again():
+    calls = []
+
+    def service(texts):
+        calls.append(len(texts))
+        if len(calls) < 3:
+            raise RuntimeError("429 Resource exhausted")
+        return [[0.0]] * len(texts)
+
+    assert topics._asked(service, ["a", "b"], 5, 0.0) == ([[0.0], [0.0]], None) and calls == [2, 2, 2]
+    calls.clear()
+    assert topics._asked(service, ["a"], 2, 0.0) == ([None], "RuntimeError: 429 Resource exhausted") and len(calls) == 2
+
+
+def test_schema_pages(spark):
+    columns = spark.createDataFrame([("my t", 1, "id", "int(11)", "Primary key", None), ("my t", 2, "u|id", None, None, "the\nuser"), ("my t", 2, "a", "int", None, ""), ("my t", 3, None, "x", None, None), ("u", 1, "id", "int", "pk", None)], "table string, ord int, name string, type string, constraints string, description string")
+    keys = spark.createDataFrame([("my t", 1, "u|id", "u.id"), ("my t", 2, "u|id", "v.id"), ("my t", 3, "id", "w.id")], "table string, ord int, column string, references string")
+    indexes = spark.createDataFrame([("my t", 1, "id, a", True, "ix"), ("my t", 2, "a", None, None)], "table string, ord int, columns string, unique boolean, name string")
+    relations = spark.createDataFrame([(1, "my t", "u", "N-N", "", 'a "b"'), (2, "u", "u", None, None, None), (3, "", "u", "1-1", "x", "x")], "ord int, source string, target string, cardinality string, via string, description string")
+    lines = [r.text for r in schema_pages.er_diagram(relations, columns, keys).orderBy("part", "ord", "name").collect()]
+    assert lines == ["erDiagram", '    my_t }o--o{ u : "a  b"', '    u ||--o{ u : "rel"', "    my_t {\n        int_11_ id PK\n        any u_id FK\n        int a\n    }", "    u {\n        int id PK\n    }"]
+    tables = spark.createDataFrame([("my t", " about "), ("u", None), ("empty/", ""), (None, "x")], "name string, description string")
+    pages = {r.path: r.content for r in schema_pages.table_pages(tables, columns, indexes, keys, relations, "T").collect()}
+    assert sorted(pages) == ["empty_.md", "my_t.md", "u.md"]
+    want = ["# my t", "", "about", "", *schema_pages.COLUMNS.split("\n"), "| id | int(11) | Primary key |  |", "| a | int |  |  |", "| u id |  |  | the user |", "|  | x |  |  |", "", schema_pages.INDEXES, "", "- `id, a` (UNIQUE) — `ix`", "- `a`", "", schema_pages.FOREIGN_KEYS, "", "- `u id` → u.id", "- `u id` → v.id", "- `id` → w.id", "", schema_pages.RELATIONS, "", '- my t → u (N-N): a "b"', "", "---", "[← T](index.md)", ""]
+    assert pages["my_t.md"] == "\n".join(want)
+    assert pages["u.md"].count("- u → u ():") == 1 and "- my t → u (N-N)" in pages["u.md"]
+    assert schema_pages.NONE in pages["empty_.md"] and schema_pages.RELATIONS not in pages["empty_.md"]
+    assert schema_pages.table_pages(tables.limit(0), columns, indexes, keys, relations, "T").count() == 0
