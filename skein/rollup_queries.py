@@ -139,3 +139,28 @@ def doc_table_pages(t):
     indexes = columns.where("ord % 4 = 0").select("table", "ord", F.col("name").alias("columns"), (F.col("ord") % 8 == 0).alias("unique"), F.when(F.col("ord") % 8 == 0, F.col("name")).alias("name"))
     tables = t("supplier").select(F.concat(F.lit("S "), F.col("s_suppkey").cast("string")).alias("name"), F.col("s_name").alias("description"))
     return schema_pages.table_pages(tables, columns, indexes, keys, relations, "Schema").withColumn("content", F.md5("content"))
+
+
+_DIRS = "(SELECT DISTINCT repo, array_to_string(p[1:depth], '/') AS dir FROM (SELECT repo, string_split(path, '/') AS p, unnest(range(0, len(string_split(path, '/')))) AS depth FROM files))"
+
+
+@query(_sql(f"""SELECT repo, CASE WHEN kind = 0 OR path <> '' THEN regexp_replace(path, '(^|/)[^/]*$', '') END AS parent, CAST(kind AS INTEGER) AS kind, path, CAST(json_object('path', path, 'type', CASE kind WHEN 0 THEN 'file' ELSE 'directory' END, 'name', string_split(path, '/')[-1], 'summary', summary) AS VARCHAR) AS node
+FROM (SELECT repo, 0 AS kind, path, substring(coalesce(summary, ''), 1, 12) AS summary FROM files UNION ALL SELECT repo, 1, dir, CASE WHEN length(dir) % 2 = 0 THEN substring(repo || ' ' || dir || ' "all"', 1, 12) ELSE '' END FROM {_DIRS})"""))
+def doc_index_nodes(t):
+    files = frame(t, "files").select("repo", "path", "summary")
+    dirs = store._directories(files).where(F.length("dir") % 2 == 0).withColumn("summary", F.concat("repo", F.lit(" "), "dir", F.lit(' "all"')))
+    return store.index_nodes(files, dirs, cut=12)
+
+
+@query(_sql("""SELECT repo, md5('| ファイル | 概要 |' || chr(10) || '|------|---------|' || chr(10) || string_agg('| ' || path || ' | ' || line || ' |', chr(10) ORDER BY path) FILTER (nth <= 7) || CASE WHEN count(*) > 7 THEN chr(10) || '| ... | 他 ' || (count(*) - 7) || ' ファイル |' ELSE '' END) AS content
+FROM (SELECT repo, path, substring(coalesce(summary, ''), 1, 80) AS line, row_number() OVER (PARTITION BY repo ORDER BY path) AS nth FROM files) GROUP BY repo"""))
+def doc_component_tables(t):
+    """The first files of every repository: a report of a fixed length."""
+    return store.component_tables(frame(t, "files"), most=7).withColumn("content", F.md5("content"))
+
+
+@query(_sql(f"""SELECT repo, total_files, total_directories, coalesce(total_topics, 0) AS total_topics FROM (SELECT repo, count(*) AS total_files FROM files GROUP BY repo) JOIN (SELECT repo, count(*) AS total_directories FROM {_DIRS} GROUP BY repo) USING (repo)
+LEFT JOIN (SELECT repo, count(DISTINCT sk % 40) AS total_topics FROM units WHERE repo <> 'repo1' GROUP BY repo) USING (repo)"""))
+def doc_index_statistics(t):
+    topics_ = frame(t, "units").where("repo <> 'repo1'").select("repo", (F.col("sk") % 40).cast("string").alias("name"))
+    return store.index_statistics(frame(t, "files"), topics_)

@@ -199,3 +199,60 @@ def index_pages(files: DataFrame, most: int = 200) -> DataFrame:
     text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
     page = F.concat(F.lit("# "), "dir", F.lit("\n"), text, F.when(F.col("n") > most, F.concat(F.lit("\n"), (F.col("n") - most).cast("string"), F.lit(" more"))).otherwise(""))
     return shown.join(total, "dir").select(F.concat("dir", F.when(F.col("dir") == "", "").otherwise("/"), F.lit("index.md")).alias("path"), page.alias("content"))
+
+
+def _directories(files: DataFrame) -> DataFrame:
+    """Rows (repo, dir) of every directory that holds a file at any depth; the root is ''. Combined before the shuffle."""
+    parts = F.split("path", "/")
+    depth = F.explode(F.sequence(F.lit(0), F.size(parts) - 1))
+    return files.where("path IS NOT NULL").select("repo", parts.alias("parts"), depth.alias("depth")).select("repo", F.array_join(F.slice("parts", F.lit(1), F.col("depth")), "/").alias("dir")).distinct()
+
+
+def index_nodes(files: DataFrame, directories: DataFrame, cut: int = 500) -> DataFrame:
+    """The summary tree as rows (repo, parent, kind, path, node), one per file and directory.
+
+    files are (repo, path, summary), directories (repo, dir, summary) where
+    there is one. node is JSON (path, type, name, summary of at most `cut`
+    characters, '' for none). A node's children are the rows whose parent is
+    its path, files (kind 0) before directories (kind 1), each by path; the
+    root has the path '' and no parent. The tree is not nested into one text,
+    which would pass a whole repository through one task.
+    """
+    summary = F.substring(F.coalesce("summary", F.lit("")), 1, cut)
+    mine = files.where("path IS NOT NULL").select("repo", F.lit(0).alias("kind"), "path", summary.alias("summary"))
+    known = directories.select(F.col("repo").alias("r"), F.col("dir").alias("d"), "summary")
+    every = _directories(files)
+    every = every.join(known, every["repo"].eqNullSafe(known["r"]) & (every["dir"] == known["d"]), "left").select("repo", F.lit(1).alias("kind"), F.col("dir").alias("path"), summary.alias("summary"))
+    rows = mine.unionByName(every)
+    parts = F.split("path", "/")
+    above = F.when((F.col("kind") == 0) | (F.col("path") != ""), F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/"))
+    kind = F.when(F.col("kind") == 0, "file").otherwise("directory")
+    node = F.to_json(F.struct("path", kind.alias("type"), F.element_at(parts, -1).alias("name"), "summary"))
+    return rows.select("repo", above.alias("parent"), "kind", "path", node.alias("node"))
+
+
+def component_tables(files: DataFrame, most: int = 200) -> DataFrame:
+    """Rows (repo, content): a Markdown table of a repository's files by path, at most `most`, then how many more there are.
+
+    A line shows the first 80 characters of a summary's first line. Files are
+    ranked before the shuffle too, so a repository costs `most` rows a task.
+    """
+    # fixed values: the table's head and last line
+    head, rest = "| ファイル | 概要 |\n|------|---------|", ("| ... | 他 ", " ファイル |")
+    rows = files.where("path IS NOT NULL").select("repo", "path", F.substring(F.substring_index(F.coalesce("summary", F.lit("")), "\n", 1), 1, 80).alias("line"))
+    ranked = rows.withColumn("nth", F.row_number().over(Window.partitionBy("repo").orderBy("path", "line"))).where(F.col("nth") <= most)
+    lines = ranked.groupBy("repo").agg(F.array_sort(F.collect_list(F.struct("nth", F.concat(F.lit("| "), "path", F.lit(" | "), "line", F.lit(" |")).alias("line")))).alias("lines"))
+    total = rows.groupBy(F.col("repo").alias("r")).agg(F.count("*").alias("n"))
+    text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
+    more = F.when(F.col("n") > most, F.concat(F.lit("\n" + rest[0]), (F.col("n") - most).cast("string"), F.lit(rest[1]))).otherwise("")
+    return lines.join(total, F.col("repo").eqNullSafe(F.col("r"))).select("repo", F.concat(F.lit(head + "\n"), text, more).alias("content"))
+
+
+def index_statistics(files: DataFrame, topics: DataFrame) -> DataFrame:
+    """Rows (repo, total_files, total_directories, total_topics): distinct paths, directories with the root, distinct names of topics (repo, name)."""
+    count = lambda rows, name: rows.groupBy("repo").agg(F.count("*").alias(name))
+    sums = count(files.where("path IS NOT NULL").select("repo", "path").distinct(), "total_files")
+    for rows, name in ((_directories(files), "total_directories"), (topics.where("name IS NOT NULL").select("repo", "name").distinct(), "total_topics")):
+        more = count(rows, name).withColumnRenamed("repo", "r")
+        sums = sums.join(more, sums["repo"].eqNullSafe(more["r"]), "left").drop("r").withColumn(name, F.coalesce(name, F.lit(0)).cast("long"))
+    return sums

@@ -1,5 +1,7 @@
 """Positions, incremental reuse, schemas, texts of directories and topics, and calls between repositories."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
@@ -210,3 +212,20 @@ def test_schema_pages(spark):
     assert pages["u.md"].count("- u → u ():") == 1 and "- my t → u (N-N)" in pages["u.md"]
     assert schema_pages.NONE in pages["empty_.md"] and schema_pages.RELATIONS not in pages["empty_.md"]
     assert schema_pages.table_pages(tables.limit(0), columns, indexes, keys, relations, "T").count() == 0
+
+
+def test_docs_index(spark):
+    files = spark.createDataFrame([("r", "a/b/x.php", "line one\nmore"), ("r", "a/y.php", None), ("r", "z.php", 'say "hi"'), ("s", "k.php", "s" * 600), ("s", None, "lost"), (None, "n.php", "")], "repo string, path string, summary string")
+    dirs = spark.createDataFrame([("r", "a", "about a"), ("r", "gone", "no file"), ("s", "a", "other"), ("r", "", "root"), (None, "", "none")], "repo string, dir string, summary string")
+    got = {(r.repo, r.kind, r.path): (r.parent, json.loads(r.node)) for r in store.index_nodes(files, dirs).collect()}
+    assert sorted(k[1:] for k in got if k[0] == "r") == [(0, "a/b/x.php"), (0, "a/y.php"), (0, "z.php"), (1, ""), (1, "a"), (1, "a/b")]
+    assert got["r", 0, "z.php"] == ("", {"path": "z.php", "type": "file", "name": "z.php", "summary": 'say "hi"'})
+    assert got["r", 1, "a"] == ("", {"path": "a", "type": "directory", "name": "a", "summary": "about a"})
+    assert got["r", 1, "a/b"][0] == "a" and got["r", 1, "a/b"][1]["summary"] == "" and got["r", 1, ""][0] is None
+    assert len(got["s", 0, "k.php"][1]["summary"]) == 500 and got[None, 1, ""][1]["summary"] == "none" and len(got) == 10
+    tables = {r.repo: r.content.split("\n") for r in store.component_tables(files, most=2).collect()}
+    assert tables["r"][2:] == ["| a/b/x.php | line one |", "| a/y.php |  |", "| ... | 他 1 ファイル |"] and tables["s"][2:] == ["| k.php | " + "s" * 80 + " |"] and len(tables[None]) == 3
+    topics_ = spark.createDataFrame([("r", "T"), ("r", "T"), ("r", None), ("q", "U")], "repo string, name string")
+    assert {tuple(r) for r in store.index_statistics(files, topics_).collect()} == {("r", 3, 3, 1), ("s", 1, 1, 0), (None, 1, 1, 0)}
+    none = files.limit(0)
+    assert store.index_nodes(none, dirs).count() == store.component_tables(none).count() == store.index_statistics(none, topics_).count() == 0
