@@ -31,3 +31,24 @@ def test_sites_shuffle_lines_twice(spark, tables):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # lines by part and by order; the others are those of part, supplier and nation
     assert plan.count("Exchange hashpartitioning") <= 7
+
+
+@pytest.mark.parametrize("name", ["r_declared", "r_spots", "r_located"])
+def test_resolution_frames_have_the_rows_of_the_sql(tables, name):
+    from skein import resolution_queries as Q
+
+    want, got = G.frame(tables, name, G.BIND), G.frame(tables, name, G.BIND | Q._NARROW)
+    assert [c for c, _ in got.dtypes] == [c for c, _ in want.dtypes]
+    assert want.count() > 0
+    assert want.exceptAll(got).count() == got.exceptAll(want).count() == 0
+
+
+def test_spots_shuffle_lines_once(spark, tables):
+    from skein import resolution_queries as Q
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = G.frame({**{x: tables(x) for x in ("supplier", "nation", "part", "lineitem")}}.__getitem__, "r_lines", G.BIND | Q._NARROW)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(pk") == 1 and plan.count("Exchange") == 1
