@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.cross_queries import _B
+from skein.cross_queries import _B, _once
+from skein.cross_queries import frame as _cross
 from skein.functions import conventions as C
 from skein.functions import names as N
 from skein.graph_queries import BIND, ORACLE, _sql, frame
@@ -85,13 +86,14 @@ def res_dynamic(t):
 
 @query(_sql("SELECT repo, path, alias, fqcn FROM alias_ix"))
 def res_aliases(t):
-    return X.alias_map(frame(t, "uses"))
+    return X.alias_map(_cross(t, "uses"))
 
 
 @query(_sql(f"""SELECT r.repo, r.path, r.own, r.text, strict, CASE WHEN starts_with(text, {_B}) OR a.fqcn IS NOT NULL OR starts_with(text, 'namespace' || {_B}) THEN strict ELSE strict || ' ' || text END AS candidates, count(*) AS n FROM (SELECT r.*, CASE WHEN starts_with(text, {_B}) THEN ltrim(text, {_B}) WHEN starts_with(text, 'namespace' || {_B}) THEN namespace || substring(text, 10) WHEN x.fqcn IS NOT NULL THEN x.fqcn || CASE WHEN contains(text, {_B}) THEN substring(text, strpos(text, {_B})) ELSE '' END ELSE namespace || {_B} || text END AS strict
   FROM refs r LEFT JOIN alias_ix x ON x.repo = r.repo AND x.path = r.path AND x.alias = lower(split_part(r.text, {_B}, 1)) WHERE kind <> 'type') r LEFT JOIN alias_ix a ON a.repo = r.repo AND a.path = r.path AND a.alias = lower(split_part(r.text, {_B}, 1)) GROUP BY ALL"""))
 def res_candidates(t):
-    rows = X.candidate_names(frame(t, "refs").where("kind <> 'type'"), frame(t, "uses"))
+    once = _once(t)
+    rows = X.candidate_names(once(t, "refs").where("kind <> 'type'"), once(t, "uses"))
     return rows.groupBy("repo", "path", "own", "text", "strict", F.concat_ws(" ", "candidates").alias("candidates")).agg(F.count("*").alias("n"))
 
 
