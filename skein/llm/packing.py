@@ -10,6 +10,7 @@ the bin range of that rank.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -18,27 +19,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.bpe_words import WordCache, splitter
+from skein.llm.bpe_words import LETTERS, WordCache, splitter
 from skein.session import materialize
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _state: dict = {}
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _encoder(path: str, cache_words: int):
     """This worker's encoder: a text's ids as little-endian unsigned 32-bit integers."""
     if _state.get("path") != path:
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        words = WordCache(lambda w: np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes(), cache_words)
-        split, lookup = splitter(public_tokenizers.PATTERN), words.__getitem__
+        model, before = tokenizer.model, tokenizer.pre_tokenizer
+        ids_of = lambda w: tokenizer.encode(w, add_special_tokens=False).ids
+        if isinstance(model, models.BPE) and tokenizer.normalizer is None and isinstance(before, pre_tokenizers.ByteLevel) and before.use_regex and not before.add_prefix_space:
+            # such a tokenizer splits, spells bytes as letters and merges; a match is split already, so its model is asked directly
+            ids_of = lambda w: [t.id for t in model.tokenize(w.encode().decode("latin-1").translate(LETTERS))]
+        split, lookup = splitter(public_tokenizers.PATTERN), WordCache(lambda w: packed(ids_of(w)), cache_words).__getitem__
 
         def encode(text: str) -> bytes:
             if any(a in text for a in added):  # the library finds added tokens before it splits
-                return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                return packed(tokenizer.encode(text, add_special_tokens=False).ids)
             return b"".join(map(lookup, split(text)))
 
         _state.update(path=path, encode=encode)

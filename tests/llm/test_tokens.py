@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from skein.llm import bpe, packing
-from skein.llm.bpe_words import splitter
+from skein.llm.bpe_words import WordCache, splitter
 
 PATH = P.path("byte_bpe_50k.tiktoken")
 RANKS = bpe.load_ranks(PATH)
@@ -101,3 +101,20 @@ def test_added_tokens_as_the_library_finds_them(spark):
         for start, length, crc in got[i].values():
             assert zlib.crc32(ids[start : start + length].tobytes()) == crc
         assert sum(n for _, n, _ in got[i].values()) == len(ids)
+
+
+def test_words_that_keep_coming_are_encoded_once():
+    asked = []
+    words = WordCache(lambda w: asked.append(w) or w.encode(), 8)
+    for i in range(100):
+        assert (words["the"], words[f"rare{i}"]) == (b"the", b"rare%d" % i)
+        assert len(words) + len(words.old) <= 8
+    assert asked.count("the") == 1
+    assert words["x" * 65] == b"x" * 65 and "x" * 65 not in words
+
+
+def test_matches_of_any_bytes_are_as_the_library_gives_them():
+    real = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    encode = packing._encoder(P.path("byte_bpe_50k.json"), 1000)
+    for text in ["".join(map(chr, range(0x180))), "a" * 3000, " \x00\x7f\x85\xa0\xadÿ  x", "日本語 naïve 😀\r\n\t  end  ", *(chr(b) for b in range(256))]:
+        assert np.frombuffer(encode(text), "<u4").tolist() == real.encode(text, add_special_tokens=False).ids
