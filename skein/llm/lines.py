@@ -44,9 +44,9 @@ class Lines:
         self.rows = sorted(range(len(raw)), key=lambda i: (ids[i] is None, ids[i] or 0, raw[i]))
         self.ids, self.texts = [ids[i] for i in self.rows], [raw[i] for i in self.rows]
         self.data, offsets = utf8(pa.array(self.texts, pa.large_binary()))
-        breaks = np.flatnonzero(self.data == 10) + 1
-        self.offsets = np.append(np.sort(np.concatenate([offsets[:-1], breaks]), kind="stable"), len(self.data))
-        self.count = np.array([t.count(b"\n") + 1 for t in self.texts], np.int64)
+        breaks = np.flatnonzero(self.data == 10)
+        self.offsets = np.append(np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable"), len(self.data))
+        self.count = np.diff(np.searchsorted(breaks, offsets)) + 1
         self.first_line = np.concatenate([[0], np.cumsum(self.count)])
         self.usable = np.repeat(np.array([i is not None for i in self.ids], bool), self.count)
 
@@ -152,7 +152,7 @@ def _entries(group: pa.Table, replies: pa.Table, buckets: int, percent: int, sie
     keys = c.keys[lead[c.keys >> c.bits]]
     token = keys & ((np.int64(1) << c.bits) - 1)
     df = _told(replies, COUNTS, "<i8")
-    order = np.lexsort((c.names, df))
+    order = np.argsort(df, kind="stable")  # names are in order already
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     line, token = _distinct(((keys >> c.bits) << c.bits) | rank[token], c.bits)
@@ -190,11 +190,17 @@ def _candidates(group: pa.Table, percent: int, first: int | None) -> pa.Table:
     word, ref, sizes, places, maps, probe = (x[order] for x in (word, ref, sizes, places, maps, probe))
 
     def passing(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        # one filter after the other, each on what the one before it left
         a, b = sizes[i], sizes[j]
-        need = -(-percent * (a + b) // (100 + percent))
         ok = probe[j] & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
-        ok &= 1 + np.minimum(a - places[i], b - places[j]) - 1 >= need
-        return ok & (np.bitwise_count(maps[i] ^ maps[j]) <= a + b - 2 * need)
+        at = np.flatnonzero(ok)
+        a, b = a[at], b[at]
+        need = -(-percent * (a + b) // (100 + percent))
+        fits = np.minimum(a - places[i[at]], b - places[j[at]]) >= need
+        at, room = at[fits], (a + b - 2 * need)[fits]
+        ok[:] = False
+        ok[at[np.bitwise_count(maps[i[at]] ^ maps[j[at]]) <= room]] = True
+        return ok
 
     early, late, more = [], [], []
 

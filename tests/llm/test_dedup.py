@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from skein.llm import embeddings, lines, links, minhash, repeats
+from skein.llm import embeddings, lines, links, minhash, repeats, text
 
 
 def words(text):
@@ -253,3 +254,14 @@ def test_an_id_on_several_vectors(spark):
         out = embeddings.near_vectors(spark.createDataFrame(order, "vec_id long, embedding array<float>, label int"))
         got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in out.collect())
         assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (3, 2, 1, False), (4, 2, 1, False), (5, 0, 5, True)]
+
+
+def test_words_are_hashed_in_small_slices():
+    data = np.frombuffer(b"some words of a text " * 200_000, np.uint8)
+    offsets = np.arange(0, len(data) + 1, 2100)
+    tracemalloc.start()
+    hashes, at = text.word_hashes(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(hashes) == 1_000_000 and (np.diff(at) == 500).all() and len(np.unique(hashes)) == 5
+    assert peak < 2 * hashes.nbytes + (8 << 20)
