@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WINDOW, STEP, LEVEL = 64, 48, 8
 #: Windows of a passage: features are taken by passage, so they mean the same in a text of any length.
@@ -242,11 +243,13 @@ def score(docs: DataFrame, model: CompressionClassifier, threshold: float = 0.7,
 
 def reject(docs: DataFrame, model: CompressionClassifier, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows of docs that score below threshold, with all their columns; nothing is shuffled."""
-    scored = f"_scored_{uuid.uuid4().hex}"  # a name that no column of docs bears
+    plain = docs.schema[text_col].dataType == T.StringType()
+    scored = text_col if plain else f"_scored_{uuid.uuid4().hex}"  # no text travels twice; else a name that no column of docs bears
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = [model.score((x.as_py() or "").encode()) < threshold for x in batch.column(scored)]
-            yield batch.filter(pa.array(s, pa.bool_())).drop_columns([scored])
+            left = batch.filter(pa.array(s, pa.bool_()))
+            yield left if plain else left.drop_columns([scored])
 
-    return docs.withColumn(scored, F.col(text_col).cast("string")).mapInArrow(run, docs.schema)
+    return (docs if plain else docs.withColumn(scored, F.col(text_col).cast("string"))).mapInArrow(run, docs.schema)

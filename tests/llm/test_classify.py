@@ -3,6 +3,8 @@ import re
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from skein.llm import fingerprint, langid, toxicity
 
 
@@ -121,3 +123,13 @@ def test_toxicity_many_expressions(spark):
     assert np.mean([got[i] for i in got if i % 4 == 2]) > 0.8
     assert np.mean([got[i] for i in got if i % 2]) < 0.1
     assert len(model.toxic) - len(model.ordinary) > 500
+
+
+def test_rejecting_sends_each_text_once(spark):
+    model = toxicity.CompressionClassifier(b"", b"")
+    model.constant = 0.0
+    docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
+    out = toxicity.reject(docs, model)
+    assert sorted(map(tuple, out.collect())) == [(1, "a"), (2, None)]
+    assert "_scored_" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert toxicity.reject(docs.withColumn("text", F.col("doc_id")), model).count() == 2  # a text of another kind is cast aside
