@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.llm.exchange import expand, squeeze
@@ -101,9 +101,10 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     tied = tied.join(tied.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("_z")).where("a < _z"), "id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     name = ["id", "h1", "h2", "n"]
     leaders = usable.join(classes.withColumnRenamed("first", "id"), name).dropDuplicates(name)  # dealt by the join's own keys
-    entries = materialize(leaders.select("rep", "n", F.explode("keys").alias("key")), "bands")
-    shared = entries.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select(F.col("key").alias("k"))
-    buckets = materialize(entries.join(shared, F.col("key") == F.col("k")).select("key", "rep", "n"), "buckets")
+    bucket = Window.partitionBy("key")  # entries are dealt by their key once, which finds shared keys and their least members together
+    entries = leaders.select("rep", "n", F.explode("keys").alias("key"))
+    held = entries.withColumns({"least": F.min(F.struct("rep", "n")).over(bucket), "high": F.max("rep").over(bucket)}).where("least.rep < high")
+    buckets = materialize(held.select("key", "rep", "n", F.col("least.rep").alias("a"), F.col("least.n").alias("an")), "buckets")
     wanted = materialize(classes.join(buckets.select("rep").distinct(), "rep", "left_semi"), "wanted")
     several = usable.groupBy("id").count().where("count > 1").select(F.col("id").alias("first"))
     once, more = wanted.join(several, "first", "left_anti"), materialize(wanted.join(several, "first", "left_semi"), "repeated")
@@ -116,8 +117,7 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     maps = usable.select(*name, "bits").join(wanted.withColumnRenamed("first", "id"), name).dropDuplicates(name)
     maps = materialize(maps.select(F.col("rep").alias("who"), "bits"), "bitmaps")
 
-    least = buckets.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("c")).select(F.col("key").alias("k"), F.col("c.rep").alias("a"), F.col("c.n").alias("an"))
-    pairs = buckets.join(least, F.col("key") == F.col("k")).where(F.col("rep") > F.col("a")).where(100 * F.least("n", "an") >= percent * F.greatest("n", "an")).select("a", F.col("rep").alias("b"))
+    pairs = buckets.where(F.col("rep") > F.col("a")).where(100 * F.least("n", "an") >= percent * F.greatest("n", "an")).select("a", F.col("rep").alias("b"))
     pairs = materialize(pairs.distinct(), "pairs")
     found = materialize(_confirmed(pairs, texts, k, percent), "confirmed")
     failed, turn = materialize(pairs.join(found, ["a", "b"], "left_anti"), "failed"), 0
@@ -125,8 +125,8 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     while True:
         known = labels.select(F.col("node"), F.col("component"))
         now = buckets.join(known, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("label"))
-        mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(F.col("key").alias("k"))
-        now = materialize(now.join(mixed, F.col("key") == F.col("k"), "left_semi").join(maps, F.col("rep") == F.col("who")).drop("who"), "mixed")
+        mixed = now.withColumns({"low": F.min("label").over(bucket), "high": F.max("label").over(bucket)}).where("low < high").drop("low", "high")
+        now = materialize(mixed.join(maps, F.col("rep") == F.col("who")).drop("who"), "mixed")
         turn += 1
         pairs = materialize(_proposed(now, failed, percent, 16 ** (turn - 1)), "pairs")
         if pairs.isEmpty():
